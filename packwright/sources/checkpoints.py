@@ -1,8 +1,9 @@
-"""Reliable checkpoints in the folder the cluster names."""
+"""Folders and reliable checkpoints on storage all executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder below the checkpoint folder."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared folder; lineage ends there."""
     checkpoint_folder(df.sparkSession)

@@ -65,21 +65,17 @@ def read_task_definitions(spark: SparkSession, path: str) -> DataFrame:
     whole = named.select("path", strip(F.col("value")).alias("document"))
     # A document is the whole file, so text around the object has to be an error.
     bounded = F.startswith("document", F.lit("{")) & F.endswith("document", F.lit("}"))
-    checked = whole.withColumn("document", F.when(bounded, F.col("document")))
-    recovered = recover_object(checked, "document", TASK_SCHEMA)
-    text = whole.select(F.col("path").alias("__path"), F.col("document").alias("__document"))
-    return (
-        recovered.join(text, F.col("path") == F.col("__path"))
-        .select(
-            "path",
-            F.col("value").alias("task"),
-            "status",
-            "reason",
-            F.col("__document").alias("json_text"),
-        )
+    checked = whole.withColumn("candidate", F.when(bounded, F.col("document")))
+    return recover_object(checked, "candidate", TASK_SCHEMA).select(
+        "path",
+        F.col("value").alias("task"),
+        "status",
+        "reason",
+        F.col("document").alias("json_text"),
     )
 
 
+
 def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: ``path, rel_path, label, ext, length, modified``.
 
