@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1_000
+JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -29,26 +31,31 @@ def join_unique(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``left`` to a ``right`` side that is unique on ``on`` (``inner`` or ``left``).
+    """Join ``left`` to a ``right`` side that is unique on ``on``.
+
+    ``how`` is one of ``JOIN_TYPES``; for the last two, ``right`` need not be unique.
 
     Rows of a hot key stay where they are: the few matching right rows (one per hot key, at
     most ``MAX_HOT_KEYS``) are broadcast to them. All other rows take the ordinary join.
     """
-    if how not in ("inner", "left"):
+    if how not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
     keys = hot_keys(left, on, hot_rows).collect()
     if not keys:
         return left.join(right, on, how)
-    hot = left.sparkSession.createDataFrame(keys, left.select(*on).schema)
+    hot = left.sparkSession.createDataFrame(keys, left.select(*on).schema).dropna()
     hot_right = right.join(F.broadcast(hot), on, "left_semi")
-    hot_rows_joined = left.join(F.broadcast(hot), on, "left_semi").join(
-        F.broadcast(hot_right), on, how
-    )
-    cold_rows_joined = left.join(F.broadcast(hot), on, "left_anti").join(
-        right.join(F.broadcast(hot), on, "left_anti"), on, how
+    if how in ("left_semi", "left_anti"):
+        hot_right = hot_right.select(*on).distinct()
+    # A null key matches nothing, so its rows need not travel either.
+    is_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    staying = left.join(F.broadcast(hot), on, "left_semi").unionByName(left.filter(is_null))
+    moving = left.filter(~is_null).join(F.broadcast(hot), on, "left_anti")
+    other_right = right.join(F.broadcast(hot), on, "left_anti")
+    return moving.join(other_right, on, how).unionByName(
+        staying.join(F.broadcast(hot_right), on, how)
     )
-    return cold_rows_joined.unionByName(hot_rows_joined)
 
 
 def triage_join(verdicts: DataFrame, tables: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -74,4 +81,4 @@ def listed_files(listed: DataFrame, manifest: DataFrame, on: Sequence[str]) -> D
 
 def skip_processed(todo: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key has not been processed yet."""
-    return todo.join(done.select(*on).distinct(), list(on), "left_anti")
+    return join_unique(todo, done.select(*on).distinct(), on, "left_anti")

@@ -8,10 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from packwright.functions.text import indent_lines
-from packwright.operators.split import MERGE_FILES, TEST, TRAIN
+from packwright.operators.split import TEST, TRAIN
 
 # The task definition a model returns, section by section.
 TASK_SECTIONS = {
@@ -90,18 +89,6 @@ def merge_by_name(tables: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def top_files(manifest: DataFrame, k: int = MERGE_FILES, by: str | None = None) -> DataFrame:
-    """The ``k`` largest files, overall or per dataset; equal sizes go by path."""
-    largest_first = [F.desc("length"), F.col("path")]
-    if by is None:
-        return manifest.orderBy(*largest_first).limit(k)
-    window = Window.partitionBy(by).orderBy(*largest_first)
-    return (
-        manifest.withColumn("place", F.row_number().over(window))
-        .filter(F.col("place") <= k)
-    )
-
-
 def hide_target(
     split: DataFrame, id_col: str, target: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

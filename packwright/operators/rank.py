@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from packwright.operators.joins import join_unique
+
 ROWS_PER_RANGE = 4_000_000
 MAX_RANGES = 16_384
 SAMPLE_PER_RANGE = 32
@@ -142,15 +144,38 @@ def global_rank(
 
 
 def _expand_copies(ranked: DataFrame, name: str, chunk: int = 1_000_000) -> DataFrame:
-    """Give each of ``__copies`` equal rows its own number, in chunks spread over tasks."""
+    """Number the ``__copies`` equal rows from ``name`` on.
+
+    Rows are unfolded where they are; only those with more copies than a chunk are cut into
+    chunks that spread over the tasks.
+    """
     last = F.col(name) + F.col("__copies") - 1
-    chunks = ranked.withColumn("__last", last).withColumn(
-        "__from", F.explode(F.sequence(F.col(name), F.col("__last"), F.lit(chunk)))
-    )
+    spread = ranked.withColumn("__last", last)
+
+    def unfold(rows: DataFrame, first: Column, upto: Column) -> DataFrame:
+        return rows.withColumn(name, F.explode(F.sequence(first, upto))).drop("__from")
+
+    few = unfold(spread.filter(F.col("__copies") <= chunk), F.col(name), F.col("__last"))
+    starts = F.explode(F.sequence(F.col(name), F.col("__last"), F.lit(chunk)))
+    cut = spread.filter(F.col("__copies") > chunk).withColumn("__from", starts)
     upto = F.least(F.col("__last"), F.col("__from") + chunk - 1)
-    return chunks.repartition("__from").withColumn(
-        name, F.explode(F.sequence(F.col("__from"), upto))
+    many = unfold(cut.repartition("__from", name), F.col("__from"), upto)
+    return few.unionByName(many)
+
+
+def row_keys(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """Add a key that identifies each row of a table that has none.
+
+    The key is a digest of the row and, for equal rows, a number. It depends on the rows
+    alone, not on how they are partitioned. Equal rows are counted before the shuffle.
+    """
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+        F.count(F.lit(1)).alias("__copies")
     )
+    numbered = _expand_copies(copies.withColumn("__copy", F.lit(0).cast("bigint")), "__copy")
+    key = F.concat_ws(":", digest, F.col("__copy"))
+    return numbered.withColumn(name, key).select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def with_id(
@@ -200,8 +225,6 @@ def group_rank(
     if largest <= SMALL_ROWS:
         window = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
-    from packwright.operators.joins import join_unique
-
     ranked = global_rank(df, [*group_cols, *order_cols], name)
     starts = ranked.groupBy(*group_cols).agg(F.min(name).alias("__start"))
     joined = join_unique(ranked, starts, list(group_cols))

@@ -18,10 +18,13 @@ from packwright.operators.joins import join_unique
 from packwright.operators.rank import (
     SMALL_ROWS,
     global_rank,
+    group_rank,
     key_struct,
+    row_keys,
     typed_literal,
     value_at,
 )
+from packwright.sources.checkpoints import checkpointed
 
 TRAIN, TEST = "train", "test"
 SEED = 42
@@ -82,6 +85,12 @@ def random_split(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     return df.withColumn("split", _side(is_test))
 
 
+def random_row_split(df: DataFrame, seed: int = SEED) -> DataFrame:
+    """:func:`random_split` of a table without a key; equal rows may fall on both sides."""
+    keyed = row_keys(df, "__key")
+    return random_split(keyed, "__key", seed).drop("__key")
+
+
 def dimension_split(df: DataFrame, dim: str, seed: int = SEED) -> DataFrame:
     """Split the distinct values of ``dim`` at random; rows follow their value."""
     cut = _hash_cut(df.select(dim).distinct(), dim, seed)
@@ -103,7 +112,7 @@ def label_quotas(counts: DataFrame, label: str) -> DataFrame:
     )
     left_over = wanted - (quotas.agg(F.sum("base")).first()[0] or 0)
     served = quotas.withColumn("order", -F.col("remainder"))
-    if labels <= MAX_BROADCAST_LABELS:
+    if labels <= MAX_BROADCAST_LABELS:  # a bounded table, so one task may number it
         by_need = Window.orderBy("order", label)
         served = served.withColumn("place", F.row_number().over(by_need) - 1)
     else:
@@ -112,23 +121,30 @@ def label_quotas(counts: DataFrame, label: str) -> DataFrame:
     return served.select(label, "rows", (F.col("base") + extra).alias("quota"))
 
 
-def _label_cuts(hashed: DataFrame, quotas: DataFrame, label: str, few: bool) -> DataFrame:
-    """Largest test hash per label (labels without a quota are absent)."""
+def _label_cuts(
+    parts: DataFrame, hashed: DataFrame, quotas: DataFrame, label: str, few: bool
+) -> DataFrame:
+    """Largest test hash per label (labels without a quota are absent).
+
+    ``parts`` counts rows per label and hash prefix. Only the rows of the one prefix that
+    holds the cut are ordered, so even a label with most of the rows has a short list.
+    """
     small = F.broadcast if few else (lambda side: side)
-    digits = F.substring("h", 1, PREFIX)
-    counts = hashed.groupBy(label, digits.alias("digits")).agg(F.count(F.lit(1)).alias("in_part"))
     upto = (
         Window.partitionBy(label)
         .orderBy("digits")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    before = F.col("upto") - F.col("in_part")
     cut_part = (
-        counts.withColumn("upto", F.sum("in_part").over(upto))
+        parts.withColumn("upto", F.sum("in_part").over(upto))
         .join(small(quotas), label)
-        .filter((F.col("quota") > F.col("upto") - F.col("in_part")) & (F.col("quota") <= F.col("upto")))
-        .select(label, "digits", (F.col("quota") - F.col("upto") + F.col("in_part")).alias("needed"))
+        .filter((F.col("quota") > before) & (F.col("quota") <= F.col("upto")))
+        .select(label, "digits", (F.col("quota") - before).alias("needed"))
+    )
+    in_cut_part = hashed.withColumn("digits", F.substring("h", 1, PREFIX)).join(
+        small(cut_part), [label, "digits"]
     )
-    in_cut_part = hashed.withColumn("digits", digits).join(small(cut_part), [label, "digits"])
     place = F.row_number().over(Window.partitionBy(label).orderBy("h"))
     return (
         in_cut_part.withColumn("place", place)
@@ -141,9 +157,16 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
     """Add ``split`` so that every label contributes its share of the test rows.
 
     Raises ``ValueError`` when a label is null or has one member, or when there are more
-    labels than test rows: such a table cannot be stratified.
+    labels than test rows: such a table cannot be stratified. The table is read three times:
+    for the counts per label and hash prefix, for the rows at the cuts, and for the result.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    hashed = df.select(label, split_hash(key, seed).alias("h"))
+    parts = checkpointed(
+        hashed.groupBy(label, F.substring("h", 1, PREFIX).alias("digits")).agg(
+            F.count(F.lit(1)).alias("in_part")
+        )
+    )
+    counts = parts.groupBy(label).agg(F.sum("in_part").alias("rows"))
     labels, rows, smallest, nulls = counts.agg(
         F.count(F.lit(1)), F.sum("rows"), F.min("rows"), F.count_if(F.col(label).isNull())
     ).first()
@@ -156,10 +179,11 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
     if labels > test_size(rows):
         raise ValueError("cannot stratify: more labels than test rows")
     few = labels <= MAX_BROADCAST_LABELS
-    quotas = label_quotas(counts, label)
-    hashed = df.select(label, split_hash(key, seed).alias("h"))
-    cuts = _label_cuts(hashed, quotas, label, few)
-    marked = df.join(F.broadcast(cuts), label, "left") if few else join_unique(df, cuts, [label], "left")
+    cuts = _label_cuts(parts, hashed, label_quotas(counts, label), label, few)
+    if few:
+        marked = df.join(F.broadcast(cuts), label, "left")
+    else:
+        marked = join_unique(df, cuts, [label], "left")
     is_test = F.coalesce(split_hash(key, seed) <= F.col("__cut"), F.lit(False))
     return marked.withColumn("split", _side(is_test)).select(*df.columns, "split")
 
@@ -175,6 +199,15 @@ def ordered_split(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     return df.withColumn("split", _side(~_before_cut(df, list(order_cols), rows)))
 
 
+def ordered_split_within(df: DataFrame, group: str, order_cols: Sequence[str]) -> DataFrame:
+    """:func:`ordered_split` of each group by itself (the files of each dataset, say)."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows"))
+    placed = group_rank(df, [group], list(order_cols), "__place")
+    is_test = F.col("__place") >= F.expr("__rows * 4 div 5")
+    joined = join_unique(placed, sizes, [group])
+    return joined.withColumn("split", _side(is_test)).select(*df.columns, "split")
+
+
 def _before_cut(df: DataFrame, columns: list[str], rows: int) -> Column:
     first_test = value_at(df, columns, rows * 4 // 5, rows)
     values = [typed_literal(v, df.schema[c].dataType) for v, c in zip(first_test, columns)]
@@ -225,6 +258,49 @@ def choose_strategy(profile: DataFrame) -> DataFrame:
     return profile.withColumn("strategy", strategy)
 
 
+def top_files(manifest: DataFrame, k: int = MERGE_FILES, by: str | None = None) -> DataFrame:
+    """The ``k`` largest files, overall or per dataset; equal sizes go by path."""
+    largest_first = [F.desc("length"), F.col("path")]
+    if by is None:
+        return manifest.orderBy(*largest_first).limit(k)
+    window = Window.partitionBy(by).orderBy(*largest_first)
+    return (
+        manifest.withColumn("place", F.row_number().over(window))
+        .filter(F.col("place") <= k)
+    )
+
+
+def split_manifest(manifest: DataFrame, strategies: DataFrame) -> DataFrame:
+    """Carry out the strategies that work on files: ``dataset, path, strategy, part``.
+
+    ``manifest`` has ``dataset, path, rel_path, ext, length``; ``strategies`` has ``dataset,
+    strategy, primary_format, train_dir, test_dir``. ``part`` is ``train`` or ``test`` for a
+    ready-made or an ordered split, and ``merge`` for the largest files of a dataset whose
+    rows are to be merged and split. Files that play no part are left out.
+    """
+    facts = ("strategy", "primary_format", "train_dir", "test_dir")
+    files = join_unique(manifest, strategies.select("dataset", *facts), ["dataset"])
+    top = F.substring_index("rel_path", "/", 1)
+    copied = files.filter(F.col("strategy") == "copy_presplit").withColumn(
+        "part", F.when(top == F.col("train_dir"), TRAIN).when(top == F.col("test_dir"), TEST)
+    )
+    matching = files.filter(F.lower("ext") == F.col("primary_format"))
+    ordered = ordered_split_within(
+        matching.filter(F.col("strategy") == "ordered_files"), "dataset", ["path"]
+    ).withColumnRenamed("split", "part")
+    merged = top_files(
+        matching.filter(F.col("strategy").isin("merge_random", "time_or_dimension")),
+        by="dataset",
+    ).withColumn("part", F.lit("merge"))
+    columns = ("dataset", "path", "strategy", "part")
+    return (
+        copied.filter(F.col("part").isNotNull())
+        .select(*columns)
+        .unionByName(ordered.select(*columns))
+        .unionByName(merged.select(*columns))
+    )
+
+
 # --- checking a split ------------------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from packwright.functions.jsontext import is_strict_json, key_differences
 from packwright.functions.text import verdict
+from packwright.operators.joins import join_unique
 
 # Layout of a package, its interface, proposal keys and task types.
 REQUIRED_DIRECTORIES = ("data", "data/raw", "data/public", "data/private")
@@ -147,6 +148,15 @@ def interface_findings(sources: DataFrame) -> DataFrame:
     )
 
 
+def assertion_findings(manifest: DataFrame, sources: DataFrame) -> DataFrame:
+    """All findings of the first stage: directories, files and interfaces."""
+    return (
+        layout_findings(manifest)
+        .unionByName(file_findings(manifest))
+        .unionByName(interface_findings(sources))
+    )
+
+
 # --- proposals -------------------------------------------------------------------------
 
 
@@ -169,8 +179,6 @@ def proposal_shape(proposals: DataFrame, text: str = "proposal", batch: str | No
     )
     if batch is None:
         return judged
-    from packwright.operators.joins import join_unique
-
     bad = judged.groupBy(batch).agg(F.bool_and("accepted").alias("__batch_ok"))
     return (
         join_unique(judged, bad, [batch])
@@ -289,7 +297,7 @@ def metric_findings(
         wrong, F.concat(metric, F.lit(" does not fit "), kind)
     ).otherwise("accuracy on unbalanced labels")
     return (
-        tasks.join(shares, "package", "left")
+        join_unique(tasks, shares, ["package"], "left")
         .withColumn("__severity", severity)
         .filter(F.col("__severity").isNotNull())
         .select("package", *_finding(2, "metric", F.col("__severity"), message))

@@ -10,6 +10,8 @@ from packwright.operators.inference import infer_batch as infer
 from packwright.operators.joins import listed_files as mark_listed
 from packwright.operators.joins import skip_processed as skip
 from packwright.operators.joins import triage_join as triage
+from packwright.operators.package import TASK_SCHEMA
+from packwright.operators.papers import final_records, paper_tasks
 from packwright.plans.registry import query
 from packwright.plans.table_queries import _RANDOM_ORDERS
 from packwright.plans.templates import table, template, with_template
@@ -216,6 +218,29 @@ def ws_table(spark, sf_dir):
     return readers.read_ws_table(spark, folder).drop("file")
 
 
+@query("""WITH d AS (SELECT s_nationkey, count(*) AS n, string_agg(s_name, ',' ORDER BY s_name) AS libraries FROM supplier GROUP BY 1)
+SELECT CASE WHEN s_nationkey % 4 <> 0 THEN 'nation ' || s_nationkey END AS title, CASE WHEN s_nationkey % 4 <> 0 THEN libraries END AS libraries,
+  CASE WHEN s_nationkey % 4 <> 0 THEN 'ok' ELSE 'quarantined' END AS status FROM d""")
+def task_definitions(spark, sf_dir):
+    folder = scratch_folder(spark)
+    names = F.sort_array(F.collect_list("s_name")).alias("key_libraries_mentioned")
+    grouped = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(names)
+    title = F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("title")
+    record = F.to_json(
+        F.struct(
+            F.struct(title).alias("source_paper"),
+            F.struct("key_libraries_mentioned").alias("model_details"),
+        )
+    )
+    cut = F.when(F.col("s_nationkey") % 4 == 0, F.concat(record, F.lit(" and more"))).otherwise(record)
+    grouped.select("s_nationkey", cut.alias("value")).repartition("s_nationkey").write.partitionBy(
+        "s_nationkey"
+    ).text(folder)
+    read = readers.read_task_definitions(spark, f"{folder}/*")
+    libraries = F.array_join("task.model_details.key_libraries_mentioned", ",")
+    return read.select(F.col("task.source_paper.title").alias("title"), libraries.alias("libraries"), "status")
+
+
 @query(with_template("captions", """
 SELECT doc_id, r AS "row", p AS position, CASE p WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'a' END AS name,
   CASE p WHEN 0 THEN lang WHEN 1 THEN source ELSE cast(doc_id AS VARCHAR) END || CASE WHEN p < 2 THEN cast(r AS VARCHAR) ELSE '' END AS value
@@ -291,6 +316,54 @@ def manifest_scan(spark, sf_dir):
     return files.groupBy(label.alias("label"), "ext").agg(F.bool_and(F.col("length") > 0).alias("has_bytes"))
 
 
+# --- papers ----------------------------------------------------------------------------
+
+
+def offline_author(prompt: str, context: str) -> str:
+    """Stand-in for a model that defines a task from a paper's context."""
+    title = context.split("\n", 1)[0].removeprefix("Title: ")
+    if title.endswith("7"):
+        return "I cannot define a task."
+    return f'```json\n{{"ml_task": {{"task_type": "{prompt}", "problem_statement": "{title}"}}}}\n```'
+
+
+_AUTHOR = "define"
+
+
+def _paper_tasks(spark, sf_dir):
+    pages = template(spark, sf_dir, "html")
+    url = F.concat(F.lit("http://p/"), F.col("doc_id").cast("string"))
+    return paper_tasks(pages.withColumn("url", url), _AUTHOR, offline_author)
+
+
+@query("""SELECT doc_id, 'paper_paper_' || doc_id AS folder, CASE WHEN doc_id % 10 = 7 THEN NULL ELSE 'Paper ' || doc_id END AS problem,
+  CASE WHEN doc_id % 10 = 7 THEN 'quarantined' ELSE 'ok' END AS status FROM documents""")
+def paper_batch(spark, sf_dir):
+    problem = F.col("task.ml_task.problem_statement").alias("problem")
+    return _paper_tasks(spark, sf_dir).select("doc_id", "folder", problem, "status")
+
+
+@query("""SELECT 'paper_paper_' || doc_id AS folder, 'Paper ' || doc_id AS title, 'http://p/' || doc_id AS url, 'define' AS task_type,
+  CASE WHEN doc_id % 2 = 0 THEN '.csv' ELSE 'unknown' END AS primary_format,
+  'clone: https://github.com/org/' || source || '; record: https://zenodo.org/records/' || doc_id AS setup FROM documents WHERE doc_id % 10 <> 7""")
+def paper_records(spark, sf_dir):
+    tasks = _paper_tasks(spark, sf_dir)
+    files = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(
+        F.concat(F.lit("paper_paper_"), F.col("doc_id").cast("string")).alias("dataset"),
+        F.lit("data/table.csv").alias("path"),
+    )
+    records = final_records(tasks, profile.dataset_profile(files))
+    parsed = records.select("folder", F.from_json("record", TASK_SCHEMA).alias("r"))
+    return parsed.select(
+        "folder",
+        "r.source_paper.title",
+        "r.source_paper.url",
+        "r.ml_task.task_type",
+        "r.data_profile.primary_format",
+        F.array_join("r.data_sources.local_setup_log", "; ").alias("setup"),
+    )
+
+
 # --- inference -------------------------------------------------------------------------
 
 

@@ -231,6 +231,40 @@ def presplit_directories(spark, sf_dir):
     return detect_presplit(files.withColumn("rel_path", inside))
 
 
+@query(with_template("manifest", "").rstrip() + _MANIFEST_PROFILE + """,
+s AS (SELECT *, CASE WHEN presplit THEN 'copy_presplit' WHEN matching_files = 0 THEN 'none' WHEN matching_files > 50 THEN 'ordered_files'
+    WHEN primary_format IN ('.csv','.parquet','.tsv') THEN 'merge_random' ELSE 'other' END AS strategy FROM m),
+o AS (SELECT e.dataset, path, strategy, CASE WHEN row_number() OVER (PARTITION BY e.dataset ORDER BY path) <= count(*) OVER (PARTITION BY e.dataset) * 4 // 5 THEN 'train' ELSE 'test' END AS part
+  FROM e JOIN s ON e.dataset = s.dataset AND x = primary_format WHERE strategy = 'ordered_files'),
+g AS (SELECT e.dataset, path, strategy, row_number() OVER (PARTITION BY e.dataset ORDER BY length DESC, path) AS place
+  FROM e JOIN s ON e.dataset = s.dataset AND x = primary_format WHERE strategy = 'merge_random')
+SELECT e.dataset, path, strategy, CASE dir WHEN 'train' THEN 'train' WHEN 'val' THEN 'test' END AS part FROM e JOIN s USING (dataset) WHERE strategy = 'copy_presplit' AND dir IN ('train', 'val')
+UNION ALL SELECT * FROM o UNION ALL SELECT dataset, path, strategy, 'merge' FROM g WHERE place <= 10""")
+def split_manifest_files(spark, sf_dir):
+    from packwright.operators.assets import detect_presplit
+
+    inside = F.substr("path", F.length("dataset") + F.lit(2))
+    files = template(spark, sf_dir, "manifest").withColumn("rel_path", inside)
+    formats = profile.dataset_profile(files, formats=profile.PRIMARY_EXTENSIONS)
+    matching = F.coalesce(F.try_element_at("file_formats", F.col("primary_format")), F.lit(0))
+    facts = formats.join(detect_presplit(files), "dataset").withColumns(
+        {"has_source": F.lit(True), "matching_files": matching}
+    )
+    return split.split_manifest(files, split.choose_strategy(facts))
+
+
+@query("""WITH n AS (SELECT (SELECT count(*) FROM customer) + 2 * (SELECT count(*) FROM supplier) AS n)
+SELECT 'test' AS split, (n + 4) // 5 AS n FROM n UNION ALL SELECT 'train', n - (n + 4) // 5 FROM n""")
+def split_merged_rows(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
+    )
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"))
+    merged = package.merge_by_name([customer, supplier, supplier])
+    parts = split.random_row_split(merged)
+    return parts.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- packages --------------------------------------------------------------------------
 
 
@@ -296,14 +330,14 @@ def merge_tables(spark, sf_dir):
 @query(with_template("manifest", "SELECT dataset, path, length FROM t ORDER BY length DESC, path LIMIT 10"))
 def top_files(spark, sf_dir):
     files = template(spark, sf_dir, "manifest").select("dataset", "path", "length")
-    return package.top_files(files)
+    return split.top_files(files)
 
 
 @query(with_template("manifest", """SELECT dataset, path, length, place FROM (SELECT *,
   row_number() OVER (PARTITION BY dataset ORDER BY length DESC, path) AS place FROM t) x WHERE place <= 10"""))
 def top_files_per_dataset(spark, sf_dir):
     files = template(spark, sf_dir, "manifest").select("dataset", "path", "length")
-    return package.top_files(files, by="dataset").withColumn("place", F.col("place").cast("bigint"))
+    return split.top_files(files, by="dataset").withColumn("place", F.col("place").cast("bigint"))
 
 
 # --- scores ----------------------------------------------------------------------------

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from packwright.functions.jsontext import recover_object
 from packwright.functions.text import WHITESPACE, extension, strip
+from packwright.operators.joins import join_unique
 from packwright.operators.package import TASK_SCHEMA
+from packwright.sources.checkpoints import checkpointed
 
 # Texts a table reader takes for a missing value.
 MISSING_TEXTS = (
@@ -146,9 +148,9 @@ def read_ws_table(spark: SparkSession, path: str, typed: bool = True) -> DataFra
     :func:`ws_files`). With ``typed`` a column whose every value is a number becomes
     ``bigint`` or ``double``; this takes one pass over the data.
     """
-    files = ws_files(spark, path).filter("accepted").select("file", "width")
+    files = checkpointed(ws_files(spark, path)).filter("accepted")
     width = files.agg(F.max("width")).first()[0] or 0
-    kept = _numbered_lines(spark, path).join(files.select("file"), "file", "left_semi")
+    kept = join_unique(_numbered_lines(spark, path), files.select("file"), ["file"], "left_semi")
     names = [f"col_{i}" for i in range(width)]
     raw = [F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)]
     table = kept.select("file", *raw)
