@@ -33,7 +33,7 @@ ENTITIES = {
 }
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_H1 = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+_H1 = r"(?is)<h1(?:\s[^>]*)?>.*?</h1\s*>"
 _HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 _FIGCAPTION = r"(?is)<figcaption(?:\s[^>]*)?>(.*?)</figcaption\s*>"
 _FIGURE = r"(?is)<figure(?:\s[^>]*)?>(.*?)</figure\s*>"
@@ -60,16 +60,13 @@ def _numeric_entity(piece: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode numeric entities and the common named ones."""
-    pieces = F.split(text, "&#")
-    decoded = F.when(
-        F.contains(text, F.lit("&#")),
-        F.concat(
-            F.get(pieces, F.lit(0)),
-            F.array_join(
-                F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _numeric_entity), ""
-            ),
+    decoded = F.array_join(
+        F.transform(
+            F.split(text, "&#"),
+            lambda piece, i: F.when(i == 0, piece).otherwise(_numeric_entity(piece)),
         ),
-    ).otherwise(text)
+        "",
+    )
     for name, character in ENTITIES.items():
         decoded = F.replace(decoded, F.lit(name), F.lit(character))
     return decoded
@@ -83,9 +80,8 @@ def inner_text(markup: Column, separator: str = "") -> Column:
 
 def page_title(html: Column) -> Column:
     """Text of the first ``h1``, or the default title when the page has none."""
-    markup = visible_markup(html)
-    found = F.regexp_extract(markup, _H1, 1)
-    return F.when(F.rlike(markup, F.lit(_H1)), inner_text(found)).otherwise(NO_TITLE)
+    found = F.nullif(F.regexp_extract(visible_markup(html), _H1, 0), F.lit(""))
+    return F.coalesce(inner_text(found), F.lit(NO_TITLE))
 
 
 def link_pattern(hosts: tuple[str, ...] = REPOSITORY_HOSTS) -> str:

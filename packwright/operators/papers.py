@@ -15,6 +15,7 @@ from packwright.operators.inference import Provider, infer_batch
 from packwright.operators.joins import join_unique
 from packwright.operators.package import TASK_SCHEMA, fill_defaults, task_record
 from packwright.operators.profile import UNKNOWN_FORMAT
+from packwright.sources.checkpoints import checkpointed
 
 # Lengths of folder names.
 PAPER_FOLDER_CHARACTERS = 80
@@ -27,9 +28,9 @@ def paper_tasks(
     """Page record, reply and task definition of each page.
 
     Adds ``folder, task, status, reason`` to the page record. The provider is asked once per
-    distinct context.
+    distinct context. Page records are checkpointed, so that each page is parsed once.
     """
-    papers = page_record(pages, html)
+    papers = checkpointed(page_record(pages, html))
     context = prompt_context(
         *[F.col(c) for c in ("title", "abstract", "methods", "results", "captions")]
     )

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from packwright.operators.joins import join_unique
 
-ROWS_PER_RANGE = 4_000_000
+ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 16_384
 SAMPLE_PER_RANGE = 32
 SMALL_ROWS = 100_000
@@ -72,9 +72,12 @@ class Ranges:
 
 
 def range_count(df: DataFrame, rows: int) -> int:
-    """Ranges for a table of ``rows`` rows: one per few million, at least one per core."""
+    """Ranges for a table of ``rows`` rows: one per few million, at least four per core.
+
+    Ranges are spread over tasks by hash, so a task should get several of them.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(MAX_RANGES, max(cores, -(-rows // ROWS_PER_RANGE))))
+    return max(1, min(MAX_RANGES, max(4 * cores, -(-rows // ROWS_PER_RANGE))))
 
 
 def find_ranges(df: DataFrame, columns: Sequence[str], rows: int, ranges: int) -> Ranges:
@@ -196,7 +199,7 @@ def value_at(df: DataFrame, order_cols: Sequence[str], position: int, rows: int)
     part = df.select(*columns)
     as_text = [F.col(c).cast("string").alias(c) for c in columns]
     while rows > SMALL_ROWS:
-        found = find_ranges(part, columns, rows, range_count(part, rows) * 4)
+        found = find_ranges(part, columns, rows, range_count(part, rows))
         totals = _range_totals(part, found.index(), F.lit(1))
         for index in range(len(found.boundaries) + 1):
             size = totals.get(index, 0)

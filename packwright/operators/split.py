@@ -217,17 +217,27 @@ def _before_cut(df: DataFrame, columns: list[str], rows: int) -> Column:
     return key_struct(columns) < cut
 
 
-def time_split(df: DataFrame, ts: str) -> DataFrame:
-    """Add ``split``: the first four fifths of the distinct time steps are ``train``.
-
-    Rows without a time lie on no step and stay in ``train``. The cut is a literal, so a
-    filter on one side prunes the scan. Raises ``ValueError`` for fewer than two steps.
-    """
+def _before_time_cut(df: DataFrame, ts: str) -> Column:
     steps = df.select(ts).filter(F.col(ts).isNotNull()).distinct()
     count = steps.count()
     if count < 2:
         raise ValueError("a time split needs at least two time steps")
-    return df.withColumn("split", _side(~_before_cut(steps, [ts], count)))
+    return _before_cut(steps, [ts], count)
+
+
+def time_split(df: DataFrame, ts: str) -> DataFrame:
+    """Add ``split``: the first four fifths of the distinct time steps are ``train``.
+
+    Rows without a time lie on no step and stay in ``train``. Raises ``ValueError`` for
+    fewer than two steps.
+    """
+    return df.withColumn("split", _side(~_before_time_cut(df, ts)))
+
+
+def time_sides(df: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of :func:`time_split`, as comparisons the scan can use to skip data."""
+    before = _before_time_cut(df, ts)
+    return df.filter(before | F.col(ts).isNull()), df.filter(~before)
 
 
 # --- choosing a strategy ---------------------------------------------------------------

@@ -177,6 +177,16 @@ def split_time_events(spark, sf_dir):
     return split.time_split(events, "ts").select("event_id", "split")
 
 
+@query("""WITH t AS (SELECT o_orderdate, row_number() OVER (ORDER BY o_orderdate) - 1 AS place, count(*) OVER () AS n FROM (SELECT DISTINCT o_orderdate FROM orders) x),
+c AS (SELECT o_orderdate AS cut FROM t WHERE place = n * 4 // 5)
+SELECT CASE WHEN o_orderdate < (SELECT cut FROM c) THEN 'train' ELSE 'test' END AS split, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2""")
+def split_time_sides(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderstatus")
+    train, test = split.time_sides(orders, "o_orderdate")
+    sides = [side.withColumn("split", F.lit(n)) for side, n in ((train, "train"), (test, "test"))]
+    return package.merge_by_name(sides).groupBy("split", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"""SELECT count(*) AS n, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'test') AS n_test,
   round(count(*) FILTER (split = 'test') / count(*), 6) AS test_share, cast(0 AS BIGINT) AS shared_keys
 FROM ({_RANDOM_ORDERS}) s""")
