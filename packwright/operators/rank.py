@@ -207,9 +207,18 @@ def value_at(df: DataFrame, order_cols: Sequence[str], position: int, rows: int)
                 break
             position -= size
         if size == rows:
-            ends = part.agg(F.min(key_struct(columns)).alias("a"), F.max(key_struct(columns)).alias("b"))
-            if ends.select(F.col("a") == F.col("b")).first()[0]:
-                return list(ends.select("a.*").select(*as_text).first())
+            # The sample saw a single key. It begins this part: take its rows off as a whole.
+            key = key_struct(columns)
+            first = part.select(key.alias("key")).agg(F.min("key").alias("key"))
+            text = first.select("key.*").select(*as_text).first()
+            literal = F.struct(
+                *[typed_literal(text[c], part.schema[c].dataType).alias(c) for c in columns]
+            )
+            same = part.filter(key <= literal).count()
+            if position < same:
+                return list(text)
+            part, rows, position = part.filter(key > literal), rows - same, position - same
+            continue
         part, rows = part.filter(found.inside(index)), size
     return list(part.orderBy(*columns).offset(position).limit(1).select(*as_text).first())
 

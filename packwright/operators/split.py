@@ -53,7 +53,7 @@ def _side(is_test: Column) -> Column:
 def _hash_cut(keys: DataFrame, key: str, seed: int) -> str | None:
     """Largest hash on the test side, found by descending through hash prefixes."""
     hashed = keys.select(split_hash(key, seed).alias("h"))
-    prefix, wanted = "", None
+    prefix, wanted, size = "", None, -1
     while True:
         part = hashed.filter(F.startswith("h", F.lit(prefix))) if prefix else hashed
         digits = F.substring("h", len(prefix) + 1, PREFIX).alias("digits")
@@ -69,6 +69,11 @@ def _hash_cut(keys: DataFrame, key: str, seed: int) -> str | None:
         prefix += row["digits"]
         if len(prefix) >= HASH_DIGITS:
             return prefix
+        if row["rows"] == size:  # nothing was set apart: perhaps one repeated key
+            ends = part.agg(F.min("h"), F.max("h")).first()
+            if ends[0] == ends[1]:
+                return ends[0]
+        size = row["rows"]
         if row["rows"] <= SMALL_ROWS:
             last = hashed.filter(F.startswith("h", F.lit(prefix))).orderBy("h")
             return last.offset(wanted - 1).limit(1).first()["h"]
