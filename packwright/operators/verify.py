@@ -226,7 +226,10 @@ def feature_relation(df: DataFrame, target: str, features: Sequence[str] | None
 
     def correlation(name: str) -> Column:
         if numeric_target and isinstance(df.schema[name].dataType, T.NumericType):
-            return F.nanvl(F.corr(name, target), F.lit(None).cast("double"))
+            # corr() raises on a constant column in ANSI mode.
+            both = F.col(name).isNotNull() & F.col(target).isNotNull()
+            spread = [F.stddev_pop(F.when(both, F.col(c))) for c in (name, target)]
+            return F.try_divide(F.covar_pop(name, target), spread[0] * spread[1])
         return F.lit(None).cast("double")
 
     def equality(name: str) -> Column:

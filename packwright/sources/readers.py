@@ -62,7 +62,7 @@ def read_task_definitions(spark: SparkSession, path: str) -> DataFrame:
 
     Files that are not strict JSON are kept with ``status = 'quarantined'`` and their text.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     named = files.select(F.col("_metadata.file_path").alias("path"), "value")
     whole = named.select("path", strip(F.col("value")).alias("document"))
     # A document is the whole file, so text around the object has to be an error.
@@ -82,7 +82,7 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: ``path, rel_path, label, ext, length, modified``.
 
     File contents are never read. ``label`` is the name of the parent directory. Names that
-    start with ``_`` or ``.`` are skipped, as in every file listing of Spark.
+    start with ``_`` or ``.`` and empty files are skipped, as in every file scan of Spark.
     """
     files = (
         spark.read.format("binaryFile")
