@@ -22,17 +22,17 @@ COLUMNS_PER_PASS = 16
 
 
 @dataclass
-class _Rank:
-    """Search state for the value at ``position`` among the values strictly inside an interval."""
+class _Interval:
+    """Values of a column strictly between two ends, and the wanted positions among them."""
 
     column: str
-    position: int
     size: int
+    positions: dict[int, int]  # position among these values -> position in the column
     low: float | None = None
     high: float | None = None
-    answer: float | None = None
 
-    def inside(self, value: Column) -> Column:
+    def inside(self) -> Column:
+        value = _value(self.column)
         predicate = value.isNotNull()
         if self.low is not None:
             predicate &= value > self.low
@@ -40,75 +40,101 @@ class _Rank:
             predicate &= value < self.high
         return F.when(predicate, value)
 
+    def clusters(self) -> list[list[int]]:
+        """Wanted positions, neighbours together: they share one proposal."""
+        found: list[list[int]] = []
+        for position in sorted(self.positions):
+            if found and position - found[-1][-1] <= 1:
+                found[-1].append(position)
+            else:
+                found.append([position])
+        return found
+
 
 def _value(column: str) -> Column:
     value = F.col(f"`{column}`").cast("double")
     return F.when(~F.isnan(value), value)
 
 
-def _aggregate(df: DataFrame, ranks: Sequence[_Rank], build) -> list:
-    row = df.agg(*[build(r).alias(f"r{i}") for i, r in enumerate(ranks)]).first()
-    return list(row)
-
-
-def _propose(rank: _Rank) -> Column:
-    margin = 2.0 / ACCURACY
-    share = (rank.position + 0.5) / rank.size
-    shares = [max(0.0, share - margin), min(1.0, share + margin)]
-    return F.percentile_approx(
-        rank.inside(_value(rank.column)), F.array(*[F.lit(s) for s in shares]), ACCURACY
-    )
-
-
-def _count(rank: _Rank, low: float, high: float) -> Column:
-    value = rank.inside(_value(rank.column))
-    return F.struct(
-        F.count_if(value < low),
-        F.count_if(value == low),
-        F.count_if((value > low) & (value < high)),
-        F.count_if(value == high),
-    )
-
-
-def _narrow(rank: _Rank, low: float, high: float, counts) -> None:
-    below, at_low, between, at_high = counts
-    position = rank.position - below
-    if position < 0:
-        rank.high, rank.size = low, below
-    elif position < at_low:
-        rank.answer = low
-    elif position < at_low + between:
-        rank.low, rank.high = low, high
-        rank.position, rank.size = position - at_low, between
-    elif low != high and position < at_low + between + at_high:
-        rank.answer = high
-    else:
-        above = rank.size - below - at_low - between - (at_high if low != high else 0)
-        rank.low = high
-        rank.position, rank.size = rank.position - (rank.size - above), above
-
-
-def _search(df: DataFrame, ranks: list[_Rank], list_values: int) -> None:
-    while True:
-        large = [r for r in ranks if r.answer is None and r.size > list_values]
+def _aggregate(df: DataFrame, columns: Sequence[Column]) -> list:
+    return list(df.agg(*[c.alias(f"r{i}") for i, c in enumerate(columns)]).first())
+
+
+def _propose(interval: _Interval) -> Column:
+    """Two ends around each cluster of positions, from one sketch of the interval."""
+    margin, shares = 2.0 / ACCURACY, []
+    for cluster in interval.clusters():
+        shares.append(max(0.0, cluster[0] / interval.size - margin))
+        shares.append(min(1.0, (cluster[-1] + 1) / interval.size + margin))
+    return F.percentile_approx(interval.inside(), F.array(*[F.lit(s) for s in shares]), ACCURACY)
+
+
+def _count(interval: _Interval, ends: Sequence[float]) -> Column:
+    """(below, at low, between, at high) for each pair of ends."""
+    value = interval.inside()
+    counts = []
+    for low, high in zip(ends[::2], ends[1::2]):
+        counts += [
+            F.count_if(value < low),
+            F.count_if(value == low),
+            F.count_if((value > low) & (value < high)),
+            F.count_if((value == high) & (value > low)),
+        ]
+    return F.array(*counts)
+
+
+def _narrow(interval: _Interval, ends, counts, answers: dict) -> list[_Interval]:
+    """Settle the positions that fall on an end; the others go on in a smaller interval."""
+    smaller: dict[tuple, _Interval] = {}
+
+    def go_on(wanted: int, position: int, size: int, low, high) -> None:
+        part = smaller.setdefault((low, high), _Interval(interval.column, size, {}, low, high))
+        part.positions[position] = wanted
+
+    for i, cluster in enumerate(interval.clusters()):
+        low, high = ends[2 * i], ends[2 * i + 1]
+        below, at_low, between, at_high = counts[4 * i : 4 * i + 4]
+        upto = below + at_low + between + at_high
+        for position in cluster:
+            wanted = interval.positions[position]
+            if position < below:
+                go_on(wanted, position, below, interval.low, low)
+            elif position < below + at_low:
+                answers[interval.column, wanted] = low
+            elif position < below + at_low + between:
+                go_on(wanted, position - below - at_low, between, low, high)
+            elif position < upto:
+                answers[interval.column, wanted] = high
+            else:
+                go_on(wanted, position - upto, interval.size - upto, high, interval.high)
+    return list(smaller.values())
+
+
+def _search(df: DataFrame, intervals: list[_Interval], list_values: int) -> dict:
+    """Value at every wanted position, by (column, position)."""
+    answers: dict[tuple[str, int], float] = {}
+    small = []
+    while intervals:
+        small += [i for i in intervals if i.size <= list_values]
+        large = [i for i in intervals if i.size > list_values]
         if not large:
             break
-        proposals = _aggregate(df, large, _propose)
-        ends = {id(r): p for r, p in zip(large, proposals)}
-        counts = _aggregate(df, large, lambda r: _count(r, *ends[id(r)]))
-        for rank, count in zip(large, counts):
-            _narrow(rank, *ends[id(rank)], count)
-    small = [r for r in ranks if r.answer is None]
+        ends = _aggregate(df, [_propose(i) for i in large])
+        counts = _aggregate(df, [_count(i, e) for i, e in zip(large, ends)])
+        intervals = [
+            part
+            for interval, e, c in zip(large, ends, counts)
+            for part in _narrow(interval, e, c, answers)
+        ]
     if small:
-        values = _aggregate(
-            df,
-            small,
-            lambda r: F.get(
-                F.sort_array(F.collect_list(r.inside(_value(r.column)))), F.lit(r.position)
-            ),
-        )
-        for rank, value in zip(small, values):
-            rank.answer = value
+        chosen = []
+        for interval in small:
+            values = F.sort_array(F.collect_list(interval.inside()))
+            chosen.append(F.array(*[F.get(values, F.lit(p)) for p in interval.positions]))
+        for interval, values in zip(small, _aggregate(df, chosen)):
+            for wanted, value in zip(interval.positions.values(), values):
+                answers[interval.column, wanted] = value
+    return answers
 
 
 def exact_quantiles(
@@ -123,21 +149,19 @@ def exact_quantiles(
         group = list(columns[start : start + COLUMNS_PER_PASS])
         part = df.select(*group)
         sizes = part.agg(*[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(group)]).first()
-        ranks: dict[tuple[str, int], _Rank] = {}
-        wanted: list[tuple[str, float, int]] = []
+        intervals, wanted = [], []
         for column, size in zip(group, sizes):
             result[column] = []
-            for share in shares:
-                if size == 0:
-                    continue
-                place = (size - 1) * share
-                wanted.append((column, place, size))
-                for position in {int(place), min(int(place) + 1, size - 1)}:
-                    ranks.setdefault((column, position), _Rank(column, position, size))
-        _search(part, list(ranks.values()), list_values)
+            if size == 0:
+                continue
+            places = [(size - 1) * share for share in shares]
+            wanted += [(column, place, size) for place in places]
+            neighbours = {min(int(p) + step, size - 1) for p in places for step in (0, 1)}
+            intervals.append(_Interval(column, size, {p: p for p in neighbours}))
+        answers = _search(part, intervals, list_values)
         for column, place, size in wanted:
-            low = ranks[column, int(place)].answer
-            high = ranks[column, min(int(place) + 1, size - 1)].answer
+            low = answers[column, int(place)]
+            high = answers[column, min(int(place) + 1, size - 1)]
             result[column].append(low + (high - low) * (place - int(place)))
         for column, size in zip(group, sizes):
             if size == 0:

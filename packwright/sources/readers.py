@@ -90,10 +90,8 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length", F.col("modificationTime").alias("modified"))
     )
-    base = root.rstrip("/").removeprefix("file://")
-    relative = F.substr(
-        "path", F.instr("path", base + "/") + F.lit(len(base) + 1)
-    )
+    base = root.rstrip("/").removeprefix("file://") + "/"
+    relative = F.substr("path", F.instr("path", base) + F.lit(len(base)))
     return files.select(
         "path",
         relative.alias("rel_path"),
