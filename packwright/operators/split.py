@@ -285,13 +285,43 @@ def top_files(manifest: DataFrame, k: int = MERGE_FILES, by: str | None = None)
     )
 
 
+def _stratified_images(files: DataFrame, seed: int = SEED) -> DataFrame:
+    """Add ``part`` to image files, stratified by parent directory within each dataset.
+
+    Datasets that cannot be stratified are left out.
+    """
+    label = F.substring_index(F.substring_index("path", "/", -2), "/", 1)
+    images = files.withColumns({"label": label, "h": split_hash("path", seed)})
+    cells = images.groupBy("dataset", "label").agg(F.count(F.lit(1)).alias("rows"))
+    every = Window.partitionBy("dataset")
+    cells = cells.withColumn("total", F.sum("rows").over(every))
+    cells = cells.withColumn("wanted", F.expr("(total + 4) div 5")).withColumns(
+        {
+            "base": F.expr("rows * wanted div total"),
+            "remainder": F.expr("rows * wanted % total"),
+            "possible": (F.min("rows").over(every) > 1)
+            & (F.count(F.lit(1)).over(every) <= F.col("wanted")),
+        }
+    )
+    place = F.row_number().over(every.orderBy(F.desc("remainder"), "label"))
+    left_over = F.col("wanted") - F.sum("base").over(every)
+    quotas = cells.withColumn("quota", F.col("base") + (place <= left_over).cast("int"))
+    ranked = group_rank(images, ["dataset", "label"], ["h", "path"], "place")
+    chosen = join_unique(
+        ranked,
+        quotas.filter("possible").select("dataset", "label", "quota"),
+        ["dataset", "label"],
+    )
+    return chosen.withColumn("part", _side(F.col("place") < F.col("quota")))
+
+
 def split_manifest(manifest: DataFrame, strategies: DataFrame) -> DataFrame:
     """Carry out the strategies that work on files: ``dataset, path, strategy, part``.
 
     ``manifest`` has ``dataset, path, rel_path, ext, length``; ``strategies`` has ``dataset,
     strategy, primary_format, train_dir, test_dir``. ``part`` is ``train`` or ``test`` for a
-    ready-made or an ordered split, and ``merge`` for the largest files of a dataset whose
-    rows are to be merged and split. Files that play no part are left out.
+    ready-made, ordered or stratified split, and ``merge`` for the largest files of a dataset
+    whose rows are to be merged and split. Files that play no part are left out.
     """
     facts = ("strategy", "primary_format", "train_dir", "test_dir")
     files = join_unique(manifest, strategies.select("dataset", *facts), ["dataset"])
@@ -307,12 +337,19 @@ def split_manifest(manifest: DataFrame, strategies: DataFrame) -> DataFrame:
         matching.filter(F.col("strategy").isin("merge_random", "time_or_dimension")),
         by="dataset",
     ).withColumn("part", F.lit("merge"))
+    images = _stratified_images(
+        files.filter(
+            (F.col("strategy") == "stratified_images")
+            & F.lower("ext").isin(*IMAGE_FILE_EXTENSIONS)
+        )
+    )
     columns = ("dataset", "path", "strategy", "part")
     return (
         copied.filter(F.col("part").isNotNull())
         .select(*columns)
         .unionByName(ordered.select(*columns))
         .unionByName(merged.select(*columns))
+        .unionByName(images.select(*columns))
     )
 
 

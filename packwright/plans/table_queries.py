@@ -243,13 +243,16 @@ def presplit_directories(spark, sf_dir):
 
 @query(with_template("manifest", "").rstrip() + _MANIFEST_PROFILE + """,
 s AS (SELECT *, CASE WHEN presplit THEN 'copy_presplit' WHEN matching_files = 0 THEN 'none' WHEN matching_files > 50 THEN 'ordered_files'
-    WHEN primary_format IN ('.csv','.parquet','.tsv') THEN 'merge_random' ELSE 'other' END AS strategy FROM m),
+    WHEN primary_format IN ('.csv','.parquet','.tsv') THEN 'merge_random' WHEN primary_format = '.nc' THEN 'time_or_dimension'
+    WHEN primary_format = '.jpg' THEN 'stratified_images' ELSE 'none' END AS strategy FROM m),
+i AS (SELECT e.dataset, path, strategy, CASE WHEN row_number() OVER (PARTITION BY e.dataset ORDER BY md5('42:' || path)) <= (count(*) OVER (PARTITION BY e.dataset) + 4) // 5 THEN 'test' ELSE 'train' END AS part
+  FROM e JOIN s ON e.dataset = s.dataset AND x = '.jpg' WHERE strategy = 'stratified_images'),
 o AS (SELECT e.dataset, path, strategy, CASE WHEN row_number() OVER (PARTITION BY e.dataset ORDER BY path) <= count(*) OVER (PARTITION BY e.dataset) * 4 // 5 THEN 'train' ELSE 'test' END AS part
   FROM e JOIN s ON e.dataset = s.dataset AND x = primary_format WHERE strategy = 'ordered_files'),
 g AS (SELECT e.dataset, path, strategy, row_number() OVER (PARTITION BY e.dataset ORDER BY length DESC, path) AS place
-  FROM e JOIN s ON e.dataset = s.dataset AND x = primary_format WHERE strategy = 'merge_random')
+  FROM e JOIN s ON e.dataset = s.dataset AND x = primary_format WHERE strategy IN ('merge_random', 'time_or_dimension'))
 SELECT e.dataset, path, strategy, CASE dir WHEN 'train' THEN 'train' WHEN 'val' THEN 'test' END AS part FROM e JOIN s USING (dataset) WHERE strategy = 'copy_presplit' AND dir IN ('train', 'val')
-UNION ALL SELECT * FROM o UNION ALL SELECT dataset, path, strategy, 'merge' FROM g WHERE place <= 10""")
+UNION ALL SELECT * FROM o UNION ALL SELECT * FROM i UNION ALL SELECT dataset, path, strategy, 'merge' FROM g WHERE place <= 10""")
 def split_manifest_files(spark, sf_dir):
     from packwright.operators.assets import detect_presplit
 

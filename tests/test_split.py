@@ -204,3 +204,16 @@ def test_audit_and_drift(spark):
     assert {r.label: r.drift for r in split.label_drift(df, "label").collect()} == {"a": 0.0, "b": 0.0}
     empty = split.audit_split(df.filter("false"), "k").first()
     assert (empty.n, empty.test_share, empty.shared_keys) == (0, None, 0)
+
+
+def test_image_files_are_stratified_by_directory(spark):
+    labels = ["cat"] * 12 + ["dog"] * 5 + ["owl"] * 8
+    rows = [("a", f"a/{x}/{i}.png", f"{x}/{i}.png", ".png", 1) for i, x in enumerate(labels)]
+    rows += [("b", f"b/{x}/{i}.png", f"{x}/{i}.png", ".png", 1) for i, x in enumerate(["cat", "cat", "dog"])]
+    manifest = spark.createDataFrame(rows, "dataset string, path string, rel_path string, ext string, length int")
+    facts = [(d, "stratified_images", ".png", None, None) for d in "ab"]
+    schema = "dataset string, strategy string, primary_format string, train_dir string, test_dir string"
+    found = split.split_manifest(manifest, spark.createDataFrame(facts, schema)).collect()
+    assert len(found) == len(labels)  # dataset b has a label with one member
+    tests = [r.path.split("/")[1] for r in found if r.part == "test"]
+    assert {x: tests.count(x) for x in set(labels)} == quota_model({x: labels.count(x) for x in set(labels)})
