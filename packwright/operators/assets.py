@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from packwright.functions import html as H
 from packwright.functions import text as X
 from packwright.functions.jsontext import is_strict_json
+from packwright.sources.shipping import ship
 
 # The record a repository returns for one deposit.
 RECORD_SCHEMA = (
@@ -24,6 +25,7 @@ TEST_DIRECTORIES = ("test", "testing", "validation", "val")
 
 def page_record(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add title, abstract, methods, results, captions and repository links of each page."""
+    ship(pages.sparkSession)
     sections = H.page_sections(F.col(html))
     links = H.repository_links(F.col(html))
     return (

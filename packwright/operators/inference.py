@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from packwright.operators.joins import join_unique
 from packwright.sources.checkpoints import checkpointed
+from packwright.sources.shipping import ship
 
 Provider = Callable[[str, str], str]
 
@@ -31,6 +32,8 @@ def infer_batch(
     gathering those rows in one task.
     """
 
+    ship(df.sparkSession)
+
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []

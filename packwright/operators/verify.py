@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from packwright.functions.jsontext import is_strict_json, key_differences
 from packwright.functions.text import verdict
 from packwright.operators.joins import join_unique
+from packwright.sources.shipping import ship
 
 # Layout of a package, its interface, proposal keys and task types.
 REQUIRED_DIRECTORIES = ("data", "data/raw", "data/public", "data/private")
@@ -134,6 +135,7 @@ def _interface_problems(paths: pd.Series, sources: pd.Series) -> pd.Series:
 
 def interface_findings(sources: DataFrame) -> DataFrame:
     """Interface errors in rows ``package, rel_path, source``; other files are not parsed."""
+    ship(sources.sparkSession)
     relevant = sources.filter(F.col("rel_path").isin(*_INTERFACES))
     problem = _interface_problems("rel_path", "source")
     return (

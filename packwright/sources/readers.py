@@ -42,11 +42,18 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_delimited(
-    spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV or TSV with a header. Without a schema the types are inferred by a second read."""
+    """CSV or TSV with a header. Without a schema the types are inferred by a second read.
+
+    ``multi_line=True`` takes line breaks inside quotes; then one task reads a whole file.
+    """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
-    reader = reader.option("multiLine", False)
+    reader = reader.option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

@@ -20,6 +20,10 @@ def test_delimited_round_trip(spark, tmp_path, sep):
     writers.write_delimited(df, f"{tmp_path}/t", sep)
     back = readers.read_delimited(spark, f"{tmp_path}/t", sep, df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+    broken = spark.createDataFrame([("a\nb", 1), ("c", 2)], "s string, i int")
+    writers.write_delimited(broken, f"{tmp_path}/lines", sep)
+    whole = readers.read_delimited(spark, f"{tmp_path}/lines", sep, broken.schema, multi_line=True)
+    assert sorted(map(tuple, whole.collect())) == [("a\nb", 1), ("c", 2)]
     inferred = readers.read_delimited(spark, f"{tmp_path}/t", sep)
     assert dict(inferred.dtypes)["i"] == "int"
 
