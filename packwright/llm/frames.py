@@ -31,11 +31,11 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def steps(batches: Iterator[pa.RecordBatch], limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], limit: int = STEP_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes, so that memory stays bounded."""
     for batch in batches:
         first, size = 0, 0
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         for i, length in enumerate(lengths.tolist()):
             if size and size + length > limit:
                 yield batch.slice(first, i - first)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packwright.llm import bpe, token_counts, toxicity
+from packwright.llm import bpe, decontamination, html_text, neighbours, ngram_join, suffix_dedup, token_counts, toxicity
 from packwright.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,34 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(documents, read(spark, sf_dir, "labels"), "toxic", trained_on=~held_out())
     scored = toxicity.score(documents, model)
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "worst_sentence", "worst_score")
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without those in 13-word windows of a smaller document."""
+    return suffix_dedup.digest(read(spark, sf_dir, "documents"), window=13)
+
+
+@query()
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 4-word shingles share 85 percent or more."""
+    return ngram_join.classes(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query()
+def op1_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, word for word or with other numbers and names."""
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query()
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
