@@ -20,7 +20,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def task_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def task_map(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``function`` over the Arrow batches of every partition; the package goes to the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -379,3 +379,28 @@ def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc
     found = signed.select("id", "n", "node").join(ends, "node", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return found.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), component.cast(kind).alias("component_id"))
+
+
+def representatives(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of the rows with the smallest id of their class.
+
+    Rows with a null id stay, and so do all rows that share a kept id.
+    """
+    found = classes(df, words, percent, id_col, text_col)
+    kept = found.where(F.col("component_id") == F.col(id_col)).select(F.col(id_col).alias("kept_id")).distinct()
+    named = df.join(kept, df[id_col] == kept["kept_id"], "left_semi")
+    return named.unionByName(df.where(df[id_col].isNull()))
+
+
+#: DuckDB SQL for :func:`classes` over ``documents`` with four words and 85 percent.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packwright.llm import bpe, decontamination, html_text, neighbours, ngram_join, suffix_dedup, token_counts, toxicity
+from packwright.llm import bpe, decontamination, html_text, licenses, neighbours, ngram_join, quotations, suffix_dedup, token_counts, toxicity
 from packwright.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: SQL for the pages of the test tables, whose main text is what ``article`` holds.
+ARTICLES = r"""
+WITH a AS (SELECT page_id, url, string_split_regex(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(p|h1)>') AS parts FROM pages),
+b AS (
+  SELECT page_id, url, [trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<br>', ' ', 'g').regexp_replace('<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) FOR x IN parts] AS blocks FROM a)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x != ''), chr(10) || chr(10)) AS text,
+  length(array_to_string(list_filter(blocks, lambda x: x != ''), chr(10) || chr(10))) AS n_chars FROM b"""
+
+
 @query()
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by a byte-level BPE, decoded again; digests of both."""
@@ -57,13 +67,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "worst_sentence", "worst_score")
 
 
-@query()
+@query(suffix_dedup.SQL)
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document without those in 13-word windows of a smaller document."""
     return suffix_dedup.digest(read(spark, sf_dir, "documents"), window=13)
 
 
-@query()
+@query(ngram_join.SQL)
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose sets of 4-word shingles share 85 percent or more."""
     return ngram_join.classes(read(spark, sf_dir, "documents"), words=4, percent=85)
@@ -82,7 +92,20 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
-@query()
+@query(ARTICLES)
 def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query(quotations.SQL)
+def op9_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in reply order, quotations linked and taken out."""
+    return quotations.conversations(read(spark, sf_dir, "conversations"))
+
+
+@query(licenses.sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license notices of every document."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+

@@ -286,3 +286,15 @@ def remove_repeats(df: DataFrame, window: int = 50, id_col: str = "doc_id", text
     rest = rows.schema["rest"].dataType.simpleString()
     cleaned = task_map(rows.join(found, ["id", "mark"], "left").select("rest", "text", "places"), run, f"rest {rest}, text string")
     return cleaned.select(*[F.col("text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns])
+
+
+#: DuckDB SQL for :func:`digest` over ``documents`` with windows of 13 words.
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT run, min(doc_id) AS least FROM g GROUP BY run),
+x AS (SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS i FROM g JOIN m USING (run) WHERE least < doc_id),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)) a ANTI JOIN x USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""

@@ -185,6 +185,22 @@ def score(df: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col: str
     return found.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_sentence", "worst_score")
 
 
+def accepted(df: DataFrame, model: Broadcast, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """All columns of the rows that score below the threshold."""
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        (weights, bias) = model.value
+        scores = WordScores(weights)
+        for part in batches:
+            named = pa.RecordBatch.from_arrays([pa.array(range(part.num_rows), pa.int64()), part.column(at).cast(pa.string())], ["row", "text"])
+            for step in steps(iter([named])):
+                fine = [noisy_or(sentence_odds(t, scores, bias), bias) < threshold for t in strings(step.column("text"))]
+                yield part.take(step.column("row").filter(pa.array(fine, pa.bool_())))
+
+    return task_map(df, run, df.schema)
+
+
 def offending(df: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``(id_col, sentence_no, sentence, score)``: the sentences whose own probability reaches the threshold."""
     kind = dict(df.dtypes)[id_col]
