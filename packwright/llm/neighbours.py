@@ -1,7 +1,9 @@
 """Approximate nearest neighbours: inverted lists scanned by dimensions, with early abandonment.
 
 * An index of coarse centres is fitted by k-means on a bounded sample (``SAMPLE`` vectors, chosen
-  by a hash of their ids); every vector is put into the list of its nearest centre.
+  by a hash of their ids); every vector is put into the list of its nearest centre. How many lists
+  a query probes is measured on the same sample: as many as hold the share ``RECALL`` of the true
+  neighbours of some of its vectors. Clustered vectors need few lists, others most of them.
 * Vectors are rotated by a random orthogonal matrix, which keeps distances and spreads them evenly
   over the dimensions. A probed list is scanned in blocks of columns: after each block a candidate
   whose partial distance is, by a hypothesis test, too large for the current k-th best is abandoned.
@@ -30,6 +32,8 @@ from packwright.llm.frames import task_map
 
 #: Vectors the centres are fitted on, at most.
 SAMPLE = 1 << 14
+#: Sample vectors that stand in for queries, and the share of their neighbours to be in probed lists.
+TRIALS, RECALL = 512, 0.98
 #: Vectors of a list that one task scans.
 SHARD = 1 << 15
 #: Columns of one block of the scan, and how sure the test is before it abandons.
@@ -75,6 +79,19 @@ def nearest(vectors: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros((0, count), int)
 
 
+def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int) -> int:
+    """Lists to probe so that they hold the share ``RECALL`` of the neighbours within the sample."""
+    own, ranks = nearest(sample, centres, 1)[:, 0], []
+    for at in range(0, min(TRIALS, len(sample)), 64):
+        asked = sample[at : min(at + 64, TRIALS)]
+        far = (sample**2).sum(1) - 2 * asked @ sample.T
+        far[np.arange(len(asked)), at + np.arange(len(asked))] = np.inf
+        near = np.argpartition(far, min(k, len(sample)) - 1, 1)[:, :k]
+        place = np.argsort(np.argsort((centres**2).sum(1) - 2 * asked @ centres.T, 1), 1)
+        ranks.append(np.take_along_axis(place, own[near], 1).ravel())
+    return int(np.quantile(np.concatenate(ranks), RECALL, method="higher")) + 1 if ranks else 1
+
+
 def rotation(dimension: int) -> np.ndarray:
     """A random orthogonal matrix, the same every time."""
     q, r = np.linalg.qr(np.random.default_rng(7).normal(size=(dimension, dimension)))
@@ -148,8 +165,8 @@ def search(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found for every query row.
 
-    ``lists`` defaults to the square root of the number of vectors; ``probes`` to a quarter of the
-    lists, and at least 16.
+    ``lists`` defaults to the square root of the number of vectors, ``probes`` to what
+    :func:`probes_needed` measures.
     """
     spark = df.sparkSession
     rows = valid(df, id_col, vector_col)
@@ -160,7 +177,7 @@ def search(
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").collect()
     drawn = np.array([r["vec"] for r in sample]).reshape(len(sample), max(dimension, 1))
     centres = fit(drawn, lists) if sample else np.zeros((1, max(dimension, 1)))
-    probes = min(len(centres), probes or max(16, len(centres) // 4))
+    probes = min(len(centres), probes or probes_needed(drawn, centres, k))
     shared = spark.sparkContext.broadcast(centres)
 
     # Only the k + 1 smallest ids of equal vectors can be answers; the rank cuts before the shuffle.
