@@ -11,7 +11,7 @@ repeats of a document join to its maximal repeated passages.
 * Before the shuffle a task keeps, of suffixes that are equal, those of its smallest document only;
   the others are known to repeat. So a passage that a third of all documents hold costs an entry
   per task and document block, not one per document.
-* Suffixes travel as sorted arrays of 64-bit codes. Two different runs of words count as equal with
+* Suffixes travel as arrays of 64-bit codes in order of place. Two different runs of words count as equal with
   a chance of 2^-64 per pair of one group.
 
 A word is a run of characters other than ASCII white space. A word is removed if it lies in a
@@ -23,10 +23,11 @@ share an id count as one document: nothing is removed between them. Ids are inte
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packwright.llm.frames import batch, steps, task_map
@@ -42,6 +43,7 @@ HEAVY = 1 / 8
 #: Text bytes whose suffixes are sorted together before the shuffle.
 BLOCK = 8 << 20
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _BITS = np.uint64(64 - CELLS.bit_length() + 1)
 
 
@@ -50,10 +52,11 @@ def depths(window: int) -> tuple[int, ...]:
     return tuple(d for d in (1, 2, 3, 4, 6, 9) if d < window) + (window,)
 
 
-def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, text, and a checksum that tells rows with one id apart."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+def _rows(df: DataFrame, id_col: str, text_col: str, rest: Column | None = None) -> DataFrame:
+    """Id, text, and a checksum of both that tells rows with one id apart and spreads them."""
+    own, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
+    mark = F.xxhash64(own, text)
+    return df.select(own.alias("id"), text.alias("text"), mark.alias("mark"), *([] if rest is None else [rest.alias("rest")]))
 
 
 def _plan(rows: DataFrame, window: int) -> tuple[np.ndarray, int]:
@@ -84,7 +87,7 @@ def _groups(prefixes: list[np.ndarray], heavy: np.ndarray, groups: int) -> np.nd
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Bytes of the numbers, the first byte of all, then the second: sorted ones compress."""
+    """Bytes of the numbers, the first byte of all, then the second: small ones compress."""
     return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes()
 
 
@@ -93,23 +96,33 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
-_SENT = pa.schema([("part", pa.int64()), ("codes", pa.binary()), ("docs", pa.binary()), ("places", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary())])
-_FOUND = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("places", pa.binary())])
+#: Suffixes on their way to a group: codes and gaps between their places in a block of texts, and
+#: of each text its id, mark and first place. Known repeats have no codes.
+_SENT = pa.schema([("part", pa.int64()), ("codes", pa.binary()), ("gaps", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary()), ("first", pa.binary())])
+#: Repeats on their way back to their texts: window starts of several texts of one bucket.
+_FOUND = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary()), ("counts", pa.binary()), ("places", pa.binary())])
 
 
-def _by_text(ids: np.ndarray, marks: np.ndarray, docs: np.ndarray, places: np.ndarray) -> pa.Table:
-    """Window starts packed per text."""
-    order = np.argsort(docs, kind="stable")
-    docs, places = docs[order], places[order].astype(np.uint32)
-    cuts = np.flatnonzero(np.diff(docs, prepend=-1))
-    packed = [p.tobytes() for p in np.split(places, cuts[1:])] if docs.size else []
-    return pa.Table.from_arrays(
-        [pa.array(ids[docs[cuts]], pa.int64()), pa.array(marks[docs[cuts]], pa.int64()), pa.array(packed, pa.binary())], schema=_FOUND
-    )
+def _packed(schema: pa.Schema, key: str, number: int, **arrays: np.ndarray | bytes) -> pa.RecordBatch:
+    columns = {n: [a if isinstance(a, bytes) else a.tobytes()] for n, a in arrays.items()}
+    return batch(schema, **{key: [number]}, **columns)
+
+
+def _by_bucket(ids: np.ndarray, marks: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int) -> list[pa.RecordBatch]:
+    """Window starts, packed for every bucket of texts."""
+    home = marks % buckets
+    order = np.lexsort((places, docs, home[docs]))
+    docs, places = docs[order], places[order]
+    cuts = np.flatnonzero(np.diff(home[docs], prepend=-1))
+    found = []
+    for a, b in zip(cuts, [*cuts[1:], docs.size], strict=True):
+        used, counts = np.unique(docs[a:b], return_counts=True)
+        found.append(_packed(_FOUND, "bucket", int(home[docs[a]]), ids=ids[used], marks=marks[used], counts=counts.astype(np.uint32), places=places[a:b].astype(np.uint32)))
+    return found
 
 
 def _sender(window: int, heavy: np.ndarray, groups: int):
-    """Suffix arrays of a task's texts, by group; known repeats in rows without codes."""
+    """Suffixes of a task's texts, by group; known repeats in rows of their own."""
     levels = depths(window)
 
     def send(batches):
@@ -121,97 +134,116 @@ def _sender(window: int, heavy: np.ndarray, groups: int):
             starts, codes, prefixes = runs(words, window, levels)
             if not starts.size:
                 continue
-            docs = np.repeat(np.arange(len(ids)), words.counts)[starts]
-            places = (starts - words.first[docs]).astype(np.uint32)
             own = _groups(prefixes, heavy, groups)
-            del prefixes, starts, words
+            del prefixes
+            docs = np.repeat(np.arange(len(ids)), words.counts)[starts]
             order = np.argsort(codes, kind="stable")  # of equal codes the smallest document is first
-            codes, docs, places, own = codes[order], docs[order], places[order], own[order]
-            fresh = np.r_[True, codes[1:] != codes[:-1]]
-            least = ids[docs][fresh][np.cumsum(fresh) - 1]
+            fresh = np.r_[True, codes[order][1:] != codes[order][:-1]]
+            least = np.empty(codes.size, np.int64)
+            least[order] = ids[docs[order]][fresh][np.cumsum(fresh) - 1]
             later = ids[docs] > least
             if later.any():
-                known = _by_text(ids, marks, docs[later], places[later])
-                for i in range(0, known.num_rows, 4096):
-                    rows = known.slice(i, 4096)
-                    lengths = np.array([len(p) // 4 for p in rows.column("places").to_pylist()], np.uint32)
-                    yield _sent(int(rows.column("id")[0].as_py()) % groups, b"", lengths.tobytes(), b"".join(rows.column("places").to_pylist()),
-                                rows.column("id").to_numpy(), rows.column("mark").to_numpy())
-                codes, docs, places, own = codes[~later], docs[~later], places[~later], own[~later]
-            order = np.argsort(own, kind="stable")
-            codes, docs, places, own = codes[order], docs[order], places[order], own[order]
+                places = (starts - words.first[docs])[later]
+                for row in _by_bucket(ids, marks, docs[later], places, groups):
+                    found = {n: row.column(n)[0].as_py() for n in ("ids", "marks", "counts", "places")}
+                    yield _packed(_SENT, "part", row.column("bucket")[0].as_py(), codes=b"", gaps=found["places"], ids=found["ids"], marks=found["marks"], first=found["counts"])
+            keep = np.flatnonzero(~later)
+            keep = keep[np.argsort(own[keep], kind="stable")]  # by group, and in order of place
+            own = own[keep]
             cuts = np.flatnonzero(np.diff(own, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], own.size], strict=True):
-                used, local = np.unique(docs[a:b], return_inverse=True)
-                small = np.uint16 if used.size <= 1 << 16 else np.uint32
-                near = np.uint16 if places[a:b].max() < 1 << 16 else np.uint32
-                yield _sent(int(own[a]), _planes(codes[a:b]), local.astype(small).tobytes(), places[a:b].astype(near).tobytes(), ids[used], marks[used])
+                at = starts[keep[a:b]]
+                used = np.unique(docs[keep[a:b]])
+                gaps = np.diff(at, prepend=0).astype(np.uint32)
+                yield _packed(_SENT, "part", int(own[a]), codes=codes[keep[a:b]], gaps=_planes(gaps), ids=ids[used], marks=marks[used], first=words.first[used])
 
     return send
 
 
-def _sent(part, codes, docs, places, ids, marks) -> pa.RecordBatch:
-    return batch(_SENT, part=[part], codes=[codes], docs=[docs], places=[places], ids=[ids.tobytes()], marks=[marks.tobytes()])
-
-
-def _narrow(data: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint16 if len(data) == 2 * count else np.uint32)
-
-
-def _subtree(table: pa.Table) -> pa.Table:
+def _subtree(groups: int):
     """Repeats in one group: of equal suffixes, those of documents after the smallest."""
-    out, codes, docs, places, ids, marks, texts = [], [], [], [], [], [], 0
-    for row in table.to_pylist():
-        own, mark = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["marks"], np.int64)
-        if not row["codes"]:
-            lengths = np.frombuffer(row["docs"], np.uint32).astype(np.int64)
-            found = np.split(np.frombuffer(row["places"], np.uint32), np.cumsum(lengths)[:-1])
-            out.append(pa.Table.from_arrays([pa.array(own), pa.array(mark), pa.array([f.tobytes() for f in found], pa.binary())], schema=_FOUND))
-            continue
-        code = _unplanes(row["codes"], np.uint64)
-        codes.append(code)
-        docs.append(_narrow(row["docs"], code.size).astype(np.int64) + texts)
-        places.append(_narrow(row["places"], code.size).astype(np.uint32))
-        ids.append(own)
-        marks.append(mark)
-        texts += own.size
-    if codes:
-        codes, docs, places, ids, marks = (np.concatenate(x) for x in (codes, docs, places, ids, marks))
-        order = np.argsort(codes, kind="stable")
-        same = codes[order][1:] == codes[order][:-1]
-        order = order[np.r_[same, False] | np.r_[False, same]]
-        if order.size:
-            node = np.r_[0, np.cumsum(codes[order][1:] != codes[order][:-1])]
-            least = np.full(node[-1] + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, node, ids[docs[order]])
-            later = order[ids[docs[order]] > least[node]]
-            if later.size:
-                out.append(_by_text(ids, marks, docs[later], places[later]))
-    return pa.concat_tables(out) if out else _FOUND.empty_table()
-
-
-def repeats(df: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, mark, places)``: packed starts of windows that also start in a smaller document."""
-    rows = _rows(df, id_col, text_col)
-    heavy, groups = _plan(rows, window)
-    sent = task_map(rows, _sender(window, heavy, groups), "part bigint, codes binary, docs binary, places binary, ids binary, marks binary")
-    return sent.groupBy("part").applyInArrow(lambda t: _subtree(t), "id bigint, mark bigint, places binary")
 
+    def run(table: pa.Table) -> pa.Table:
+        out, codes, docs, places, ids, marks, texts = [], [], [], [], [], [], 0
+        for row in table.to_pylist():
+            if not row["codes"]:
+                out.append(batch(_FOUND, bucket=[row["part"]], ids=[row["ids"]], marks=[row["marks"]], counts=[row["first"]], places=[row["gaps"]]))
+                continue
+            first = np.frombuffer(row["first"], np.int64)
+            at = np.cumsum(_unplanes(row["gaps"], np.uint32).astype(np.int64))
+            own = np.searchsorted(first, at, "right") - 1
+            codes.append(np.frombuffer(row["codes"], np.uint64))
+            docs.append((own + texts).astype(np.uint32))
+            places.append((at - first[own]).astype(np.uint32))
+            ids.append(np.frombuffer(row["ids"], np.int64))
+            marks.append(np.frombuffer(row["marks"], np.int64))
+            texts += first.size
+        if codes:
+            codes, docs, places, ids, marks = (np.concatenate(x) for x in (codes, docs, places, ids, marks))
+            order = np.argsort(codes, kind="stable")
+            same = codes[order][1:] == codes[order][:-1]
+            order = order[np.r_[same, False] | np.r_[False, same]]
+            if order.size:
+                node = np.r_[0, np.cumsum(codes[order][1:] != codes[order][:-1])]
+                least = np.full(node[-1] + 1, np.iinfo(np.int64).max)
+                np.minimum.at(least, node, ids[docs[order]])
+                later = order[ids[docs[order]] > least[node]]
+                if later.size:
+                    out += _by_bucket(ids, marks, docs[later].astype(np.int64), places[later], groups)
+        return pa.Table.from_batches(out, _FOUND)
+
+    return run
+
+
+def _over_repeats(rows: DataFrame, window: int, function, schema: str) -> DataFrame:
+    """``function`` over batches of rows and, by id and mark, the starts of their repeated windows.
+
+    Texts and repeats meet by bucket: in a task, a bucket's repeats come first and are kept while
+    its texts stream by.
+    """
+    heavy, groups = _plan(rows, window)
+    sent = task_map(rows, _sender(window, heavy, groups), "part bigint, codes binary, gaps binary, ids binary, marks binary, first binary")
+    form = _subtree(groups)
+    found = sent.groupBy("part").applyInArrow(lambda t: form(t), "bucket bigint, ids binary, marks binary, counts binary, places binary")
+    texts = rows.withColumns({"bucket": F.pmod("mark", F.lit(groups)), "is_text": F.lit(True)})
+    both = texts.unionByName(found.withColumn("is_text", F.lit(False)), allowMissingColumns=True)
+    both = both.repartition("bucket").sortWithinPartitions("bucket", "is_text")
 
-def covered(n_words: int, packed: list[bytes] | None, window: int) -> np.ndarray:
+    def run(batches):
+        bucket, known = None, {}
+        for part in batches:
+            if not part.num_rows:
+                continue
+            homes, kinds = part.column("bucket").to_numpy(), part.column("is_text").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((homes[1:] != homes[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, part.num_rows], strict=True):
+                if homes[a] != bucket:
+                    bucket, known = homes[a], {}
+                own = part.slice(a, b - a)
+                if kinds[a]:
+                    for step in steps(iter([own])):
+                        yield function(step, [known.get(k) for k in zip(step.column("id").to_pylist(), step.column("mark").to_pylist(), strict=True)])
+                    continue
+                for row in own.select(["ids", "marks", "counts", "places"]).to_pylist():
+                    ends = np.cumsum(np.frombuffer(row["counts"], np.uint32).astype(np.int64))
+                    starts = np.split(np.frombuffer(row["places"], np.uint32), ends[:-1])
+                    for key, at in zip(zip(np.frombuffer(row["ids"], np.int64).tolist(), np.frombuffer(row["marks"], np.int64).tolist(), strict=True), starts, strict=True):
+                        known.setdefault(key, []).append(at)
+
+    return task_map(both, run, schema)
+
+
+def covered(n_words: int, starts: list[np.ndarray] | None, window: int) -> np.ndarray:
     """Which words lie in one of the windows."""
     edges = np.zeros(n_words + 1, np.int64)
-    for data in packed or ():
-        at = np.frombuffer(data, np.uint32)
+    for at in starts or ():
         np.add.at(edges, at, 1)
         np.add.at(edges, at + window, -1)
     return np.cumsum(edges)[:n_words] > 0
 
 
-def _with_repeats(df: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """The texts with all their packed window starts; each text has at most as many as words."""
-    found = repeats(df, window, id_col, text_col).groupBy("id", "mark").agg(F.collect_list("places").alias("places"))
-    return _rows(df, id_col, text_col).join(found, ["id", "mark"], "left")
+def _bytes(column: pa.Array) -> list[bytes]:
+    return pa.compute.fill_null(column, "").cast(pa.binary()).to_pylist()
 
 
 def digest(df: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,20 +251,19 @@ def digest(df: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: st
     kind = dict(df.dtypes)[id_col]
     schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
-    def run(batches):
-        for part in steps(batches):
-            total, gone, sums = [], [], []
-            for text, packed in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("places").to_pylist(), strict=True):
-                words = text.split()
-                total.append(len(words))
-                if packed:
-                    mask = covered(len(words), packed, window)
-                    words = [w for w, m in zip(words, mask.tolist(), strict=True) if not m]
-                gone.append(total[-1] - len(words))
-                sums.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            yield batch(schema, id=part.column("id"), n_words=total, n_removed=gone, kept_sha256=sums)
-
-    found = task_map(_with_repeats(df, window, id_col, text_col), run, "id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    def run(part, repeated):
+        total, gone, sums = [], [], []
+        for text, starts in zip(_bytes(part.column("text")), repeated, strict=True):
+            words = text.split()
+            total.append(len(words))
+            if starts:
+                mask = covered(len(words), starts, window)
+                words = [w for w, m in zip(words, mask.tolist(), strict=True) if not m]
+            gone.append(total[-1] - len(words))
+            sums.append(hashlib.sha256(b" ".join(words)).hexdigest())
+        return batch(schema, id=part.column("id"), n_words=total, n_removed=gone, kept_sha256=sums)
+
+    found = _over_repeats(_rows(df, id_col, text_col), window, run, "id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return found.select(F.col("id").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256")
 
 
@@ -241,19 +272,18 @@ def passages(df: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
     kind = dict(df.dtypes)[id_col]
     schema = pa.schema([("id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("passage", pa.string())])
 
-    def run(batches):
-        for part in steps(batches):
-            rows = []
-            for i, text, packed in zip(part.column("id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), part.column("places").to_pylist(), strict=True):
+    def run(part, repeated):
+        rows = []
+        for i, text, starts in zip(part.column("id").to_pylist(), _bytes(part.column("text")), repeated, strict=True):
+            if starts:
                 words = text.split()
-                mask = np.r_[False, covered(len(words), packed, window), False]
+                mask = np.r_[False, covered(len(words), starts, window), False]
                 edges = np.flatnonzero(mask[1:] != mask[:-1]).reshape(-1, 2).tolist()
                 rows += [(i, a, b - a, b" ".join(words[a:b]).decode("utf-8", "replace")) for a, b in edges]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    source = _with_repeats(df, window, id_col, text_col).where(F.col("places").isNotNull())
-    found = task_map(source, run, "id bigint, first_word bigint, n_words bigint, passage string")
+    found = _over_repeats(_rows(df, id_col, text_col), window, run, "id bigint, first_word bigint, n_words bigint, passage string")
     return found.select(F.col("id").cast(kind).alias(id_col), "first_word", "n_words", "passage")
 
 
@@ -263,28 +293,22 @@ def remove_repeats(df: DataFrame, window: int = 50, id_col: str = "doc_id", text
     Texts without a repeat stay as they are; of the others the white space around what was cut
     out goes with it. A text that repeats as a whole becomes empty.
     """
-    columns = [c for c in df.columns if c != text_col]
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("rest"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = repeats(df, window, id_col, text_col).groupBy("id", "mark").agg(F.collect_list("places").alias("places"))
-
-    def run(batches):
-        import re
-
-        pattern = re.compile(rb"[^\x20\x09-\x0D]+")
-        for part in steps(batches):
-            texts = []
-            for text, packed in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("places").to_pylist(), strict=True):
-                if packed and text:
-                    spans = [m.span() for m in pattern.finditer(text)]
-                    mask = np.r_[True, covered(len(spans), packed, window), True]
-                    kept = np.flatnonzero(mask[1:] != mask[:-1]).reshape(-1, 2).tolist()
-                    text = b" ".join(text[spans[a][0] : spans[b - 1][1]] for a, b in kept)
-                texts.append(None if text is None else text.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
-
-    rest = rows.schema["rest"].dataType.simpleString()
-    cleaned = task_map(rows.join(found, ["id", "mark"], "left").select("rest", "text", "places"), run, f"rest {rest}, text string")
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
+    rows = _rows(df, id_col, text_col, rest)
+
+    def run(part, repeated):
+        texts = []
+        for text, starts in zip(part.column("text").cast(pa.binary()).to_pylist(), repeated, strict=True):
+            if starts and text:
+                spans = [m.span() for m in _WORD.finditer(text)]
+                mask = np.r_[True, covered(len(spans), starts, window), True]
+                kept = np.flatnonzero(mask[1:] != mask[:-1]).reshape(-1, 2).tolist()
+                text = b" ".join(text[spans[a][0] : spans[b - 1][1]] for a, b in kept)
+            texts.append(None if text is None else text.decode("utf-8", "replace"))
+        return pa.RecordBatch.from_arrays([part.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
+
+    kind = rows.schema["rest"].dataType.simpleString()
+    cleaned = _over_repeats(rows, window, run, f"rest {kind}, text string")
     return cleaned.select(*[F.col("text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns])
 
 
