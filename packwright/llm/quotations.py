@@ -101,7 +101,7 @@ def conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     before = turns.select("conv", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("before"))
     parents = turns.join(before, _KEY, "left").join(replies, _KEY, "left").select(*_KEY, F.coalesce("quoted", "before").alias("parent"))
     placed = messages.join(_threads(parents), _KEY, "left").join(quotes, _KEY, "left")
-    clean = unquoted(F.col("text"))
+    placed = placed.withColumn("text", unquoted(F.col("text")))
     return placed.select(
         F.col("conv").alias(conv_col),
         F.col("turn").alias(turn_col),
@@ -110,8 +110,8 @@ def conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
         F.coalesce("thread", "turn").alias("thread"),
         F.coalesce("position", F.lit(0)).alias("position"),
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
-        clean.alias(text_col),
-        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), clean, F.lit("<|end|>\n")).alias("formatted"),
+        F.col("text").alias(text_col),
+        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), "text", F.lit("<|end|>\n")).alias("formatted"),
     )
 
 
