@@ -9,13 +9,15 @@ words. Two texts link when ``percent`` of their union is shared. The join is exa
 2. Texts with equal sets count as one node. Keys are grouped, in packed arrays, by hash. The nodes
    of a key are sorted by size and cut into size bands wherever no pair across the cut could link;
    each band is a tile, and large bands become pairs of blocks. Tiles with equal nodes are one.
-3. Every node has a bitmap of hashed runs with about two bits a run. In a tile, the bits that only
-   one of two bitmaps has bound the overlap from above; nodes with no possible partner go.
-4. The sorted arrays of those left are intersected. A tile stops comparing nodes that are already
-   connected, so a group of thousands of near copies costs no quadratic output.
+3. Every node has a bitmap of hashed runs with four bits a run or more. In a tile, the bits that
+   only one of two bitmaps has bound the overlap from above; nodes with no possible partner go, and
+   the others fall into clusters of possible partners.
+4. The sorted arrays of a cluster's nodes, sent once each, are intersected. A cluster stops comparing
+   nodes that are already connected, so thousands of near copies cost no quadratic output.
 
 Tiles run twice: first each node meets the smallest node it shares a key with (most classes close
-here), then every tile that still holds nodes of different classes.
+here), then every tile that still holds nodes of different classes. The clusters of the second run
+are joined over all tiles, as two nodes may share many.
 
 Null and empty texts have no set and link with nothing. Rows with a null id keep a null class.
 Repeated rows are copies. Runs are 64-bit hashes, and a set is known by a 64-bit hash of its runs.
@@ -76,8 +78,8 @@ def sets(column: pa.Array, length: int) -> list[np.ndarray]:
 
 
 def bitmap(runs_: np.ndarray) -> np.ndarray:
-    """Bits of hashed runs, at least two a run, as 64-bit words."""
-    width = max(64, 1 << int(2 * runs_.size - 1).bit_length())
+    """Bits of hashed runs, at least four a run, as 64-bit words."""
+    width = max(64, 1 << int(4 * runs_.size - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(runs_ & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -241,15 +243,22 @@ def _least(size: int, sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _possible(percent: int):
-    """Rows of a tile whose bitmap leaves a partner of another class possible."""
+    """Rows of a tile whose bitmap leaves a partner of another class possible.
+
+    ``root`` is one node of the cluster that possible partners form within the tile.
+    """
 
     def run(table: pa.Table, edges: list[int]):
-        sizes, classes = table.column("n").to_numpy(), table.column("class").to_numpy()
+        sizes, classes, nodes = (table.column(c).to_numpy() for c in ("n", "class", "node"))
         maps = [np.frombuffer(b, np.uint64) for b in table.column("bits").to_pylist()]
+        root = np.arange(table.num_rows)
         keep = np.zeros(table.num_rows, bool)
         for a, b in zip(edges, edges[1:], strict=False):
             order = a + np.argsort(sizes[a:b], kind="stable")
             own, label = sizes[order], classes[order]
+            if (label == label[0]).all():
+                continue
+            cluster = np.arange(order.size)
             widths = np.array([maps[i].size for i in order])
             stacks = {w: np.stack([maps[i] for i in order[widths == w]]) for w in np.unique(widths).tolist()}
             ranks = {w: np.flatnonzero(widths == w) for w in stacks}
@@ -260,7 +269,7 @@ def _possible(percent: int):
                         continue
                     x, y = np.searchsorted(rank, (low, i))
                     near = rank[x:y]
-                    other = label[near] != label[i]
+                    other = (label[near] != label[i]) & (cluster[near] != cluster[i])
                     if not other.any():
                         continue
                     near = near[other]
@@ -269,7 +278,10 @@ def _possible(percent: int):
                     if near.size:
                         keep[order[i]] = True
                         keep[order[near]] = True
-        yield from table.select(["tile", "node", "class"]).filter(pa.array(keep)).to_batches()
+                        cluster[np.isin(cluster, cluster[near])] = cluster[i]
+            root[order] = order[cluster]
+        found = table.select(["tile", "node", "class"]).append_column("root", pa.array(nodes[root]))
+        yield from found.filter(pa.array(keep)).to_batches()
 
     return run
 
@@ -287,7 +299,7 @@ def _links(percent: int):
             own, label = sizes[order], np.unique(classes[order], return_inverse=True)[1]
             if order.size < 2 or not label.any():
                 continue
-            width = max(1, 1 << int(2 * own[-1] - 1).bit_length() >> 6)
+            width = max(1, 1 << int(4 * own[-1] - 1).bit_length() >> 6)
             stack = np.zeros((order.size, width * 64), bool)
             for k, i in enumerate(order):
                 stack[k, (own_sets[i] & np.uint64(width * 64 - 1)).astype(np.int64)] = True
@@ -317,11 +329,26 @@ def _picked(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def _resolve(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
-    """Links between nodes of different classes in ``tiles`` of ``(tile, node, class)``."""
+def _candidates(tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(tile, node, class, root)`` of nodes with a possible partner, from ``(tile, node, class)``."""
     facts = nodes.select("node", "n", "bits")
-    possible = stored(_by_tile(tiles.join(facts, "node"), _possible(percent), "tile bigint, node bigint, class bigint"))
-    ids = stored(nodes.join(possible.select("node").distinct(), "node", "left_semi").select("id"))
+    return stored(_by_tile(tiles.join(facts, "node"), _possible(percent), "tile bigint, node bigint, class bigint, root bigint"))
+
+
+def _resolve(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
+    """Links between nodes of different classes in clusters of ``(tile, node, class)``.
+
+    A cluster too large for a task is dealt to blocks, and every two blocks are a tile.
+    """
+    size = clusters.join(nodes.select("node", "n"), "node").groupBy("tile").agg(F.count("*").alias("k"), F.sum("n").alias("runs"))
+    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_NODES), F.ceil(F.col("runs") / BLOCK_RUNS))
+    dealt = clusters.join(size.select("tile", blocks.alias("blocks")), "tile").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    pair = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("tile", "node", "class", "own", pair)
+    meeting = F.xxhash64("tile", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = dealt.select(meeting.alias("tile"), "node", "class")
+
+    ids = stored(nodes.join(clusters.select("node").distinct(), "node", "left_semi").select("id"))
     schema = pa.schema([("node", pa.int64()), ("runs", pa.binary())])
 
     def run(batches):
@@ -330,7 +357,7 @@ def _resolve(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, length: int,
             yield batch(schema, node=[node_of(s) for s in found], runs=[s.tobytes() for s in found])
 
     arrays = task_map(_picked(texts, ids), run, "node bigint, runs binary").dropDuplicates(["node"])
-    return _by_tile(possible.join(arrays, "node"), _links(percent), "a bigint, b bigint")
+    return stored(_by_tile(dealt.join(arrays, "node"), _links(percent), "a bigint, b bigint"))
 
 
 def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,13 +391,17 @@ def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc
     placed = stars.join(sizes, "lead").select("lead", block.alias("block"), "node")
     leads = placed.select("lead", "block", F.col("lead").alias("node")).distinct()
     first = placed.unionByName(leads).distinct().select(F.xxhash64("lead", "block").alias("tile"), "node", F.col("node").alias("class"))
-    links = stored(_resolve(first, nodes, texts, words, percent))
+    possible = _candidates(first, nodes, percent).select(F.xxhash64("tile", "root").alias("tile"), "node", "class")
+    links = _resolve(possible, nodes, texts, words, percent)
     known = stored(components(links))
 
     # Then the tiles that still hold several classes.
     labelled = members.join(known, "node", "left").select("tile", "node", F.coalesce("component", "node").alias("class"))
     open_ = labelled.groupBy("tile").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("tile")
-    more = stored(_resolve(labelled.join(open_, "tile", "left_semi"), nodes, texts, words, percent))
+    possible = _candidates(labelled.join(open_, "tile", "left_semi"), nodes, percent)
+    clusters = components(possible.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    possible = possible.select("node", "class").distinct().join(clusters, "node").select(F.col("component").alias("tile"), "node", "class")
+    more = _resolve(stored(possible), nodes, texts, words, percent)
     known = stored(components(links.unionByName(more)))
 
     named = nodes.select("node", "id").join(known, "node", "left").select("node", "id", F.coalesce("component", "node").alias("class"))
