@@ -8,20 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows from which a key is treated apart.
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
+#: A key is hot only with more than this fraction of the rows, so there are never more hot keys.
+HOT_KEYS = 100_000
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS``."""
+    """All keys with more than ``hot_rows`` rows and more than 1 / ``HOT_KEYS`` of all rows.
+
+    By the second bound there are fewer than ``HOT_KEYS`` of them, and a key below it is no
+    more than a task's share of a table that large.
+    """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    return (
-        counts.filter(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on)
-    )
+    frequent = counts.filter(F.col("__rows") > hot_rows)
+    rows = df.count() if hot_rows >= HOT_ROWS else 0
+    return frequent.filter(F.col("__rows") > rows // HOT_KEYS).select(*on)
 
 
 def join_unique(
@@ -35,8 +38,9 @@ def join_unique(
 
     ``how`` is one of ``JOIN_TYPES``; for the last two, ``right`` need not be unique.
 
-    Rows of a hot key stay where they are: the few matching right rows (one per hot key, at
-    most ``MAX_HOT_KEYS``) are broadcast to them. All other rows take the ordinary join.
+    Rows of a hot key stay where they are: the matching right rows, one per hot key (see
+    :func:`hot_keys` for their bound), are broadcast to them. All other rows take the ordinary
+    join. Raises ``ValueError`` if a hot key has several right rows.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {how}")
@@ -48,6 +52,8 @@ def join_unique(
     hot_right = right.join(F.broadcast(hot), on, "left_semi")
     if how in ("left_semi", "left_anti"):
         hot_right = hot_right.select(*on).distinct()
+    elif hot_right.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").head(1):
+        raise ValueError("the right side has several rows for a key")
     # A null key matches nothing, so its rows need not travel either.
     is_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     staying = left.join(F.broadcast(hot), on, "left_semi").unionByName(left.filter(is_null))

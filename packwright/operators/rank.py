@@ -21,6 +21,7 @@ from packwright.operators.joins import join_unique
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 16_384
 SAMPLE_PER_RANGE = 32
+#: Rows at which a search stops narrowing and takes a top-k; the result is the same at any value.
 SMALL_ROWS = 100_000
 
 
@@ -104,7 +105,10 @@ def _range_totals(df: DataFrame, index: Column, weight: Column) -> dict[int, int
     return {row["range"]: row["rows"] for row in totals}
 
 
-def _ranked(df: DataFrame, columns: Sequence[str], name: str, weight: str | None) -> DataFrame:
+def _ranked(
+    df: DataFrame, columns: Sequence[str], name: str, weight: str | None, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Positions by ``columns``, which alone make up the ranges, and then by ``ties``."""
     rows = df.count()
     found = find_ranges(df, columns, rows, range_count(df, rows))
     one = F.lit(1) if weight is None else F.col(weight)
@@ -113,7 +117,7 @@ def _ranked(df: DataFrame, columns: Sequence[str], name: str, weight: str | None
     starts = [0, *accumulate(sizes)][:-1]
     start_of = F.from_json(F.lit(str(starts)), "array<bigint>")
 
-    in_range = Window.partitionBy("__range").orderBy(*columns)
+    in_range = Window.partitionBy("__range").orderBy(*columns, *ties)
     if weight is None:
         position = F.row_number().over(in_range).cast("bigint") - 1
     else:
@@ -142,10 +146,15 @@ def global_rank(
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
     tie = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
     keyed = copies.withColumn("__tie", tie)
-    ranked = _ranked(keyed, [*order_cols, "__tie", *others], name, "__copies")
+    ranked = _ranked(keyed, [*order_cols, "__tie"], name, "__copies", others)
     return _expand_copies(ranked, name).select(*df.columns, name)
 
 
+def weighted_rank(df: DataFrame, order_cols: Sequence[str], name: str, weight: str) -> DataFrame:
+    """Add the sum of ``weight`` over all rows before a row; the order columns identify it."""
+    return _ranked(df, list(order_cols), name, weight)
+
+
 def _expand_copies(ranked: DataFrame, name: str, chunk: int = 1_000_000) -> DataFrame:
     """Number the ``__copies`` equal rows from ``name`` on.
 
@@ -172,7 +181,9 @@ def row_keys(df: DataFrame, name: str = "row_key") -> DataFrame:
     The key is a digest of the row and, for equal rows, a number. It depends on the rows
     alone, not on how they are partitioned. Equal rows are counted before the shuffle.
     """
-    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    # Whole microseconds, or rows that differ in them alone would get one digest.
+    exact = {f: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for f in ("timestampFormat", "timestampNTZFormat")}
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), exact))
     copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
         F.count(F.lit(1)).alias("__copies")
     )
@@ -228,16 +239,12 @@ def group_rank(
 ) -> DataFrame:
     """0-based position of each row within its group; a group may span many tasks.
 
-    ``group_cols + order_cols`` should identify a row. Groups within ``SMALL_ROWS`` use a
-    plain window. If any is larger, the global position minus the group's first position is
-    used, where the first positions come from a map-side minimum.
+    ``group_cols + order_cols`` should identify a row; null is a group of its own. The rank is
+    the global position minus the group's first position, which comes from a map-side minimum.
     """
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.agg(F.max("rows")).first()[0] or 0
-    if largest <= SMALL_ROWS:
-        window = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
     ranked = global_rank(df, [*group_cols, *order_cols], name)
-    starts = ranked.groupBy(*group_cols).agg(F.min(name).alias("__start"))
-    joined = join_unique(ranked, starts, list(group_cols))
+    # A struct is never null itself, so null groups meet their own start.
+    ranked = ranked.withColumn("__group", F.struct(*[F.col(c) for c in group_cols]))
+    starts = ranked.groupBy("__group").agg(F.min(name).alias("__start"))
+    joined = join_unique(ranked, starts, ["__group"])
     return joined.select(*df.columns, (F.col(name) - F.col("__start")).alias(name))

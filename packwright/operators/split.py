@@ -17,7 +17,6 @@ from pyspark.sql.window import Window
 from packwright.operators.joins import join_unique
 from packwright.operators.rank import (
     SMALL_ROWS,
-    global_rank,
     group_rank,
     key_struct,
     row_keys,
@@ -27,10 +26,10 @@ from packwright.operators.rank import (
 from packwright.sources.checkpoints import checkpointed
 
 TRAIN, TEST = "train", "test"
+NOT_STRATIFIED = "not_stratified"
 SEED = 42
 PREFIX = 4  # hex digits per level: at most 65,536 counts reach the driver
 HASH_DIGITS = 32
-MAX_BROADCAST_LABELS = 10_000
 
 
 def split_hash(key: str, seed: int = SEED) -> Column:
@@ -98,7 +97,7 @@ def random_row_split(df: DataFrame, seed: int = SEED) -> DataFrame:
 
 def dimension_split(df: DataFrame, dim: str, seed: int = SEED) -> DataFrame:
     """Split the distinct values of ``dim`` at random; rows follow their value."""
-    cut = _hash_cut(df.select(dim).distinct(), dim, seed)
+    cut = _hash_cut(checkpointed(df.select(dim).distinct()), dim, seed)
     is_test = F.lit(False) if cut is None else split_hash(dim, seed) <= cut
     return df.withColumn("split", _side(is_test))
 
@@ -117,24 +116,24 @@ def label_quotas(counts: DataFrame, label: str) -> DataFrame:
     )
     left_over = wanted - (quotas.agg(F.sum("base")).first()[0] or 0)
     served = quotas.withColumn("order", -F.col("remainder"))
-    if labels <= MAX_BROADCAST_LABELS:  # a bounded table, so one task may number it
-        by_need = Window.orderBy("order", label)
-        served = served.withColumn("place", F.row_number().over(by_need) - 1)
-    else:
-        served = global_rank(served, ["order", label], "place")
-    extra = F.when(F.col("place") < left_over, 1).otherwise(0)
+    if left_over <= 0:
+        return served.select(label, "rows", F.col("base").alias("quota"))
+    # One more for every label up to the last one that the left-over rows reach.
+    last = value_at(served, ["order", label], int(left_over) - 1, labels)
+    values = [typed_literal(v, served.schema[c].dataType) for v, c in zip(last, ("order", label))]
+    reached = F.struct(*[v.alias(c) for v, c in zip(values, ("order", label))])
+    extra = F.when(key_struct(["order", label]) <= reached, 1).otherwise(0)
     return served.select(label, "rows", (F.col("base") + extra).alias("quota"))
 
 
 def _label_cuts(
-    parts: DataFrame, hashed: DataFrame, quotas: DataFrame, label: str, few: bool
+    parts: DataFrame, hashed: DataFrame, quotas: DataFrame, label: str
 ) -> DataFrame:
     """Largest test hash per label (labels without a quota are absent).
 
     ``parts`` counts rows per label and hash prefix. Only the rows of the one prefix that
     holds the cut are ordered, so even a label with most of the rows has a short list.
     """
-    small = F.broadcast if few else (lambda side: side)
     upto = (
         Window.partitionBy(label)
         .orderBy("digits")
@@ -143,12 +142,12 @@ def _label_cuts(
     before = F.col("upto") - F.col("in_part")
     cut_part = (
         parts.withColumn("upto", F.sum("in_part").over(upto))
-        .join(small(quotas), label)
+        .join(quotas, label)
         .filter((F.col("quota") > before) & (F.col("quota") <= F.col("upto")))
         .select(label, "digits", (F.col("quota") - before).alias("needed"))
     )
     in_cut_part = hashed.withColumn("digits", F.substring("h", 1, PREFIX)).join(
-        small(cut_part), [label, "digits"]
+        cut_part, [label, "digits"]
     )
     place = F.row_number().over(Window.partitionBy(label).orderBy("h"))
     return (
@@ -162,8 +161,10 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
     """Add ``split`` so that every label contributes its share of the test rows.
 
     Raises ``ValueError`` when a label is null or has one member, or when there are more
-    labels than test rows: such a table cannot be stratified. The table is read three times:
-    for the counts per label and hash prefix, for the rows at the cuts, and for the result.
+    labels than test rows: such a table cannot be stratified. Rows that share a key stay
+    together, so a label's test side is the shortest run of its keys, in hash order, that holds
+    its share of rows. The table is read for the counts per label and hash prefix, for the rows
+    at the cuts, for the most frequent labels, and for the result.
     """
     hashed = df.select(label, split_hash(key, seed).alias("h"))
     parts = checkpointed(
@@ -183,12 +184,8 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
         raise ValueError("cannot stratify: a label has only one member")
     if labels > test_size(rows):
         raise ValueError("cannot stratify: more labels than test rows")
-    few = labels <= MAX_BROADCAST_LABELS
-    cuts = _label_cuts(parts, hashed, label_quotas(counts, label), label, few)
-    if few:
-        marked = df.join(F.broadcast(cuts), label, "left")
-    else:
-        marked = join_unique(df, cuts, [label], "left")
+    cuts = checkpointed(_label_cuts(parts, hashed, label_quotas(counts, label), label))
+    marked = join_unique(df, cuts, [label], "left")
     is_test = F.coalesce(split_hash(key, seed) <= F.col("__cut"), F.lit(False))
     return marked.withColumn("split", _side(is_test)).select(*df.columns, "split")
 
@@ -206,10 +203,11 @@ def ordered_split(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
 
 def ordered_split_within(df: DataFrame, group: str, order_cols: Sequence[str]) -> DataFrame:
     """:func:`ordered_split` of each group by itself (the files of each dataset, say)."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows"))
-    placed = group_rank(df, [group], list(order_cols), "__place")
+    as_group = F.struct(F.col(group)).alias("__group")  # never null, so null is a group too
+    sizes = df.groupBy(as_group).agg(F.count(F.lit(1)).alias("__rows"))
+    placed = group_rank(df, [group], list(order_cols), "__place").withColumn("__group", as_group)
     is_test = F.col("__place") >= F.expr("__rows * 4 div 5")
-    joined = join_unique(placed, sizes, [group])
+    joined = join_unique(placed, sizes, ["__group"])
     return joined.withColumn("split", _side(is_test)).select(*df.columns, "split")
 
 
@@ -223,7 +221,7 @@ def _before_cut(df: DataFrame, columns: list[str], rows: int) -> Column:
 
 
 def _before_time_cut(df: DataFrame, ts: str) -> Column:
-    steps = df.select(ts).filter(F.col(ts).isNotNull()).distinct()
+    steps = checkpointed(df.select(ts).filter(F.col(ts).isNotNull()).distinct())
     count = steps.count()
     if count < 2:
         raise ValueError("a time split needs at least two time steps")
@@ -239,6 +237,20 @@ def time_split(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("split", _side(~_before_time_cut(df, ts)))
 
 
+def time_or_dimension_split(
+    df: DataFrame, ts: str | None, dim: str, seed: int = SEED
+) -> DataFrame:
+    """:func:`time_split` where there are two time steps or more, else :func:`dimension_split`.
+
+    ``ts`` is None, or no column, for a table without times.
+    """
+    if ts is not None and ts in df.columns:
+        steps = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).first()
+        if steps["a"] != steps["b"]:
+            return time_split(df, ts)
+    return dimension_split(df, dim, seed)
+
+
 def time_sides(df: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
     """(train, test) of :func:`time_split`, as comparisons the scan can use to skip data."""
     before = _before_time_cut(df, ts)
@@ -288,7 +300,8 @@ def top_files(manifest: DataFrame, k: int = MERGE_FILES, by: str | None = None)
 def _stratified_images(files: DataFrame, seed: int = SEED) -> DataFrame:
     """Add ``part`` to image files, stratified by parent directory within each dataset.
 
-    Datasets that cannot be stratified are left out.
+    Files of a dataset that cannot be stratified (a directory with one image, or more directories
+    than test images) get the part ``not_stratified``.
     """
     label = F.substring_index(F.substring_index("path", "/", -2), "/", 1)
     images = files.withColumns({"label": label, "h": split_hash("path", seed)})
@@ -309,10 +322,11 @@ def _stratified_images(files: DataFrame, seed: int = SEED) -> DataFrame:
     ranked = group_rank(images, ["dataset", "label"], ["h", "path"], "place")
     chosen = join_unique(
         ranked,
-        quotas.filter("possible").select("dataset", "label", "quota"),
+        quotas.select("dataset", "label", "quota", "possible"),
         ["dataset", "label"],
     )
-    return chosen.withColumn("part", _side(F.col("place") < F.col("quota")))
+    side = F.when(F.col("possible"), _side(F.col("place") < F.col("quota")))
+    return chosen.withColumn("part", F.coalesce(side, F.lit(NOT_STRATIFIED)))
 
 
 def split_manifest(manifest: DataFrame, strategies: DataFrame) -> DataFrame:
@@ -320,8 +334,9 @@ def split_manifest(manifest: DataFrame, strategies: DataFrame) -> DataFrame:
 
     ``manifest`` has ``dataset, path, rel_path, ext, length``; ``strategies`` has ``dataset,
     strategy, primary_format, train_dir, test_dir``. ``part`` is ``train`` or ``test`` for a
-    ready-made, ordered or stratified split, and ``merge`` for the largest files of a dataset
-    whose rows are to be merged and split. Files that play no part are left out.
+    ready-made, ordered or stratified split, ``merge`` for the largest files of a dataset
+    whose rows are to be merged and split, and ``not_stratified`` for images whose dataset cannot
+    be stratified. Files that play no part are left out.
     """
     facts = ("strategy", "primary_format", "train_dir", "test_dir")
     files = join_unique(manifest, strategies.select("dataset", *facts), ["dataset"])

@@ -86,10 +86,7 @@ def quota_model(counts):
     "counts",
     [{"a": 46, "b": 262, "c": 39, "d": 52}, {"a": 2, "b": 2, "c": 2, "d": 4}, {"x": 300, "y": 3, "z": 7}, {"only": 11}],
 )
-@pytest.mark.parametrize("few", [True, False])
-def test_stratified_split(spark, monkeypatch, counts, few):
-    if not few:
-        monkeypatch.setattr(split, "MAX_BROADCAST_LABELS", 0)
+def test_stratified_split(spark, monkeypatch, counts):
     monkeypatch.setattr(split, "PREFIX", 1)
     rows = [(f"{k}{i}", k) for k, n in counts.items() for i in range(n)]
     df = spark.createDataFrame(rows, "k string, label string")
@@ -214,6 +211,8 @@ def test_image_files_are_stratified_by_directory(spark):
     facts = [(d, "stratified_images", ".png", None, None) for d in "ab"]
     schema = "dataset string, strategy string, primary_format string, train_dir string, test_dir string"
     found = split.split_manifest(manifest, spark.createDataFrame(facts, schema)).collect()
-    assert len(found) == len(labels)  # dataset b has a label with one member
+    assert len(found) == len(labels) + 3
+    # Dataset b has a label with one member.
+    assert all((r.part == split.NOT_STRATIFIED) == (r.dataset == "b") for r in found)
     tests = [r.path.split("/")[1] for r in found if r.part == "test"]
     assert {x: tests.count(x) for x in set(labels)} == quota_model({x: labels.count(x) for x in set(labels)})
