@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
@@ -13,44 +15,48 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CATEGORIES = 1_000
+#: Columns of the hashed text features.
 HASHED_FEATURES = 4_096
 MISSING = "(missing)"
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _feature_kinds(train: DataFrame, skip: set[str]) -> tuple[list[str], list[str], list[str]]:
-    """(numeric, few-valued text, many-valued text) columns.
-
-    An indexer keeps its categories on the driver, so text columns with many values are
-    hashed instead; an approximate count decides.
-    """
-    fields = [f for f in train.schema if f.name not in skip]
-    numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    text = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BooleanType))]
-    if not text:
-        return numeric, [], []
-    distinct = train.agg(*[F.approx_count_distinct(c) for c in text]).first()
-    few = [c for c, n in zip(text, distinct) if n <= MAX_CATEGORIES]
-    return numeric, few, [c for c in text if c not in few]
+def _as_number(field: T.StructField) -> Column:
+    """A number as it is, a date or time as seconds."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, _TIMES):
+        column = F.unix_micros(column.cast("timestamp")) / 1e6
+    return column.cast("double")
 
 
 def fit_predict(
-    train: DataFrame, test: DataFrame, target: str, id_col: str = "Id", task_type: str = "regression"
+    train: DataFrame,
+    test: DataFrame,
+    target: str,
+    id_col: str = "Id",
+    task_type: str = "regression",
+    one_hot: Sequence[str] = (),
 ) -> DataFrame:
     """Fit on ``train`` and return ``id_col, prediction`` for every row of ``test``.
 
-    Numbers are imputed, text with few values is one-hot encoded, text with many is hashed.
+    Numbers, dates and times are imputed. Text is hashed, so no column's values are gathered;
+    the columns named in ``one_hot``, whose values the caller knows to be few, are encoded
+    exactly.
     """
     classify = task_type == "classification"
-    numeric, few, many = _feature_kinds(train, {target, id_col})
+    fields = [f for f in train.schema if f.name not in {target, id_col}]
+    plain = {f.name: f for f in fields if isinstance(f.dataType, (T.NumericType, *_TIMES))}
+    numeric = list(plain)
+    text = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BooleanType))]
+    few, many = [c for c in text if c in one_hot], [c for c in text if c not in one_hot]
 
     def prepared(df: DataFrame) -> DataFrame:
-        casts = {c: F.col(c).cast("double") for c in numeric}
-        casts |= {c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in (*few, *many)}
+        casts = {c: _as_number(plain[c]) for c in numeric}
+        casts |= {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING)) for c in text}
         return df.withColumns(casts) if casts else df
 
     stages, inputs = [], []

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from packwright.functions.text import extension
-from packwright.operators.quantiles import SMALL_VALUES, exact_quantiles
+from packwright.operators.quantiles import exact_quantiles
 
 # Extensions that count as data, in order of preference on a tie.
 DATA_EXTENSIONS = (
@@ -71,53 +70,14 @@ def present_value(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _tagged_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = [
-        F.struct(F.lit(i).alias("tag"), present_value(n).alias("value"))
-        for i, n in enumerate(names)
-    ]
-    return df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
-
-
-def counted_quantiles(df: DataFrame, names: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles ``(column, quantiles)`` from the counts of each value.
-
-    Each column's distinct values are ordered in one task, so this is for small tables.
-    """
-    counts = _tagged_values(df, names).groupBy("tag", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    every = Window.partitionBy("tag")
-    upto = every.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(every)})
-
-    def value_at(position: Column) -> Column:
-        return F.min(F.when(F.col("upto") > position, F.col("value")))
-
-    parts, results = [F.max("total").alias("total")], []
-    for i, share in enumerate(shares):
-        whole = F.floor((F.col("total") - 1) * share)
-        last = F.col("total") - 1
-        parts += [
-            value_at(whole).alias(f"low{i}"),
-            value_at(F.least(whole + 1, last)).alias(f"high{i}"),
-        ]
-        place = (F.col("total") - 1) * share
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        results.append(low + (high - low) * (place - F.floor(place)))
-    found = placed.groupBy("tag").agg(*parts)
-    column = F.get(F.array(*[F.lit(n) for n in names]), F.col("tag")).alias("column")
-    return found.select(column, F.array(*results).alias("quantiles"))
-
-
 def numeric_summary(
     df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
 
-    The moments of all columns take one pass. Exact quartiles of a small table come from the
-    counts of its values, those of a large one from :func:`exact_quantiles`; ``exact=False``
-    takes them from a sketch in the same pass as the moments.
+    The moments of all columns take one pass. Exact quartiles come from
+    :func:`exact_quantiles`; ``exact=False`` takes them from a sketch in the same pass as the
+    moments.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     sketch = [F.percentile_approx(present_value(n), list(QUARTILES), SKETCH_ACCURACY) for n in names]
@@ -139,13 +99,10 @@ def numeric_summary(
     one_row = df.agg(*[moments(n, q).alias(f"s{i}") for i, (n, q) in enumerate(per_column)])
     rows = one_row.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(names))])))
     if exact:
-        if df.count() <= SMALL_VALUES:
-            quantiles = counted_quantiles(df, names, QUARTILES)
-        else:
-            known = exact_quantiles(df, names, QUARTILES)
-            quantiles = df.sparkSession.createDataFrame(
-                [(n, known[n]) for n in names], "column string, quantiles array<double>"
-            )
+        known = exact_quantiles(df, names, QUARTILES)
+        quantiles = df.sparkSession.createDataFrame(
+            [(n, known[n]) for n in names], "column string, quantiles array<double>"
+        )
         rows = rows.drop("quantiles").join(quantiles, "column", "left")
     at = [F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
     return rows.select("column", "count", "mean", "std", "min", *at, "max")

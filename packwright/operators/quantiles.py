@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_VALUES = 1_000_000
+#: Values at which the search ends with a list; the result is the same at any number.
 LIST_VALUES = 20_000
 ACCURACY = 10_000
 COLUMNS_PER_PASS = 16

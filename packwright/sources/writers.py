@@ -38,13 +38,11 @@ def write_labelled_split(
 ) -> None:
     """A split manifest as ``split=.../label=...`` folders.
 
-    Rows are gathered by folder and spread over a few tasks each, so that a frequent label is
-    not written by one task and a rare one does not leave a file per task.
+    Rows are rebalanced by folder: adaptive execution cuts a frequent label into as many tasks
+    as its size asks for, and a rare one does not leave a file per task.
     """
-    spread = F.pmod(F.xxhash64(*manifest.columns), F.lit(8))
-    manifest.repartition("split", label, spread).write.mode(mode).partitionBy(
-        "split", label
-    ).parquet(path)
+    gathered = manifest.hint("rebalance", "split", label)
+    gathered.write.mode(mode).partitionBy("split", label).parquet(path)
 
 
 def write_package(

@@ -35,14 +35,13 @@ def test_exact_quantiles_after_many_rounds(spark, monkeypatch):
         assert found[name] == pytest.approx(list(np.quantile(values, shares)))
 
 
-def test_large_table_path_equals_small_table_path(spark, monkeypatch):
+def test_exact_quartiles_of_a_summary(spark):
     df = spark.range(3000).selectExpr("id % 97 / 3 as x", "id * id % 1009 as y", "cast(null as double) as z")
-    small = {r["column"]: r for r in profile.numeric_summary(df).collect()}
-    monkeypatch.setattr(profile, "SMALL_VALUES", 10)
-    large = {r["column"]: r for r in profile.numeric_summary(df).collect()}
+    found = {r["column"]: r for r in profile.numeric_summary(df).collect()}
     for name in ("x", "y"):
-        assert list(large[name])[1:] == pytest.approx(list(small[name])[1:])
-    assert large["z"]["count"] == 0 and large["z"]["p50"] is None
+        values = [float(r[name]) for r in df.collect()]
+        assert list(found[name])[5:8] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75])))
+    assert found["z"]["count"] == 0 and found["z"]["p50"] is None
 
 
 def test_sketch_is_close(spark):
