@@ -8,13 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Where JSON lies in a reply.
 LIST_PATTERN = r"(?s)\[.*\]"
 OBJECT_PATTERN = r"(?s)\{.*\}"
 FENCED_OBJECT_PATTERN = r"(?s)```(json)?\s*(\{.*?\})\s*```"
 
 OK, QUARANTINED = "ok", "quarantined"
 
-_STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+_CORRUPT = "__corrupt"
+_STRICT = {
+    "allowSingleQuotes": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+}
 
 
 def _parses(text: Column) -> Column:
@@ -50,21 +56,26 @@ def fenced_object_text(text: Column) -> Column:
     return F.coalesce(fenced, json_object_text(text), text)
 
 
-def _recover(df: DataFrame, json_text: Column, schema: T.DataType | str) -> DataFrame:
+def _recover(df: DataFrame, json_text: Column, schema: str) -> DataFrame:
+    """Parse and judge; a value that does not fit its type in the schema is no valid value."""
     is_valid = is_strict_json(F.col("json_text"))
+    # The reader reports a field of a wrong type only through a column for corrupt records,
+    # which needs a struct around the value.
+    wrapped = F.concat(F.lit('{"value":'), F.col("json_text"), F.lit("}"))
+    columns = f"value {schema}, {_CORRUPT} string"
+    parsed = F.when(is_valid, F.from_json(wrapped, columns, _STRICT))
+    judged = df.withColumn("json_text", json_text).withColumn("__parsed", parsed)
+    fits = F.col(f"__parsed.{_CORRUPT}").isNull()
+    status = F.when(is_valid & fits, OK).otherwise(QUARANTINED)
+    reason = (
+        F.when(F.col("json_text").isNull(), "no json found")
+        .when(~is_valid, "invalid json")
+        .when(~fits, "wrong type")
+    )
     return (
-        df.withColumn("json_text", json_text)
-        .withColumn("status", F.when(is_valid, OK).otherwise(QUARANTINED))
-        .withColumn(
-            "reason",
-            F.when(F.col("json_text").isNull(), "no json found").when(
-                F.col("status") == QUARANTINED, "invalid json"
-            ),
-        )
-        .withColumn(
-            "value",
-            F.when(F.col("status") == OK, F.from_json(F.col("json_text"), schema, _STRICT)),
-        )
+        judged.withColumns({"status": status, "reason": reason})
+        .withColumn("value", F.when(F.col("status") == OK, F.col("__parsed.value")))
+        .drop("__parsed")
     )
 
 
@@ -86,9 +97,11 @@ def recover_object(
     An object has to start with a brace: other JSON values are quarantined.
     """
     extract = fenced_object_text if fenced else json_object_text
-    out = _recover(df, extract(F.col(text)), schema)
+    inner = schema if isinstance(schema, str) else schema.simpleString()
+    out = _recover(df, extract(F.col(text)), inner if inner.startswith("struct<") else f"struct<{inner}>")
     is_object = F.startswith(F.ltrim(F.col("json_text")), F.lit("{"))
-    bad = (F.col("status") == OK) & ~is_object
+    bad = F.col("reason").isNull() | (F.col("reason") == "wrong type")
+    bad = bad & ~is_object
     return (
         out.withColumn("reason", F.when(bad, "not an object").otherwise(F.col("reason")))
         .withColumn("value", F.when(~bad, F.col("value")))

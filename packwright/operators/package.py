@@ -161,6 +161,17 @@ def task_record(
 _ASSEMBLED = ("source_paper", "data_profile", "data_sources")
 
 
+def with_extra_keys(record: Column, reply: Column) -> Column:
+    """A JSON object with the keys of another one that it does not have, values untouched."""
+    extra = F.map_filter(
+        F.from_json(reply, "map<string,variant>"),
+        lambda key, _: ~key.isin(*TASK_SECTIONS, *_ASSEMBLED),
+    )
+    more = F.concat(F.expr("','"), F.substr(F.to_json(extra), F.lit(2)))
+    merged = F.concat(F.substr(record, F.lit(1), F.length(record) - 1), more)
+    return F.when(F.size(extra) > 0, merged).otherwise(record)
+
+
 def library_names(library: Column) -> Column:
     """Installable names for a library mentioned in a paper."""
     name = F.lower(library)

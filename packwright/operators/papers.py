@@ -8,12 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packwright.functions.jsontext import recover_object
+from packwright.functions.jsontext import OK, recover_object
 from packwright.functions.text import prompt_context, route_link, slug
 from packwright.operators.assets import page_record
 from packwright.operators.inference import Provider, infer_batch
 from packwright.operators.joins import join_unique
-from packwright.operators.package import TASK_SCHEMA, fill_defaults, task_record
+from packwright.operators.package import TASK_SCHEMA, fill_defaults, task_record, with_extra_keys
 from packwright.operators.profile import UNKNOWN_FORMAT
 from packwright.sources.checkpoints import checkpointed
 
@@ -27,8 +27,10 @@ def paper_tasks(
 ) -> DataFrame:
     """Page record, reply and task definition of each page.
 
-    Adds ``folder, task, status, reason`` to the page record. The provider is asked once per
-    distinct context. Page records are checkpointed, so that each page is parsed once.
+    Adds ``folder, task, reply, status, reason`` to the page record; ``reply`` is the JSON text
+    of the answer. An answer with an ``error`` key is a failed request, whatever else it holds.
+    The provider is asked once per distinct context. Page records are checkpointed, so that
+    each page is parsed once.
     """
     papers = checkpointed(page_record(pages, html))
     context = prompt_context(
@@ -41,14 +43,16 @@ def paper_tasks(
         provider,
     ).withColumnsRenamed({"status": "__asked", "reason": "__error"})
     recovered = recover_object(asked, "answer", TASK_SCHEMA, fenced=True)
-    failed = F.col("__asked") != "ok"
+    told = F.when(F.col("status") == OK, F.get_json_object("json_text", "$.error"))
+    failed = (F.col("__asked") != "ok") | told.isNotNull()
     folder = F.concat(F.lit("paper_"), slug(F.col("title"), PAPER_FOLDER_CHARACTERS))
     return recovered.select(
         *papers.columns,
         folder.alias("folder"),
-        F.col("value").alias("task"),
+        F.when(~failed, F.col("value")).alias("task"),
+        F.when(~failed, F.col("json_text")).alias("reply"),
         F.when(failed, "error").otherwise(F.col("status")).alias("status"),
-        F.when(failed, F.col("__error")).otherwise(F.col("reason")).alias("reason"),
+        F.when(failed, F.coalesce("__error", told)).otherwise(F.col("reason")).alias("reason"),
     )
 
 
@@ -61,7 +65,8 @@ def final_records(tasks: DataFrame, profiles: DataFrame, url: str = "url") -> Da
     """Task records as JSON for the papers that succeeded: ``folder, record``.
 
     ``profiles`` comes from ``dataset_profile`` with the paper's folder as its dataset; a
-    paper without data has an empty profile.
+    paper without data has an empty profile. Keys of the reply beyond the known sections are
+    kept as they are.
     """
     done = tasks.filter(F.col("status") == "ok").withColumn("dataset", F.col("folder"))
     joined = join_unique(done, profiles, ["dataset"], "left")
@@ -77,6 +82,7 @@ def final_records(tasks: DataFrame, profiles: DataFrame, url: str = "url") -> Da
         setup_log(F.col("availability_links")).alias("local_setup_log"),
     )
     record = task_record(F.col("title"), F.col(url), fill_defaults("task"), profile, sources)
+    record = with_extra_keys(record, F.col("reply"))
     return joined.select("folder", record.alias("record"))
 
 

@@ -45,6 +45,7 @@ PROPOSAL_SCHEMA = (
     "feature_columns array<string>, task_type string"
 )
 TASK_TYPES = ("regression", "classification", "回归", "分类")
+DEFAULT_DIFFICULTY, DEFAULT_TASK_TYPE = "中等", "回归"
 REGRESSION_METRICS = ("rmse", "mse", "mae", "r2")
 CLASSIFICATION_METRICS = ("accuracy", "f1", "precision", "recall", "auc", "logloss")
 IMBALANCE_SHARE = 0.8
@@ -66,34 +67,46 @@ def _finding(stage: int, check: Column | str, severity: Column | str, message: C
 # --- stage 1: layout and interfaces ----------------------------------------------------
 
 
-def _missing(manifest: DataFrame, required: dict[str, Column], check: str, text: str) -> DataFrame:
-    """Findings for required paths no manifest row provides; one flag per path and package."""
+def _missing(
+    manifest: DataFrame,
+    required: dict[str, Column],
+    check: str,
+    text: str,
+    packages: DataFrame | None,
+) -> DataFrame:
+    """Findings for required paths no manifest row provides; one flag per path and package.
+
+    With ``packages``, one without any manifest row lacks every path.
+    """
     paths = list(required)
     flags = manifest.groupBy("package").agg(
         *[F.bool_or(F.coalesce(required[p], F.lit(False))).alias(f"f{i}") for i, p in enumerate(paths)]
     )
-    absent = F.array(*[F.when(~F.col(f"f{i}"), F.lit(p)) for i, p in enumerate(paths)])
+    if packages is not None:
+        flags = packages.select("package").distinct().join(flags, "package", "left")
+    provided = [F.coalesce(F.col(f"f{i}"), F.lit(False)) for i in range(len(paths))]
+    absent = F.array(*[F.when(~found, F.lit(p)) for found, p in zip(provided, paths)])
     rows = flags.select("package", F.explode(F.array_compact(absent)).alias("path"))
     return rows.select(
         "package", *_finding(1, check, ERROR, F.concat(F.lit(text), F.col("path")))
     )
 
 
-def layout_findings(manifest: DataFrame) -> DataFrame:
+def layout_findings(manifest: DataFrame, packages: DataFrame | None = None) -> DataFrame:
     """Missing directories. A directory exists if it is listed or a file lies below it."""
     path, is_dir = F.col("rel_path"), F.col("is_dir")
     required = {
         d: (is_dir & (path == d)) | F.startswith(path, F.lit(d + "/"))
         for d in REQUIRED_DIRECTORIES
     }
-    return _missing(manifest, required, "layout", "missing directory ")
+    return _missing(manifest, required, "layout", "missing directory ", packages)
 
 
-def file_findings(manifest: DataFrame) -> DataFrame:
+def file_findings(manifest: DataFrame, packages: DataFrame | None = None) -> DataFrame:
     """Missing files."""
     path, is_file = F.col("rel_path"), ~F.col("is_dir")
     required = {f: is_file & (path == f) for f in REQUIRED_FILES}
-    return _missing(manifest, required, "files", "missing file ")
+    return _missing(manifest, required, "files", "missing file ", packages)
 
 
 def _prepare_problem(tree: ast.AST) -> str | None:
@@ -150,11 +163,13 @@ def interface_findings(sources: DataFrame) -> DataFrame:
     )
 
 
-def assertion_findings(manifest: DataFrame, sources: DataFrame) -> DataFrame:
+def assertion_findings(
+    manifest: DataFrame, sources: DataFrame, packages: DataFrame | None = None
+) -> DataFrame:
     """All findings of the first stage: directories, files and interfaces."""
     return (
-        layout_findings(manifest)
-        .unionByName(file_findings(manifest))
+        layout_findings(manifest, packages)
+        .unionByName(file_findings(manifest, packages))
         .unionByName(interface_findings(sources))
     )
 
@@ -165,8 +180,8 @@ def assertion_findings(manifest: DataFrame, sources: DataFrame) -> DataFrame:
 def proposal_shape(proposals: DataFrame, text: str = "proposal", batch: str | None = None) -> DataFrame:
     """Add ``missing_keys, unknown_keys, accepted``.
 
-    With ``batch`` one bad proposal rejects every proposal of its batch; otherwise each is
-    judged alone.
+    With ``batch`` one bad proposal rejects every proposal of its batch; otherwise, and without
+    a value of ``batch``, each is judged alone.
     """
     missing, unknown = key_differences(F.col(text), PROPOSAL_REQUIRED, PROPOSAL_OPTIONAL)
     valid = is_strict_json(F.col(text))
@@ -181,14 +196,28 @@ def proposal_shape(proposals: DataFrame, text: str = "proposal", batch: str | No
     )
     if batch is None:
         return judged
-    bad = judged.groupBy(batch).agg(F.bool_and("accepted").alias("__batch_ok"))
+    bad = judged.filter(F.col(batch).isNotNull()).groupBy(batch)
+    bad = bad.agg(F.bool_and("accepted").alias("__batch_ok"))
     return (
-        join_unique(judged, bad, [batch])
-        .withColumn("accepted", F.col("__batch_ok"))
+        join_unique(judged, bad, [batch], "left")
+        .withColumn("accepted", F.coalesce("__batch_ok", "accepted"))
         .select(*judged.columns)
     )
 
 
+def with_proposal_defaults(proposal: Column) -> Column:
+    """A parsed proposal with the defaults of the fields that may be left out."""
+    defaults = {
+        "difficulty": F.lit(DEFAULT_DIFFICULTY),
+        "task_type": F.lit(DEFAULT_TASK_TYPE),
+        "tags": F.array().cast("array<string>"),
+        "feature_columns": F.array().cast("array<string>"),
+    }
+    fields = [*PROPOSAL_REQUIRED, *PROPOSAL_OPTIONAL]
+    filled = [F.coalesce(proposal[f], defaults[f]) if f in defaults else proposal[f] for f in fields]
+    return F.struct(*[value.alias(name) for value, name in zip(filled, fields)])
+
+
 def proposal_problems(proposal: Column, columns: Sequence[str]) -> Column:
     """Sorted array of problems of a parsed proposal, against the columns of its table."""
     known = F.array(*[F.lit(c) for c in columns])
@@ -201,6 +230,8 @@ def proposal_problems(proposal: Column, columns: Sequence[str]) -> Column:
     single = F.array(
         F.when(~F.array_contains(known, proposal["prediction_target"]), target),
         F.when(~proposal["task_type"].isin(*TASK_TYPES), kind),
+        F.when(proposal["prediction_target"].isNull(), "no target"),
+        F.when(proposal["task_type"].isNull(), "no task type"),
     )
     return F.array_sort(F.concat(F.array_compact(single), features))
 
@@ -221,7 +252,8 @@ def review_findings(replies: DataFrame, text: str = "reply", check: str = "check
 def feature_relation(df: DataFrame, target: str, features: Sequence[str] | None = None) -> DataFrame:
     """Per feature: is it equal to the target in every row, and its correlation with it.
 
-    One pass for all features. Correlation is null for text or constant columns.
+    One pass for all features. Correlation is null for text or constant columns; rows with a
+    null or NaN on either side do not count for it.
     """
     names = list(features) if features is not None else [c for c in df.columns if c != target]
     numeric_target = isinstance(df.schema[target].dataType, T.NumericType)
@@ -229,9 +261,11 @@ def feature_relation(df: DataFrame, target: str, features: Sequence[str] | None
     def correlation(name: str) -> Column:
         if numeric_target and isinstance(df.schema[name].dataType, T.NumericType):
             # corr() raises on a constant column in ANSI mode.
-            both = F.col(name).isNotNull() & F.col(target).isNotNull()
-            spread = [F.stddev_pop(F.when(both, F.col(c))) for c in (name, target)]
-            return F.try_divide(F.covar_pop(name, target), spread[0] * spread[1])
+            values = [F.col(c).cast("double") for c in (name, target)]
+            known = [v.isNotNull() & ~F.isnan(v) for v in values]
+            pair = [F.when(known[0] & known[1], v) for v in values]
+            spread = F.stddev_pop(pair[0]) * F.stddev_pop(pair[1])
+            return F.try_divide(F.covar_pop(*pair), spread)
         return F.lit(None).cast("double")
 
     def equality(name: str) -> Column:
@@ -264,9 +298,8 @@ def leakage_findings(
 ) -> DataFrame:
     """A feature equal to the target is an error, a strongly correlated one a warning."""
     relation = feature_relation(df, target, features)
-    severity = F.when(F.col("is_target"), ERROR).when(
-        F.abs("correlation") > threshold, WARNING
-    )
+    strong = (F.abs("correlation") > threshold) & ~F.isnan("correlation")
+    severity = F.when(F.col("is_target"), ERROR).when(strong, WARNING)
     return (
         relation.withColumn("severity", severity)
         .filter(F.col("severity").isNotNull())
@@ -327,11 +360,14 @@ def score_findings(scores: DataFrame) -> DataFrame:
     )
 
 
-def gate(findings: DataFrame, packages: DataFrame) -> DataFrame:
+def gate(
+    findings: DataFrame, packages: DataFrame, runs: DataFrame | None = None
+) -> DataFrame:
     """One row per package and stage: was it reached, did it pass, and its findings.
 
-    A stage passes if it has no error; warnings do not count. It is reached only if every
-    earlier stage passed.
+    A stage passes if it was reached and has no error; warnings do not count. It is reached
+    only if every earlier stage passed and, where ``runs`` lists ``package, stage`` of the
+    stages that ran, only if it ran.
     """
     errors = [
         F.count_if((F.col("stage") == s) & (F.col("severity") == ERROR)).alias(f"e{s}")
@@ -343,10 +379,15 @@ def gate(findings: DataFrame, packages: DataFrame) -> DataFrame:
     ]
     counted = findings.groupBy("package").agg(*errors, *warnings)
     joined = packages.select("package").distinct().join(counted, "package", "left")
+    if runs is not None:
+        ran = [F.bool_or(F.col("stage") == s).alias(f"r{s}") for s in STAGES]
+        joined = joined.join(runs.groupBy("package").agg(*ran), "package", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     rows, reached = [], F.lit(True)
     for stage in STAGES:
         clean = zero(F.col(f"e{stage}")) == 0
+        if runs is not None:
+            reached = reached & F.coalesce(F.col(f"r{stage}"), F.lit(False))
         rows.append(
             F.struct(
                 F.lit(stage).alias("stage"),
