@@ -1,3 +1,4 @@
+import math
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,8 +59,27 @@ def test_own_metric(spark):
     solution = frame(spark, [(1, 1.0), (2, 3.0)])
     assert score.score(solution, frame(spark, [(1, 5.0), (2, 3.0)]), "worst").first().score == 4.0
     assert "worst" in score.metric_names()
-    with pytest.raises(KeyError):
-        score.score(solution, solution, "nope")
+    unknown = score.score(solution, solution, "nope").first()
+    assert (unknown.status, unknown.reason, unknown.score) == ("failed", "unknown metric", None)
+
+
+def test_many_metrics_in_one_pass(spark):
+    answers = spark.createDataFrame([(i, float(i % 2)) for i in range(8)], "Id int, target double")
+    shares = [0.1, 0.9, 0.4, 0.4, 0.6, 0.8, 0.2, 0.7]
+    sent = spark.createDataFrame(list(enumerate(shares)), "Id int, target double")
+    found = {r["metric"]: r["score"] for r in score.scores(answers, sent, ["mse", "auc", "logloss", "rmse", "f1_macro"]).collect()}
+    pairs = list(zip([i % 2 for i in range(8)], shares))
+    mse = sum((a - p) ** 2 for a, p in pairs) / 8
+    wins = sum((p > q) + 0.5 * (p == q) for a, p in pairs for b, q in pairs if a and not b) / 16
+    loss = -sum(math.log(p if a else 1 - p) for a, p in pairs) / 8
+    assert [found[m] for m in ("mse", "rmse", "auc", "logloss")] == pytest.approx([mse, mse**0.5, wins, loss])
+
+
+def test_bad_text_and_repeated_answers_fail(spark):
+    answers = frame(spark, [(1, 1.0), (2, 2.0)])
+    text = spark.createDataFrame([(1, "1.0"), (2, "two")], "Id int, target string")
+    assert score.score(answers, text, "rmse").first().reason == "text in place of numbers"
+    assert score.score(answers.union(answers), answers, "rmse").first().reason == "repeated solution ids"
 
 
 def test_model_beats_chance(spark):
@@ -79,12 +99,10 @@ def test_model_beats_chance(spark):
     assert model.status == chance.status == "ok" and model.score < chance.score / 2
 
 
-def test_classifier_and_hashed_text(spark, monkeypatch):
-    from packwright.operators import baseline
-
-    monkeypatch.setattr(baseline, "MAX_CATEGORIES", 3)
+@pytest.mark.parametrize("one_hot", [(), ("many",)])
+def test_classifier_and_text(spark, one_hot):
     df = spark.range(120).selectExpr("id as Id", "id % 2 * 1.0 as x", "concat('k', id % 40) as many", "case id % 2 when 0 then 'no' else 'yes' end as y")
-    found = fit_predict(df.filter("Id < 100"), df.filter("Id >= 100").drop("y"), "y", task_type="classification")
+    found = fit_predict(df.filter("Id < 100"), df.filter("Id >= 100").drop("y"), "y", task_type="classification", one_hot=one_hot)
     assert {(r.Id % 2, r.prediction) for r in found.collect()} == {(0, "no"), (1, "yes")}
 
 
