@@ -306,14 +306,18 @@ def json_roundtrip(spark, sf_dir):
     return spark.read.schema(documents.schema).json(folder)
 
 
-@query("SELECT source AS label, '.json' AS ext, true AS has_bytes FROM documents GROUP BY source")
+@query("""SELECT source AS label, '.json' AS ext, sum(length('{"doc_id":' || doc_id || ',"lang":"' || lang || '"}') + 1)::BIGINT AS bytes, true AS marker
+FROM documents GROUP BY 1""")
 def manifest_scan(spark, sf_dir):
     folder = scratch_folder(spark)
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(F.lit("l-"), "source").alias("label"))
     documents.repartition("label").write.partitionBy("label").json(folder)
-    files = readers.scan_manifest(spark, folder).filter("length > 0")
+    files = readers.scan_manifest(spark, folder)
+    # The writer leaves an empty file with a name that a file scan would skip.
+    marker = F.lit(not files.filter("rel_path = '_SUCCESS' and length = 0").isEmpty())
     label = F.replace(F.substring_index("label", "=", -1), F.lit("l-"), F.lit(""))
-    return files.groupBy(label.alias("label"), "ext").agg(F.bool_and(F.col("length") > 0).alias("has_bytes"))
+    data = files.filter((F.col("ext") == ".json") & ~F.contains("rel_path", F.lit("/.")))
+    return data.groupBy(label.alias("label"), "ext").agg(F.sum("length").alias("bytes")).withColumn("marker", marker)
 
 
 # --- papers ----------------------------------------------------------------------------

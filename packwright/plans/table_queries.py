@@ -369,8 +369,7 @@ def score_regression(spark, sf_dir):
     key = F.col("o_orderkey").alias("Id")
     answers = orders.select(key, F.col("o_totalprice").alias("target"))
     guesses = orders.select(key, F.expr(_GUESS).alias("target"))
-    scores = [score.score(answers, guesses, metric) for metric in ("rmse", "mae", "r2")]
-    rows = package.merge_by_name(scores)
+    rows = score.scores(answers, guesses, ["rmse", "mae", "r2"])
     return rows.select("metric", F.round("score", 4).alias("score"), "status", "n_solution")
 
 
@@ -464,7 +463,7 @@ def score_validity(spark, sf_dir):
 
 @query(f"SELECT o_orderkey, true AS predicted FROM ({_RANDOM_ORDERS}) s WHERE split = 'test'")
 def baseline_model(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     train, test, _ = package.hide_target(
         split.random_split(orders, "o_orderkey"), "o_orderkey", "o_totalprice"
     )
@@ -474,7 +473,7 @@ def baseline_model(spark, sf_dir):
 
 @query(f"SELECT o_orderkey, true AS predicted FROM ({_RANDOM_ORDERS}) s WHERE split = 'test'")
 def baseline_classifier(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     train, test, _ = package.hide_target(
         split.random_split(orders, "o_orderkey"), "o_orderkey", "o_orderstatus"
     )

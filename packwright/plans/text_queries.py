@@ -322,12 +322,6 @@ def page_record(spark, sf_dir):
     return records.withColumn("availability_links", F.array_join("availability_links", " "))
 
 
-@query()
-def page_record_pages(spark, sf_dir):
-    records = assets.page_record(table(spark, sf_dir, "pages"))
-    return records.withColumn("availability_links", F.array_join("availability_links", " "))
-
-
 # --- links, paths and names ------------------------------------------------------------
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +16,10 @@ from packwright.functions.text import WHITESPACE, extension, strip
 from packwright.operators.joins import join_unique
 from packwright.operators.package import TASK_SCHEMA
 from packwright.sources.checkpoints import checkpointed
+from packwright.sources.shipping import ship
+
+# Texts that are a number; a plain cast would also take suffixes such as 3D.
+NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)$"
 
 # Texts a table reader takes for a missing value.
 MISSING_TEXTS = (
@@ -46,11 +55,12 @@ def read_delimited(
     path: str,
     sep: str = ",",
     schema: T.StructType | str | None = None,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV or TSV with a header. Without a schema the types are inferred by a second read.
 
-    ``multi_line=True`` takes line breaks inside quotes; then one task reads a whole file.
+    Line breaks inside quotes are taken, for which one task reads a whole file. Files that are
+    known to hold a record per line are read in parallel pieces with ``multi_line=False``.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
     reader = reader.option("multiLine", multi_line)
@@ -85,20 +95,56 @@ def read_task_definitions(spark: SparkSession, path: str) -> DataFrame:
 
 
 
+#: Stores whose folders tasks can list; others are listed by the driver.
+_LISTED_IN_TASKS = ("file", "hdfs", "s3", "gs", "abfs", "abfss")
+_LISTING = "path string, length bigint, modified timestamp, is_dir boolean"
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of every folder of a column of paths, names of any kind and empty files too."""
+    for batch in batches:
+        rows = []
+        for folder in batch.column("path").to_pylist():
+            store, inside = fs.FileSystem.from_uri(folder)
+            for entry in store.get_file_info(fs.FileSelector(inside)):
+                is_dir = entry.type == fs.FileType.Directory
+                path = f"{folder.rstrip('/')}/{entry.base_name}"
+                rows.append((path, None if is_dir else entry.size, entry.mtime, is_dir))
+        kinds = (pa.string(), pa.int64(), pa.timestamp("us", tz="UTC"), pa.bool_())
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modified", "is_dir"])
+
+
+def _listed_by_driver(spark: SparkSession, root: str) -> DataFrame:
+    jvm, rows = spark.sparkContext._jvm, []
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    while files.hasNext():
+        entry = files.next()
+        rows.append((entry.getPath().toString(), entry.getLen(), entry.getModificationTime()))
+    listed = spark.createDataFrame(rows, "path string, length bigint, millis bigint")
+    return listed.select("path", "length", F.timestamp_millis("millis").alias("modified"))
+
+
 def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: ``path, rel_path, label, ext, length, modified``.
 
-    File contents are never read. ``label`` is the name of the parent directory. Names that
-    start with ``_`` or ``.`` and empty files are skipped, as in every file scan of Spark.
+    File contents are never read. ``label`` is the name of the parent directory. The tree is
+    listed level by level in the tasks; hidden and empty files are files like any other.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    base = root.rstrip("/").removeprefix("file://") + "/"
-    relative = F.substr("path", F.instr("path", base) + F.lit(len(base)))
+    scheme = root.split(":", 1)[0] if ":" in root else "file"
+    top = root.rstrip("/")
+    if scheme in _LISTED_IN_TASKS:
+        ship(spark)
+        folders, levels = spark.createDataFrame([(top,)], "path string"), []
+        while not folders.isEmpty():
+            listed = checkpointed(folders.mapInArrow(_list_folders, _LISTING))
+            levels.append(listed.filter("not is_dir").drop("is_dir"))
+            folders = listed.filter("is_dir").select("path").repartition("path")
+        files = reduce(DataFrame.unionByName, levels)
+    else:
+        files = _listed_by_driver(spark, root)
+    relative = F.substr("path", F.instr("path", f"{top}/") + F.lit(len(top) + 1))
     return files.select(
         "path",
         relative.alias("rel_path"),
@@ -164,9 +210,12 @@ def read_ws_table(spark: SparkSession, path: str, typed: bool = True) -> DataFra
     if not typed or not names:
         return table
     fits = [
-        F.bool_and(F.col(n).isNull() | F.col(n).try_cast(kind).isNotNull()).alias(f"{n}_{kind}")
+        F.bool_and(F.col(n).isNull() | F.col(n).try_cast("bigint").isNotNull()).alias(f"{n}_bigint")
+        for n in names
+    ]
+    fits += [
+        F.bool_and(F.col(n).isNull() | F.rlike(n, F.lit(NUMBER))).alias(f"{n}_double")
         for n in names
-        for kind in ("bigint", "double")
     ]
     # Integer text only: a cast to bigint would also take '1.5' and drop the fraction.
     whole = [
