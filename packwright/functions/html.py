@@ -6,7 +6,10 @@ they come from one Arrow-batched function around a small tree built with ``html.
 
 from __future__ import annotations
 
+import json
 import re
+from collections import Counter
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -22,14 +25,14 @@ REPOSITORY_HOSTS = ("github.com", "gitlab.com", "figshare.com", "zenodo.org", "d
 METHODS_HEADING = "Methods|Methodology|Materials and Methods"
 RESULTS_HEADING = "Results"
 
-# Named entities the native decoder knows.
+# The named entities most pages keep to.
 ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": "\xa0",
-    "&amp;": "&",
+    "lt": "<",
+    "gt": ">",
+    "quot": '"',
+    "apos": "'",
+    "nbsp": "\xa0",
+    "amp": "&",
 }
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
@@ -58,18 +61,32 @@ def _numeric_entity(piece: Column) -> Column:
     return F.coalesce(F.concat(character, tail), F.concat(F.lit("&#"), piece))
 
 
+def _named_entity(piece: Column) -> Column:
+    """Decode the text after ``&`` when it starts with a name of HTML and a semicolon."""
+    name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
+    known = F.lit(None).cast("string")
+    for entity, character in ENTITIES.items():
+        known = F.when(name == entity, F.lit(character)).otherwise(known)
+    # The table of all names comes from the standard library; it is searched for rare ones only.
+    names = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
+    others = F.try_element_at(F.from_json(F.lit(names), "map<string,string>"), name)
+    character = F.when(name == "", F.lit(None)).otherwise(F.coalesce(known, others))
+    tail = F.substr(piece, F.length(name) + F.lit(2))
+    return F.coalesce(F.concat(character, tail), F.concat(F.lit("&"), piece))
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode numeric entities and the common named ones."""
-    decoded = F.array_join(
-        F.transform(
-            F.split(text, "&#"),
-            lambda piece, i: F.when(i == 0, piece).otherwise(_numeric_entity(piece)),
-        ),
-        "",
-    )
-    for name, character in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(name), F.lit(character))
-    return decoded
+    """Decode numeric entities and the named ones of HTML, each once."""
+
+    def decoded(piece: Column, i: Column) -> Column:
+        numeric = _numeric_entity(F.substr(piece, F.lit(2)))
+        return (
+            F.when(i == 0, piece)
+            .when(F.startswith(piece, F.lit("#")), numeric)
+            .otherwise(_named_entity(piece))
+        )
+
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
 
 
 def inner_text(markup: Column, separator: str = "") -> Column:
@@ -143,7 +160,13 @@ ENDS_SIBLING = {
     "option": ("option",),
 }
 
-SECTIONS = "abstract string, methods string, results string, captions string"
+SECTIONS = (
+    "abstract string, methods string, results string, captions string, status string, reason string"
+)
+OK, QUARANTINED = "ok", "quarantined"
+
+# Pages without any of these elements have the default sections and need no tree.
+_NESTED = r"(?i)<(section|h2|h3|figure)[\s/>]"
 
 
 class _Node:
@@ -183,26 +206,31 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.open = _Node("", {}, None)
+        self.names = Counter()  # of the open elements, so that an end without start costs nothing
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_PARAGRAPH and self.open.name == "p":
-            self.open = self.open.parent
+            self.close_open()
         while self.open.name in ENDS_SIBLING.get(tag, ()):
-            self.open = self.open.parent
+            self.close_open()
         node = _Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.open)
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
+            self.names[tag] += 1
+
+    def close_open(self):
+        self.names[self.open.name] -= 1
+        self.open = self.open.parent
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.open
-        while node.parent is not None and node.name != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.open = node.parent
+        if self.names[tag]:
+            while self.open.name != tag:
+                self.close_open()
+            self.close_open()
 
     def handle_data(self, data):
         siblings = self.open.children
@@ -251,8 +279,10 @@ def _caption(figure):
 
 def parse_sections(html: str | None, methods: str, results: str) -> tuple[str, ...]:
     """(abstract, methods, results, captions) of one page."""
+    if not html:
+        return NO_ABSTRACT, "", "", ""
     tree = _Tree()
-    tree.feed(html or "")
+    tree.feed(html)
     tree.close()
     elements = list(tree.root.elements())
     captions = (_caption(n) for n in elements if n.name == "figure")
@@ -264,14 +294,27 @@ def parse_sections(html: str | None, methods: str, results: str) -> tuple[str, .
     )
 
 
+def judged_sections(html: str | None, methods: str, results: str) -> tuple[str | None, ...]:
+    """:func:`parse_sections` with ``status, reason``; a page that cannot be parsed is kept aside."""
+    try:
+        return *parse_sections(html, methods, results), OK, None
+    except (AssertionError, RecursionError, ValueError) as error:
+        return None, None, None, None, QUARANTINED, f"cannot parse: {type(error).__name__}"
+
+
 def page_sections(
     html: Column, methods: str = METHODS_HEADING, results: str = RESULTS_HEADING
 ) -> Column:
-    """Struct ``abstract, methods, results, captions``; each page is parsed once."""
+    """Struct ``abstract, methods, results, captions, status, reason``.
+
+    Each page is parsed once, and only pages that have sections, headings or figures at all
+    travel to the parser.
+    """
 
     @F.pandas_udf(SECTIONS)
     def sections(pages: pd.Series) -> pd.DataFrame:
-        rows = [parse_sections(page, methods, results) for page in pages]
-        return pd.DataFrame(rows, columns=["abstract", "methods", "results", "captions"])
+        rows = [judged_sections(page, methods, results) for page in pages]
+        columns = ["abstract", "methods", "results", "captions", "status", "reason"]
+        return pd.DataFrame(rows, columns=columns, dtype=object)
 
-    return sections(html)
+    return sections(F.when(F.rlike(html, F.lit(_NESTED)), html))

@@ -24,7 +24,10 @@ TEST_DIRECTORIES = ("test", "testing", "validation", "val")
 
 
 def page_record(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add title, abstract, methods, results, captions and repository links of each page."""
+    """Add title, abstract, methods, results, captions and repository links of each page.
+
+    ``status`` is ``ok``, or ``quarantined`` with a ``reason`` for a page that cannot be parsed.
+    """
     ship(pages.sparkSession)
     sections = H.page_sections(F.col(html))
     links = H.repository_links(F.col(html))
@@ -40,6 +43,8 @@ def page_record(pages: DataFrame, html: str = "html") -> DataFrame:
             F.col("__sections.results").alias("results"),
             F.col("__sections.captions").alias("captions"),
             "availability_links",
+            F.col("__sections.status").alias("status"),
+            F.col("__sections.reason").alias("reason"),
         )
     )
 

@@ -32,7 +32,9 @@ def paper_tasks(
     The provider is asked once per distinct context. Page records are checkpointed, so that
     each page is parsed once.
     """
-    papers = checkpointed(page_record(pages, html))
+    papers = checkpointed(
+        page_record(pages, html).withColumnsRenamed({"status": "__page", "reason": "__page_reason"})
+    )
     context = prompt_context(
         *[F.col(c) for c in ("title", "abstract", "methods", "results", "captions")]
     )
@@ -44,15 +46,16 @@ def paper_tasks(
     ).withColumnsRenamed({"status": "__asked", "reason": "__error"})
     recovered = recover_object(asked, "answer", TASK_SCHEMA, fenced=True)
     told = F.when(F.col("status") == OK, F.get_json_object("json_text", "$.error"))
-    failed = (F.col("__asked") != "ok") | told.isNotNull()
+    unread = F.col("__page") != OK
+    failed = unread | (F.col("__asked") != "ok") | told.isNotNull()
     folder = F.concat(F.lit("paper_"), slug(F.col("title"), PAPER_FOLDER_CHARACTERS))
     return recovered.select(
-        *papers.columns,
+        *[c for c in papers.columns if not c.startswith("__")],
         folder.alias("folder"),
         F.when(~failed, F.col("value")).alias("task"),
         F.when(~failed, F.col("json_text")).alias("reply"),
         F.when(failed, "error").otherwise(F.col("status")).alias("status"),
-        F.when(failed, F.coalesce("__error", told)).otherwise(F.col("reason")).alias("reason"),
+        F.when(failed, F.coalesce("__page_reason", "__error", told)).otherwise(F.col("reason")).alias("reason"),
     )
 
 

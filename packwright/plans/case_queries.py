@@ -255,7 +255,20 @@ _DECODED = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&qu
 
 @query(f"""WITH m AS (SELECT page_id, url, regexp_replace(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>', '', 'g') AS html FROM pages)
 SELECT page_id, url, trim({_DECODED.format("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}) AS title,
-  'No abstract found' AS abstract, '' AS methods, '' AS results, '' AS captions, '' AS availability_links FROM m""")
+  'No abstract found' AS abstract, '' AS methods, '' AS results, '' AS captions, '' AS availability_links,
+  'ok' AS status, cast(NULL AS VARCHAR) AS reason FROM m""")
 def page_record_pages(spark, sf_dir):
     records = assets.page_record(table(spark, sf_dir, "pages"))
     return records.withColumn("availability_links", F.array_join("availability_links", " "))
+
+
+@query("""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'quarantined' ELSE 'ok' END AS status, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'caf' || chr(233) || ' ' || lang ELSE '' END AS methods
+FROM documents""")
+def page_broken_markup(spark, sf_dir):
+    """A page that the parser rejects is kept aside; deep nesting and odd ends are no reason."""
+    broken = F.concat(F.lit("<h2>Methods</h2><![foo "), "source", F.lit(" ]><p>x"))
+    named = F.concat(F.lit("</i></b><h2>Methods</h2><p>caf&eacute; "), "lang", F.lit("</p></div>"))
+    deep = F.concat(F.repeat(F.lit("<div>"), F.lit(2000)), F.lit("<h3>Other</h3>"))
+    markup = F.when(F.col("doc_id") % 3 == 0, broken).when(F.col("doc_id") % 3 == 1, named).otherwise(deep)
+    pages = table(spark, sf_dir, "documents").select("doc_id", markup.alias("html"))
+    return assets.page_record(pages).select("doc_id", "status", "methods")

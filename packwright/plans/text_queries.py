@@ -319,7 +319,7 @@ SELECT doc_id, 'Paper ' || doc_id AS title, regexp_extract(html, 'About [a-z0-9]
   regexp_extract(html, 'https://github[^"]*', 0) || ' ' || regexp_extract(html, 'https://zenodo[^"]*', 0) AS availability_links FROM t"""))
 def page_record(spark, sf_dir):
     records = assets.page_record(template(spark, sf_dir, "html"))
-    return records.withColumn("availability_links", F.array_join("availability_links", " "))
+    return records.withColumn("availability_links", F.array_join("availability_links", " ")).drop("status", "reason")
 
 
 # --- links, paths and names ------------------------------------------------------------
