@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 
 from packwright.functions import html as H
 from packwright.functions import text as X
-from packwright.functions.jsontext import is_strict_json
+from packwright.functions.jsontext import OK, QUARANTINED, is_strict_json, recover_list
+from packwright.operators.joins import triage_join
 from packwright.sources.shipping import ship
 
 # The record a repository returns for one deposit.
@@ -116,6 +117,68 @@ def rows_to_cells(tables: DataFrame, keys: Sequence[str], rows: str = "rows") ->
     )
 
 
+def table_batch(
+    verdicts: DataFrame, cleaned: DataFrame, key: str = "doc_id", reply: str = "reply"
+) -> DataFrame:
+    """Rows of the chosen tables of many documents, each table numbered by ``Id`` from 0.
+
+    ``verdicts`` has ``key, table_index, suggested_filename``; ``cleaned`` has ``key,
+    table_index`` and the reply with the table as a JSON list of objects. The result has
+    ``key, table_index, suggested_filename, status, reason, Id, values``; a verdict without its
+    table, or a reply without a list, is one quarantined row. A reply is unfolded where it is.
+    """
+    joined = triage_join(verdicts, cleaned, key).withColumnRenamed("status", "__found")
+    parsed = recover_list(joined, reply, "map<string,string>")
+    missing = F.col("__found") == QUARANTINED
+    status = F.when(missing, QUARANTINED).otherwise(F.col("status"))
+    reason = F.when(missing, "no such table").otherwise(F.col("reason"))
+    kept = (key, "table_index", "suggested_filename")
+    return parsed.select(
+        *kept,
+        status.alias("status"),
+        reason.alias("reason"),
+        F.posexplode_outer(F.when(status == OK, F.col("value"))).alias("Id", "values"),
+    )
+
+
+def table_profiles(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per column of every table: values, numbers among them, and their mean, minimum, maximum.
+
+    ``cells`` comes from :func:`rows_to_cells`; all tables are profiled in one aggregation that
+    combines before its shuffle.
+    """
+    number = F.col("value").try_cast("double")
+    number = F.when(~F.isnan(number), number)
+    return cells.groupBy(*keys, "position", "name").agg(
+        F.count("value").alias("non_null"),
+        F.count(number).alias("numbers"),
+        F.avg(number).alias("mean"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"),
+        (F.max("row") + 1).alias("rows"),
+    )
+
+
+def table_reports(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One exploration text per table: columns, size, and a line for every column."""
+
+    def shown(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("decimal(38,2)").cast("string"), F.lit("-"))
+
+    facts = ["non_null", "numbers", "mean", "min", "max"]
+    texts = [F.col(c).cast("string") if c in ("non_null", "numbers") else shown(c) for c in facts]
+    labelled = [t for c, x in zip(facts, texts) for t in (F.lit(f" {c} "), x)]
+    line = F.concat(F.lit("- "), F.coalesce("name", F.lit("?")), F.lit(":"), *labelled)
+    gathered = table_profiles(cells, keys).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("position", "name", line.alias("line")))).alias("c"),
+        F.max("rows").alias("rows"),
+    )
+    names = F.array_join(F.col("c.name"), ", ", "?")
+    size = F.concat(F.col("rows").cast("string"), F.lit(" rows, "), F.size("c").cast("string"), F.lit(" columns"))
+    report = F.concat_ws("\n", F.concat(F.lit("Columns: "), names), size, F.array_join(F.col("c.line"), "\n"))
+    return gathered.select(*keys, report.alias("report"))
+
+
 def table_preview(rows: DataFrame, key: str, order: str, line: Column, limit: int = 5) -> DataFrame:
     """First ``limit`` lines of each table as one text.
 

@@ -272,3 +272,38 @@ def page_broken_markup(spark, sf_dir):
     markup = F.when(F.col("doc_id") % 3 == 0, broken).when(F.col("doc_id") % 3 == 1, named).otherwise(deep)
     pages = table(spark, sf_dir, "documents").select("doc_id", markup.alias("html"))
     return assets.page_record(pages).select("doc_id", "status", "methods")
+
+
+# --- many tables at once ---------------------------------------------------------------
+
+
+@query("""SELECT l_returnflag AS name, 'Columns: quantity, mode' || chr(10) || count(*) || ' rows, 2 columns' || chr(10) ||
+  '- quantity: non_null ' || count(*) || ' numbers ' || count(*) || ' mean ' || cast(avg(l_quantity) AS DECIMAL(20,2)) || ' min ' || cast(min(l_quantity) AS DECIMAL(20,2)) || ' max ' || cast(max(l_quantity) AS DECIMAL(20,2)) || chr(10) ||
+  '- mode: non_null ' || count(*) || ' numbers 0 mean - min - max -' AS report FROM lineitem GROUP BY 1""")
+def table_reports(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    rows = group_rank(lines.select("l_returnflag", "l_quantity", "l_linestatus", F.xxhash64(*lines.columns).alias("h")), ["l_returnflag"], ["h"], "row")
+    cells = rows.select(
+        F.col("l_returnflag").alias("name_"), "row",
+        F.posexplode(F.array(F.col("l_quantity").cast("string"), F.col("l_linestatus"))).alias("position", "value"),
+    )
+    cells = cells.withColumn("name", F.when(F.col("position") == 0, "quantity").otherwise("mode"))
+    return assets.table_reports(cells, ["name_"]).withColumnRenamed("name_", "name")
+
+
+@query("""SELECT doc_id, v.t AS table_index, 't' || v.t || '.csv' AS suggested_filename,
+  CASE WHEN v.t = 3 THEN 'no such table' WHEN v.t = 2 AND doc_id % 5 = 0 THEN 'invalid json' END AS reason,
+  CASE WHEN v.t = 3 OR (v.t = 2 AND doc_id % 5 = 0) THEN NULL ELSE i END AS "Id",
+  CASE WHEN v.t = 3 OR (v.t = 2 AND doc_id % 5 = 0) THEN NULL WHEN i = 0 THEN lang ELSE source END AS a
+FROM documents, (VALUES (1), (2), (3)) v(t), (VALUES (0), (1)) w(i) WHERE i = 0 OR NOT (v.t = 3 OR (v.t = 2 AND doc_id % 5 = 0))""")
+def table_batch(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    index = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
+    verdicts = documents.select("doc_id", index.alias("table_index"))
+    verdicts = verdicts.withColumn("suggested_filename", F.concat(F.lit("t"), "table_index", F.lit(".csv")))
+    cells = F.concat(F.lit('Cleaned: [{"a": "'), "lang", F.lit('"}, {"a": "'), "source", F.lit('"}'))
+    end = F.when((F.col("table_index") == 2) & (F.col("doc_id") % 5 == 0), "}]").otherwise("] done")
+    cleaned = documents.select("doc_id", cells.alias("cells"), index.alias("table_index")).filter("table_index < 3")
+    cleaned = cleaned.select("doc_id", "table_index", F.concat("cells", end).alias("reply"))
+    rows = assets.table_batch(verdicts, cleaned)
+    return rows.select("doc_id", "table_index", "suggested_filename", "reason", "Id", F.try_element_at("values", F.lit("a")).alias("a"))
