@@ -73,16 +73,24 @@ def quote_links(messages: DataFrame) -> DataFrame:
 
 
 def _threads(parents: DataFrame) -> DataFrame:
-    """``(conv, turn, parent, thread, position)`` from ``(conv, turn, parent)``."""
-    eldest = parents.where("parent is not null").groupBy("conv", "parent").agg(F.min("turn").alias("turn")).select("conv", "turn", F.lit(True).alias("goes_on"))
-    step = parents.join(eldest, _KEY, "left")
-    now = stored(step.select(*_KEY, "parent", F.when(F.col("goes_on"), F.col("parent")).otherwise(F.col("turn")).alias("thread"), F.when(F.col("goes_on"), 1).otherwise(0).cast("bigint").alias("position")))
-    while True:
-        heads = now.where("position > 0").select("conv", F.col("turn").alias("thread"), F.col("thread").alias("next"), F.col("position").alias("more"))
-        joined = now.join(heads, ["conv", "thread"], "left")
-        if now.join(heads, ["conv", "thread"], "left_semi").isEmpty():
-            return now
-        now = stored(joined.select(*_KEY, "parent", F.coalesce("next", "thread").alias("thread"), (F.col("position") + F.coalesce("more", F.lit(0))).alias("position")))
+    """``(conv, turn, parent, thread, position)`` from ``(conv, turn, parent)``.
+
+    Every message that goes on a thread points at one before it in the thread, at first at its
+    parent; each round doubles the distance, for those that do not point at the first one yet.
+    """
+    eldest = parents.where("parent is not null").groupBy("conv", "parent").agg(F.min("turn").alias("turn"))
+    eldest = eldest.select("conv", "turn", F.lit(True).alias("goes_on"))
+    steps = stored(parents.join(eldest, _KEY, "left").withColumn("goes_on", F.coalesce("goes_on", F.lit(False))))
+    firsts = steps.where("not goes_on").select("conv", F.col("turn").alias("thread"), F.lit(True).alias("done"))
+    going = steps.where("goes_on").select(*_KEY, "parent", F.col("parent").alias("thread"), F.lit(1).cast("bigint").alias("position"))
+    going = stored(going.join(firsts, ["conv", "thread"], "left").select(*_KEY, "parent", "thread", "position", F.coalesce("done", F.lit(False)).alias("done")))
+    while not (open_ := going.where("not done").drop("done")).isEmpty():
+        ahead = going.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("next"), F.col("position").alias("more"), "done")
+        moved = open_.join(ahead, ["conv", "thread"])
+        moved = moved.select(*_KEY, "parent", F.col("next").alias("thread"), (F.col("position") + F.col("more")).alias("position"), "done")
+        going = stored(going.where("done").unionByName(moved))
+    alone = steps.where("not goes_on").select(*_KEY, "parent", F.col("turn").alias("thread"), F.lit(0).cast("bigint").alias("position"))
+    return alone.unionByName(going.drop("done"))
 
 
 def conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
