@@ -19,6 +19,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,9 @@ from pyspark.sql import functions as F
 from packwright.llm.frames import batch, keyed, steps, strings, task_map
 
 #: Labelled documents the model is fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 6_000
 #: Bytes of sampled text that reach the driver, at most; whole documents in hash order.
-SAMPLE_BYTES = 32 << 20
+SAMPLE_BYTES = 20 << 20
 #: Hashed features.
 BUCKETS = 1 << 17
 #: A sentence with no known feature: well below one in a thousand, so that long texts of many
@@ -56,40 +58,50 @@ def sentences(text: str) -> list[str]:
     return _SENTENCE.findall(text)
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 150, rate: float = 1.0, shrink: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Weights and bias that maximise the likelihood of document labels under noisy-or.
+def _bags(rows: Iterable[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features, the sentence of each, the document of each sentence, and the labels.
 
-    Full-batch steps of Adagrad with an L1 penalty, which leaves features without evidence at
-    zero. Deterministic for the same rows in the same order.
+    Features in fewer than three documents say nothing about others and are left out.
     """
-    weights, bias = np.zeros(BUCKETS), START_BIAS
-    if not texts or len(set(labels)) < 2:
-        return weights, bias
-    feature, sentence, document, seen = [], [], [], {}
-    for d, text in enumerate(texts):
+    feature, sentence, document, labels = array("q"), array("q"), array("q"), []
+    seen: dict[str, list[int]] = {}
+    spread = np.zeros(BUCKETS, np.int64)
+    for text, label in rows:
+        begun = len(feature)
         for s in sentences(text) or [""]:
             found = set()
             for word in _WORD.findall(s.lower()):
                 if word not in seen:
                     seen[word] = word_features(word)
                 found.update(seen[word])
-            feature += found
-            sentence += [len(document)] * len(found)
-            document.append(d)
-    feature, sentence, document = np.array(feature, np.int64), np.array(sentence, np.int64), np.array(document, np.int64)
-    # A feature in a single document says nothing about others.
-    pairs = np.unique(feature * len(texts) + document[sentence])
-    spread = np.bincount(pairs // len(texts), minlength=BUCKETS)
+            feature.extend(found)
+            sentence.extend([len(document)] * len(found))
+            document.append(len(labels))
+        spread[np.unique(np.frombuffer(feature, np.int64)[begun:])] += 1
+        labels.append(label)
+    feature, sentence, document = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (feature, sentence, document))
     keep = spread[feature] >= 3
-    feature, sentence = feature[keep], sentence[keep]
-    y, step = np.array(labels, float), np.full(BUCKETS, 1e-8)
+    return feature[keep], sentence[keep], document, np.array(labels, float)
+
+
+def fit(rows: Iterable[tuple[str, int]], rounds: int = 100, rate: float = 1.0, shrink: float = 3e-5) -> tuple[np.ndarray, float]:
+    """Weights and bias that maximise the likelihood of document labels under noisy-or.
+
+    Full-batch steps of Adagrad with an L1 penalty, which leaves features without evidence at
+    zero. Deterministic for the same rows in the same order.
+    """
+    weights, bias = np.zeros(BUCKETS), START_BIAS
+    feature, sentence, document, y = _bags(rows)
+    if len(set(y.tolist())) < 2:
+        return weights, bias
+    step = np.full(BUCKETS, 1e-8)
     # Both classes weigh the same, or the rarer one would be neglected.
     share = y.mean()
     cost = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / len(y)
     for _ in range(rounds):
         z = np.clip(bias + np.bincount(sentence, weights[feature], len(document)), -30, 30)
         p = 1 / (1 + np.exp(-z))
-        log_clean = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), len(texts))
+        log_clean = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y))
         toxic = -np.expm1(log_clean)
         # d log P / dz of a sentence: p (1 - P) / P for toxic documents, -p for the others.
         pull = np.where(y > 0, np.exp(log_clean) / np.maximum(toxic, 1e-9), -1.0) * cost
@@ -120,15 +132,18 @@ def train(
     df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", trained_on: Column | None = None
 ) -> Broadcast:
     """The model, fitted on the labelled rows that ``trained_on`` (a column of labels) accepts."""
-    texts, marks, size = [], [], 0
-    for row in training_rows(df, labels, label_col, id_col, text_col, trained_on).toLocalIterator():
-        text = row["text"] or ""
-        size += len(text.encode("utf-8", "replace"))
-        if size > SAMPLE_BYTES:
-            break
-        texts.append(text)
-        marks.append(row["label"])
-    weights, bias = fit(texts, marks)
+    chosen = training_rows(df, labels, label_col, id_col, text_col, trained_on)
+
+    def bounded():
+        size = 0
+        for row in chosen.toLocalIterator():
+            text = row["text"] or ""
+            size += len(text.encode("utf-8", "replace"))
+            if size > SAMPLE_BYTES:
+                return
+            yield text, row["label"]
+
+    weights, bias = fit(bounded())
     known = np.flatnonzero(weights)
     model = (dict(zip(known.tolist(), weights[known].tolist(), strict=True)), bias)
     return df.sparkSession.sparkContext.broadcast(model)
