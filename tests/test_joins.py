@@ -39,3 +39,16 @@ def test_listed_files_and_skip(spark):
     manifest = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3)], "path string, n int")
     assert rows(joins.listed_files(listed, manifest, ["path"])) == [("a", True), ("a", True), ("b", False)]
     assert rows(joins.skip_processed(listed, manifest, ["path"])) == [("b",)]
+
+
+def test_every_hot_key_is_found(spark):
+    left = spark.range(600).selectExpr("id % 60 as k")
+    assert joins.hot_keys(left, ["k"], hot_rows=5).count() == 60
+    assert joins.hot_keys(left, ["k"], hot_rows=10).count() == 0
+
+
+def test_hot_key_with_several_right_rows_is_an_error(spark):
+    left = spark.range(100).selectExpr("1 as k")
+    right = spark.createDataFrame([(1, "a"), (1, "b")], "k int, x string")
+    with pytest.raises(ValueError):
+        joins.join_unique(left, right, ["k"], "left", hot_rows=10)

@@ -107,3 +107,15 @@ def test_no_table_is_sorted_in_one_task(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     plan = rank.global_rank(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_null_is_a_group(spark, monkeypatch):
+    rows = [(None if i % 3 == 0 else i % 3, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "g int, o int")
+    found = {r.o: r.ordinal for r in rank.group_rank(df, ["g"], ["o"]).collect()}
+    assert found == {i: i // 3 for i in range(30)}
+
+
+def test_keys_of_rows_that_differ_in_microseconds(spark):
+    df = spark.sql("select timestamp_micros(1000000 + id) as t from range(20)")
+    assert rank.row_keys(df).select("row_key").distinct().count() == 20

@@ -112,3 +112,24 @@ def test_split_is_written_in_its_format(spark, tmp_path, fmt):
 
 def test_checkpoints_go_to_the_configured_folder(spark):
     assert checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_manifest_lists_hidden_and_empty_files(spark, tmp_path):
+    for name, text in {"pkg/__init__.py": "", "a.csv": "x", "pkg/.hid": "abc", "pkg/deep/_m.json": "{}", "empty.csv": ""}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    (tmp_path / "no files").mkdir()
+    found = {r.rel_path: r.length for r in readers.scan_manifest(spark, str(tmp_path)).collect()}
+    assert found == {"pkg/__init__.py": 0, "a.csv": 1, "pkg/.hid": 3, "pkg/deep/_m.json": 2, "empty.csv": 0}
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    rows = readers.read_delimited(spark, str(tmp_path / "t.csv"), schema="a string, b int").collect()
+    assert [tuple(r) for r in rows] == [("x\ny", 1), ("z", 2)]
+
+
+def test_number_suffixes_stay_text(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("3D 1e3 7\n4 .5 8\n")
+    df = readers.read_ws_table(spark, str(tmp_path / "t.txt"))
+    assert [t for _, t in df.dtypes[1:]] == ["string", "double", "bigint"]
