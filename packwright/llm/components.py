@@ -14,17 +14,29 @@ from packwright.sources.checkpoints import scratch_folder
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the folder all executors share and read again; it goes when Spark ends."""
-    spark = df.sparkSession
-    folder = scratch_folder(spark)
+    folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
-    _drop_at_end(spark, folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _drop_at_end(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+class Scratch:
+    """Stored tables of one job that go when its result is stored, so that disks hold less."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folders = spark, []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        folder = scratch_folder(self.spark)
+        self.folders.append(folder)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear(self) -> None:
+        context = self.spark.sparkContext
+        for folder in self.folders:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self.folders.clear()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,18 +51,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hooked.where("u > v").distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other node, which hangs on none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("below"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("below")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("below").alias("below"))
+    return ends.where("up > 1 or (up = 1 and below = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``: the smallest node reachable, for nodes ``a``, ``b`` of the edges.
 
     Loops and repeated edges change nothing; no edges give no rows.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-        now = stored(_star(_star(now, large=True), large=False))
+    scratch = Scratch(edges.sparkSession)
+    now = scratch.stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
+    while not _is_done(now):
+        now = scratch.stored(_star(_star(now, large=True), large=False))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    found = stored(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))
+    scratch.clear()
+    return found

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packwright.llm.components import components, stored
+from packwright.llm.components import Scratch, components, stored
 from packwright.llm.frames import batch, keyed, steps, task_map
 from packwright.llm.tables import cell_counts
 from packwright.llm.words import Words, cut, mixed, runs
@@ -44,7 +44,7 @@ KEYS = 1 << 21
 #: Keys that occur more often than this are dealt to several groups.
 HOT = 1 << 21
 #: Nodes and runs of one block of a tile.
-BLOCK_NODES, BLOCK_RUNS = 4096, 1 << 21
+BLOCK_NODES, BLOCK_RUNS = 1024, 1 << 20
 #: Ids that are broadcast to pick texts; beyond, an ordinary join does it.
 BROADCAST_IDS = 1 << 20
 
@@ -329,13 +329,13 @@ def _picked(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def _candidates(tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _candidates(scratch: Scratch, tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``(tile, node, class, root)`` of nodes with a possible partner, from ``(tile, node, class)``."""
     facts = nodes.select("node", "n", "bits")
-    return stored(_by_tile(tiles.join(facts, "node"), _possible(percent), "tile bigint, node bigint, class bigint, root bigint"))
+    return scratch.stored(_by_tile(tiles.join(facts, "node"), _possible(percent), "tile bigint, node bigint, class bigint, root bigint"))
 
 
-def _resolve(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
+def _resolve(scratch: Scratch, clusters: DataFrame, nodes: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
     """Links between nodes of different classes in clusters of ``(tile, node, class)``.
 
     A cluster too large for a task is dealt to blocks, and every two blocks are a tile.
@@ -348,7 +348,7 @@ def _resolve(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, length: in
     meeting = F.xxhash64("tile", F.least("own", "other"), F.greatest("own", "other"))
     dealt = dealt.select(meeting.alias("tile"), "node", "class")
 
-    ids = stored(nodes.join(clusters.select("node").distinct(), "node", "left_semi").select("id"))
+    ids = scratch.stored(nodes.join(clusters.select("node").distinct(), "node", "left_semi").select("id"))
     schema = pa.schema([("node", pa.int64()), ("runs", pa.binary())])
 
     def run(batches):
@@ -357,7 +357,7 @@ def _resolve(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, length: in
             yield batch(schema, node=[node_of(s) for s in found], runs=[s.tobytes() for s in found])
 
     arrays = task_map(_picked(texts, ids), run, "node bigint, runs binary").dropDuplicates(["node"])
-    return stored(_by_tile(dealt.join(arrays, "node"), _links(percent), "a bigint, b bigint"))
+    return scratch.stored(_by_tile(dealt.join(arrays, "node"), _links(percent), "a bigint, b bigint"))
 
 
 def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -374,14 +374,17 @@ def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc
             yield (all_runs(cut(part.column("text"), lower=True), words)[0] >> _CELL).astype(np.int64)
 
     counts = spark.sparkContext.broadcast(np.minimum(cell_counts(texts, cells, CELLS), 1 << 62))
-    signed = stored(_signatures(texts, words, percent, counts))
-    nodes = stored(
+    scratch, first_scratch = Scratch(spark), Scratch(spark)
+    signed = first_scratch.stored(_signatures(texts, words, percent, counts))
+    nodes = scratch.stored(
         signed.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "bits")])
     )
+    members_of = stored(signed.select("id", "n", "node"))
+    first_scratch.clear()
     total = nodes.agg(F.sum(F.length("keys")).alias("bytes")).first()["bytes"] or 0
     dealt = task_map(nodes.select("node", "n", "keys"), _deal(max(1, -(-total // (8 * KEYS))), counts), "part bigint, keys binary, who binary, nodes binary, sizes binary")
     form = _tiles(percent)
-    lists = stored(dealt.groupBy("part").applyInArrow(lambda t: form(t), "tile bigint, nodes array<bigint>").dropDuplicates(["tile"]))
+    lists = scratch.stored(dealt.groupBy("part").applyInArrow(lambda t: form(t), "tile bigint, nodes array<bigint>").dropDuplicates(["tile"]))
 
     # First each node meets the smallest node it shares a tile with, in blocks of bounded size.
     members = lists.select("tile", F.array_min("nodes").alias("lead"), F.explode("nodes").alias("node"))
@@ -391,23 +394,24 @@ def classes(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc
     placed = stars.join(sizes, "lead").select("lead", block.alias("block"), "node")
     leads = placed.select("lead", "block", F.col("lead").alias("node")).distinct()
     first = placed.unionByName(leads).distinct().select(F.xxhash64("lead", "block").alias("tile"), "node", F.col("node").alias("class"))
-    possible = _candidates(first, nodes, percent).select(F.xxhash64("tile", "root").alias("tile"), "node", "class")
-    links = _resolve(possible, nodes, texts, words, percent)
-    known = stored(components(links))
+    possible = _candidates(scratch, first, nodes, percent).select(F.xxhash64("tile", "root").alias("tile"), "node", "class")
+    links = _resolve(scratch, possible, nodes, texts, words, percent)
+    known = components(links)
 
     # Then the tiles that still hold several classes.
     labelled = members.join(known, "node", "left").select("tile", "node", F.coalesce("component", "node").alias("class"))
     open_ = labelled.groupBy("tile").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("tile")
-    possible = _candidates(labelled.join(open_, "tile", "left_semi"), nodes, percent)
+    possible = _candidates(scratch, labelled.join(open_, "tile", "left_semi"), nodes, percent)
     clusters = components(possible.select(F.col("node").alias("a"), F.col("root").alias("b")))
     possible = possible.select("node", "class").distinct().join(clusters, "node").select(F.col("component").alias("tile"), "node", "class")
-    more = _resolve(stored(possible), nodes, texts, words, percent)
-    known = stored(components(links.unionByName(more)))
+    more = _resolve(scratch, scratch.stored(possible), nodes, texts, words, percent)
+    known = components(links.unionByName(more))
 
     named = nodes.select("node", "id").join(known, "node", "left").select("node", "id", F.coalesce("component", "node").alias("class"))
     least = named.groupBy("class").agg(F.min("id").alias("component_id"))
-    ends = named.join(least, "class").select("node", "component_id")
-    found = signed.select("id", "n", "node").join(ends, "node", "left")
+    ends = stored(named.join(least, "class").select("node", "component_id"))
+    scratch.clear()
+    found = members_of.join(ends, "node", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return found.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), component.cast(kind).alias("component_id"))
 

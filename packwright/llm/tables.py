@@ -17,9 +17,9 @@ CHUNK, FAN = 1 << 13, 256
 def cell_counts(df: DataFrame, cells: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], size: int) -> np.ndarray:
     """How often each of ``size`` cells occurs among what ``cells`` yields from the rows.
 
-    Every task counts on its own and sends its table in chunks; chunks are summed in two steps,
-    so that no group gathers more than ``FAN`` tasks' worth at once for long. ``size`` numbers
-    reach the driver.
+    Every task counts on its own and sends its table in chunks; those of more than ``FAN`` tasks
+    are summed in two steps, so that no group gathers too many. ``size`` numbers reach the
+    driver.
     """
 
     def count(batches):
@@ -40,7 +40,9 @@ def cell_counts(df: DataFrame, cells: Callable[[Iterator[pa.RecordBatch]], Itera
         return pa.table({"cell": table.column("cell").slice(0, 1), "part": pa.array([0], pa.int64()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "cell bigint, part bigint, counts binary"
-    partial = task_map(df, count, schema).groupBy("cell", "part").applyInArrow(lambda t: add(t), schema)
+    partial = task_map(df, count, schema)
+    if df.rdd.getNumPartitions() > FAN:
+        partial = partial.groupBy("cell", "part").applyInArrow(lambda t: add(t), schema)
     result = np.zeros(size, np.int64)
     for row in partial.groupBy("cell").applyInArrow(lambda t: add(t), schema).collect():
         chunk = np.frombuffer(row["counts"], np.int64)
