@@ -37,11 +37,11 @@ from packwright.llm.words import cut, runs
 #: Cells per depth of the table of prefix counts.
 CELLS = 1 << 14
 #: Suffixes of a group that one task sorts.
-GROUP = 1 << 22
+GROUP = 3 << 20
 #: A prefix with more than this share of a group is split by more words.
 HEAVY = 1 / 8
 #: Text bytes whose suffixes are sorted together before the shuffle.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _BITS = np.uint64(64 - CELLS.bit_length() + 1)
@@ -55,7 +55,7 @@ def depths(window: int) -> tuple[int, ...]:
 def _rows(df: DataFrame, id_col: str, text_col: str, rest: Column | None = None) -> DataFrame:
     """Id, text, and a checksum of both that tells rows with one id apart and spreads them."""
     own, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
-    mark = F.xxhash64(own, text)
+    mark = F.xxhash64(own, text).bitwiseAND(F.lit(0xFFFFFFFF))
     return df.select(own.alias("id"), text.alias("text"), mark.alias("mark"), *([] if rest is None else [rest.alias("rest")]))
 
 
@@ -97,7 +97,7 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
 
 
 #: Suffixes on their way to a group: codes and gaps between their places in a block of texts, and
-#: of each text its id, mark and first place. Known repeats have no codes.
+#: of each text its mark and the gaps of ids and first places. Known repeats have no codes.
 _SENT = pa.schema([("part", pa.int64()), ("codes", pa.binary()), ("gaps", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary()), ("first", pa.binary())])
 #: Repeats on their way back to their texts: window starts of several texts of one bucket.
 _FOUND = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary()), ("counts", pa.binary()), ("places", pa.binary())])
@@ -117,7 +117,7 @@ def _by_bucket(ids: np.ndarray, marks: np.ndarray, docs: np.ndarray, places: np.
     found = []
     for a, b in zip(cuts, [*cuts[1:], docs.size], strict=True):
         used, counts = np.unique(docs[a:b], return_counts=True)
-        found.append(_packed(_FOUND, "bucket", int(home[docs[a]]), ids=ids[used], marks=marks[used], counts=counts.astype(np.uint32), places=places[a:b].astype(np.uint32)))
+        found.append(_packed(_FOUND, "bucket", int(home[docs[a]]), ids=ids[used], marks=marks[used].astype(np.uint32), counts=counts.astype(np.uint32), places=places[a:b].astype(np.uint32)))
     return found
 
 
@@ -155,7 +155,8 @@ def _sender(window: int, heavy: np.ndarray, groups: int):
                 at = starts[keep[a:b]]
                 used = np.unique(docs[keep[a:b]])
                 gaps = np.diff(at, prepend=0).astype(np.uint32)
-                yield _packed(_SENT, "part", int(own[a]), codes=codes[keep[a:b]], gaps=_planes(gaps), ids=ids[used], marks=marks[used], first=words.first[used])
+                yield _packed(_SENT, "part", int(own[a]), codes=codes[keep[a:b]], gaps=_planes(gaps), ids=_planes(np.diff(ids[used], prepend=0)),
+                              marks=marks[used].astype(np.uint32), first=_planes(np.diff(words.first[used], prepend=0).astype(np.uint32)))
 
     return send
 
@@ -169,14 +170,14 @@ def _subtree(groups: int):
             if not row["codes"]:
                 out.append(batch(_FOUND, bucket=[row["part"]], ids=[row["ids"]], marks=[row["marks"]], counts=[row["first"]], places=[row["gaps"]]))
                 continue
-            first = np.frombuffer(row["first"], np.int64)
+            first = np.cumsum(_unplanes(row["first"], np.uint32).astype(np.int64))
             at = np.cumsum(_unplanes(row["gaps"], np.uint32).astype(np.int64))
             own = np.searchsorted(first, at, "right") - 1
             codes.append(np.frombuffer(row["codes"], np.uint64))
             docs.append((own + texts).astype(np.uint32))
             places.append((at - first[own]).astype(np.uint32))
-            ids.append(np.frombuffer(row["ids"], np.int64))
-            marks.append(np.frombuffer(row["marks"], np.int64))
+            ids.append(np.cumsum(_unplanes(row["ids"], np.int64)))
+            marks.append(np.frombuffer(row["marks"], np.uint32).astype(np.int64))
             texts += first.size
         if codes:
             codes, docs, places, ids, marks = (np.concatenate(x) for x in (codes, docs, places, ids, marks))
@@ -227,7 +228,7 @@ def _over_repeats(rows: DataFrame, window: int, function, schema: str) -> DataFr
                 for row in own.select(["ids", "marks", "counts", "places"]).to_pylist():
                     ends = np.cumsum(np.frombuffer(row["counts"], np.uint32).astype(np.int64))
                     starts = np.split(np.frombuffer(row["places"], np.uint32), ends[:-1])
-                    for key, at in zip(zip(np.frombuffer(row["ids"], np.int64).tolist(), np.frombuffer(row["marks"], np.int64).tolist(), strict=True), starts, strict=True):
+                    for key, at in zip(zip(np.frombuffer(row["ids"], np.int64).tolist(), np.frombuffer(row["marks"], np.uint32).tolist(), strict=True), starts, strict=True):
                         known.setdefault(key, []).append(at)
 
     return task_map(both, run, schema)
