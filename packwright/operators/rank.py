@@ -235,16 +235,25 @@ def value_at(df: DataFrame, order_cols: Sequence[str], position: int, rows: int)
 
 
 def group_rank(
-    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], name: str = "ordinal"
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_cols: Sequence[str],
+    name: str = "ordinal",
+    size: str | None = None,
 ) -> DataFrame:
     """0-based position of each row within its group; a group may span many tasks.
 
+    With ``size`` the number of rows of the group is added under that name.
+
     ``group_cols + order_cols`` should identify a row; null is a group of its own. The rank is
     the global position minus the group's first position, which comes from a map-side minimum.
     """
     ranked = global_rank(df, [*group_cols, *order_cols], name)
     # A struct is never null itself, so null groups meet their own start.
     ranked = ranked.withColumn("__group", F.struct(*[F.col(c) for c in group_cols]))
-    starts = ranked.groupBy("__group").agg(F.min(name).alias("__start"))
+    starts = ranked.groupBy("__group").agg(
+        F.min(name).alias("__start"), F.count(F.lit(1)).alias("__size")
+    )
     joined = join_unique(ranked, starts, ["__group"])
-    return joined.select(*df.columns, (F.col(name) - F.col("__start")).alias(name))
+    sizes = [F.col("__size").alias(size)] if size else []
+    return joined.select(*df.columns, (F.col(name) - F.col("__start")).alias(name), *sizes)

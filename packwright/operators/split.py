@@ -203,12 +203,9 @@ def ordered_split(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
 
 def ordered_split_within(df: DataFrame, group: str, order_cols: Sequence[str]) -> DataFrame:
     """:func:`ordered_split` of each group by itself (the files of each dataset, say)."""
-    as_group = F.struct(F.col(group)).alias("__group")  # never null, so null is a group too
-    sizes = df.groupBy(as_group).agg(F.count(F.lit(1)).alias("__rows"))
-    placed = group_rank(df, [group], list(order_cols), "__place").withColumn("__group", as_group)
+    placed = group_rank(df, [group], list(order_cols), "__place", "__rows")
     is_test = F.col("__place") >= F.expr("__rows * 4 div 5")
-    joined = join_unique(placed, sizes, ["__group"])
-    return joined.withColumn("split", _side(is_test)).select(*df.columns, "split")
+    return placed.withColumn("split", _side(is_test)).select(*df.columns, "split")
 
 
 def _before_cut(df: DataFrame, columns: list[str], rows: int) -> Column:
