@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from packwright.llm.components import Scratch
 from packwright.llm.frames import batch, keyed, steps, strings, task_map
 
 #: Entries of the broadcast table, and of a task's list of frequent words.
@@ -100,10 +101,12 @@ def count_text(text: str, tokenizer: Tokenizer, split: re.Pattern | None, length
 
 
 def frequent_words(df: DataFrame, id_col: str, text_col: str, size: int = TABLE) -> list[str]:
-    """The most frequent words of all texts, at most ``size``, ties by the word.
+    """The most frequent words of all texts, at most ``size``: those from a power of two on.
 
     Each task drops its rare words whenever it holds ``COUNTED`` different ones, so the list is
-    approximate; it is used as a cache only.
+    approximate; it is used as a cache only. How many words there are per power of two tells
+    which of them fit, so no more than ``size`` words reach the driver, whatever the number of
+    tasks.
     """
 
     def run(batches):
@@ -117,8 +120,17 @@ def frequent_words(df: DataFrame, id_col: str, text_col: str, size: int = TABLE)
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
 
     lists = task_map(keyed(df, id_col, text_col), run, "word string, n bigint")
-    summed = lists.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in summed.collect()]
+    scratch = Scratch(df.sparkSession)
+    summed = scratch.stored(lists.groupBy("word").agg(F.sum("n").alias("n")))
+    level = F.floor(F.log2("n")).cast("int").alias("level")
+    counts = {r["level"]: r["words"] for r in summed.groupBy(level).agg(F.count("*").alias("words")).collect()}
+    least, total = max(counts, default=0) + 1, 0
+    while least - 1 in range(64) and total + counts.get(least - 1, 0) <= size:
+        least -= 1
+        total += counts.get(least, 0)
+    found = [r["word"] for r in summed.where(F.col("n") >= 2**least).orderBy(F.desc("n"), "word").collect()]
+    scratch.clear()
+    return found
 
 
 def length_table(model: bytes, words: list[str], size: int = TABLE) -> dict[str, int]:
