@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: labels of documents, scores of sentences.
 
 A document is a bag of sentences. Each sentence has a probability ``sigmoid(bias + sum of the
-weights of its features)``, and the document's score is their noisy-or, ``1 - prod(1 - p)``: one
-offending sentence is enough. Training sees labels of documents only; afterwards the sentence
+weights of its features)``, and the document's score is the noisy-or, ``1 - prod(1 - p)``, of its
+worst sentence and of what the others have beyond the prior: one offending sentence is enough, and
+any number of sentences that say nothing add nothing. Training sees labels of documents only; afterwards the sentence
 probabilities say where the offence is.
 
 Features are the words of a sentence without case, each with its first four and five letters, so
@@ -36,8 +37,7 @@ SAMPLE = 6_000
 SAMPLE_BYTES = 20 << 20
 #: Hashed features.
 BUCKETS = 1 << 17
-#: A sentence with no known feature: well below one in a thousand, so that long texts of many
-#: harmless sentences keep a low noisy-or.
+#: Log odds of a sentence with no known feature, the prior: well below one in a thousand.
 START_BIAS = -8.0
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -169,8 +169,11 @@ def sentence_odds(text: str, scores: WordScores, bias: float) -> list[float]:
 
 
 def noisy_or(odds: list[float], bias: float) -> float:
-    """``1 - prod(1 - p)`` over sentences; of no sentences, the prior."""
-    return -math.expm1(-sum(math.log1p(math.exp(min(z, 30.0))) for z in odds or [bias]))
+    """``1 - prod(1 - p)`` of the worst sentence and what the others have beyond the prior; of no sentences, the prior."""
+    prior, worst = math.log1p(math.exp(bias)), max(odds, default=bias)
+    if worst <= bias:
+        return -math.expm1(-math.log1p(math.exp(worst)))
+    return -math.expm1(-prior - sum(math.log1p(math.exp(min(z, 30.0))) - prior for z in odds if z > bias))
 
 
 def score(df: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

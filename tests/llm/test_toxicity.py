@@ -41,3 +41,16 @@ def test_null_empty_and_repeated_rows(spark):
     assert len(found) == 5 and not any(r["predicted"] for r in found[:3])
     assert toxicity.score(df.limit(0), model).count() == 0
     assert toxicity.accepted(df.limit(0), model).count() == 0
+
+
+def test_sentences_without_evidence_add_nothing(spark):
+    calm = [(1000 + i, t, 0) for i, t in enumerate(["a. " * 5000, "3.14 2.71\n" * 5000, "zzq yyq xxq.\n" * 5000])]
+    rude = (2000, "a. " * 4000 + "river " + RUDE[0] + " stone. " + "a. " * 4000, 1)
+    rows = texts(400, 3)
+    df = spark.createDataFrame(rows + calm + [rude], "doc_id bigint, text string, toxic int")
+    model = toxicity.train(df, df.where("doc_id < 1000").select("doc_id", "toxic"))
+    found = {x["doc_id"]: x["predicted"] for x in toxicity.score(df, model).collect()}
+    assert [found[i] for i, _, _ in calm] == [0, 0, 0] and found[2000] == 1
+    assert {x["doc_id"] for x in toxicity.accepted(df.where("doc_id >= 1000"), model).collect()} == {i for i, _, _ in calm}
+    untrained = toxicity.train(df, df.where("toxic = 0").select("doc_id", "toxic"))
+    assert {x["score"] for x in toxicity.score(df, untrained).collect()} == {toxicity.noisy_or([], toxicity.START_BIAS)}
