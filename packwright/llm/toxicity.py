@@ -33,7 +33,7 @@ from packwright.llm.frames import batch, keyed, steps, strings, task_map
 
 #: Labelled documents the model is fitted on, at most.
 SAMPLE = 6_000
-#: Bytes of sampled text that reach the driver, at most; whole documents in hash order.
+#: Bytes of sampled text that the model is fitted on, at most; whole documents in hash order, those that do not fit are passed over.
 SAMPLE_BYTES = 20 << 20
 #: Hashed features.
 BUCKETS = 1 << 17
@@ -124,7 +124,8 @@ def training_rows(df: DataFrame, labels: DataFrame, label_col: str, id_col: str,
     marks = marks.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     order = F.xxhash64(F.col("id").cast("string"))
     chosen = marks.orderBy(order, "id").limit(SAMPLE)
-    rows = keyed(df, id_col, text_col).join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    texts = keyed(df, id_col, text_col).where(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES)
+    rows = texts.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
     return rows.orderBy(order, "id").select("text", "label")
 
 
@@ -138,10 +139,10 @@ def train(
         size = 0
         for row in chosen.toLocalIterator():
             text = row["text"] or ""
-            size += len(text.encode("utf-8", "replace"))
-            if size > SAMPLE_BYTES:
-                return
-            yield text, row["label"]
+            more = len(text.encode("utf-8", "replace"))
+            if size + more <= SAMPLE_BYTES:
+                size += more
+                yield text, row["label"]
 
     weights, bias = fit(bounded())
     known = np.flatnonzero(weights)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from packwright.llm import toxicity
@@ -54,3 +55,15 @@ def test_sentences_without_evidence_add_nothing(spark):
     assert {x["doc_id"] for x in toxicity.accepted(df.where("doc_id >= 1000"), model).collect()} == {i for i, _, _ in calm}
     untrained = toxicity.train(df, df.where("toxic = 0").select("doc_id", "toxic"))
     assert {x["score"] for x in toxicity.score(df, untrained).collect()} == {toxicity.noisy_or([], toxicity.START_BIAS)}
+
+
+def test_a_text_that_does_not_fit_the_sample_is_passed_over(spark, monkeypatch):
+    rows = texts(300, 3) + [(i, "river " * 35_000, 0) for i in range(1000, 1030)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows: (seen.extend(rows), (np.zeros(8), -8.0))[1])
+    for bound, long in ((200_000, 0), (300_000, 1)):
+        monkeypatch.setattr(toxicity, "SAMPLE_BYTES", bound)
+        seen.clear()
+        toxicity.train(df.drop("toxic"), df.drop("text"))
+        assert sum(len(x) > 10_000 for x, _ in seen) == long and len(seen) == 300 + long
