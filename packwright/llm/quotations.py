@@ -51,8 +51,9 @@ def unquoted(text: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """``(conv, turn, level, code)``: every passage of every message, by the hash of its words."""
-    each = messages.select(*_KEY, F.xxhash64("text").alias("mark"), F.posexplode(lines(F.col("text"))).alias("at", "line"))
+    """``(conv, turn, level, code)``: every passage of every message, by the hash of its words; repeated rows count once."""
+    distinct = messages.withColumn("mark", F.xxhash64("text")).dropDuplicates([*_KEY, "mark"])
+    each = distinct.select(*_KEY, "mark", F.posexplode(lines(F.col("text"))).alias("at", "line"))
     each = each.withColumn("level", level(F.col("line"))).withColumn("line", F.regexp_replace(F.regexp_replace("line", _QUOTE, ""), r"^[ \t]+|[ \t]+$", ""))
     order = Window.partitionBy(*_KEY, "mark").orderBy("at")
     breaks = (F.col("level") != F.lag("level").over(order)) | (F.lag("line").over(order) == "")
@@ -123,7 +124,7 @@ def conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     )
 
 
-#: DuckDB SQL for :func:`conversations` over the table ``conversations``.
+#: DuckDB SQL for :func:`conversations` over the table ``conversations``; unlike it, the SQL loses links of repeated rows.
 SQL = r"""
 WITH RECURSIVE m AS (
   SELECT conv_id, turn::BIGINT AS turn, role, text, string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)) AS ls FROM conversations),

@@ -57,3 +57,12 @@ def test_a_passage_quoted_by_many_links_once_each(spark):
     rows = quotations.conversations(spark.createDataFrame(talk, SCHEMA)).collect()
     assert all(r["reply_to"] == 0 and r["n_quotes"] == 1 for r in rows if r["turn"])
     assert "Python" not in quotations.conversations(spark.createDataFrame(talk, SCHEMA))._jdf.queryExecution().toString()
+
+
+def test_repeated_rows_keep_their_quotations(spark):
+    talk = [(1, 0, "user", "hello there"), (1, 1, "assistant", "other words"), (1, 2, "user", "> hello there\nyes")]
+    once = as_set(quotations.conversations(spark.createDataFrame(talk, SCHEMA)).collect())
+    assert once[1, 2][0] == 0 and once[1, 2][3] == 1
+    for again in ([talk[0]], [talk[2]], talk):
+        rows = quotations.conversations(spark.createDataFrame(talk + again, SCHEMA)).collect()
+        assert len(rows) == len(talk + again) and as_set(rows) == once
