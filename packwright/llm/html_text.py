@@ -11,7 +11,8 @@ from the same messages.
 Blocks are runs of text between the bounds of block elements; inline tags and ``br`` do not end one.
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed,
 empty ones go, and the rest are joined in page order by two line breaks. Scripts, styles,
-templates, comments and other markup have no text; neither do forms' controls.
+templates, drawings, comments and other markup have no text; neither do forms' controls. The text of
+formulas and of fallbacks (``math``, ``object``, ``noscript``) is part of the block around it.
 
 Null, empty and text-free pages give an empty text. Broken markup is read as far as it goes: open
 elements end with their parent, unknown ends are ignored. Pages of any length and depth are read
@@ -35,7 +36,14 @@ from packwright.llm.html_pages import labelled_pages
 
 # HTML elements by how they are read.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe template svg math select object noframes xmp".split())
+#: Read up to the end tag, or to the end of the page without one, and without text.
+RAW = set("script style textarea title iframe noframes xmp".split())
+#: Elements whose text is none of the page's; block elements inside start no block.
+MUTE = set("template svg select".split())
+#: Inline elements that may hold blocks: their end tags end these too.
+HOLDS = MUTE | set("math noscript object".split())
+#: Start tags that stay inside an open ``select``; other blocks and controls end it.
+IN_SELECT = set("option hr button legend".split())
 BLOCK = set(
     "html head body address article aside blockquote button caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -84,6 +92,8 @@ def parse(source: str) -> Page:
     """The tree of a page and its blocks."""
     page, open_, run = Page(), [("#page", 0)], []
     at, size, links = 0, len(source), 0
+    mute = 0  # where the outermost element without text is among the open ones; 0 if none is open
+    holding = dict.fromkeys(HOLDS, 0)
 
     def flush() -> None:
         if run:
@@ -95,14 +105,22 @@ def parse(source: str) -> Page:
                 page.chars[node] += len(text)
 
     def close_to(depth: int) -> None:
-        nonlocal links
-        if any(name in BLOCK for name, _ in open_[depth:]):
+        nonlocal links, mute
+        if any(name in BLOCK for name, _ in open_[depth : mute or None]):
             flush()
-        links -= sum(name == "a" for name, _ in open_[depth:])
+        for name, _ in open_[depth:]:
+            links -= name == "a"
+            if name in HOLDS:
+                holding[name] -= 1
         del open_[depth:]
+        if mute >= depth:
+            mute = 0
+
+    def close(name: str) -> None:
+        close_to(max(depth for depth, (n, _) in enumerate(open_) if n == name))
 
     def text(upto: int) -> None:
-        if upto > at:
+        if upto > at and not mute:
             run.append(source[at:upto])
             if links > 0:
                 page.linked[open_[-1][1]] += upto - at
@@ -130,22 +148,37 @@ def parse(source: str) -> Page:
                 if open_[depth][0] == name:
                     close_to(depth)
                     break
-                if name not in BLOCK and open_[depth][0] in BLOCK:
+                if name not in BLOCK and (name not in HOLDS or not holding[name]) and open_[depth][0] in BLOCK:
                     break  # an inline end does not close blocks
             continue
+        foreign = holding["svg"] or holding["math"]
+        if found["rest"].endswith("/") and (foreign or name in ("svg", "math")):
+            continue
+        if holding["select"] and name not in IN_SELECT and (name in BLOCK or name in ("select", "textarea", "input")):
+            close("select")
+        if foreign and name in BLOCK and not any(n == "foreignobject" for n, _ in open_):
+            close("svg" if holding["svg"] else "math")
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
+            if stop is None and foreign:
+                open_.append((name, open_[-1][1]))  # an ordinary element there
+                continue
             stop = size if stop is None else source.find(">", stop.end())
             at = size if stop < 0 or stop == size else stop + 1
             continue
         if name in VOID:
+            if mute:
+                continue
             if name == "hr":
                 flush()
             elif name in ("br", "wbr") and run:
                 run.append(" " if name == "br" else "")
             continue
-        if name not in BLOCK:
+        if name not in BLOCK or mute:
             links += name == "a"
+            if name in HOLDS:
+                holding[name] += 1
+                mute = mute or (len(open_) if name in MUTE else 0)
             open_.append((name, open_[-1][1]))
             continue
         flush()

@@ -69,3 +69,15 @@ def test_nulls_repeats_and_clashing_columns(spark):
     found = sorted(((str(r["page_id"]), r["url"], r["text"], r["n_chars"]) for r in html_text.extract(df).collect()), key=str)
     assert found[0][2:] == ("", 0) and found[1][1:] == (None, "", 0) and found[2][2:] == ("Some text here.", 15) and found[3] == found[2]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_empty_unclosed_and_fallback_elements():
+    def blocks(source):
+        return [t for _, t in html_text.parse(source).blocks]
+
+    for tag in ("<svg width='1'/>", "<math/>", "<noscript>", "<object data='x'>", "<select><option>", "<svg>", "<svg><title/><path/>", "<template>"):
+        assert blocks(f"<div>{tag}</div><article><p>one</p>{'' if tag == '<template>' else tag}<p>two</p></article>") == ["one", "two"], tag
+    assert blocks("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b <object><b>c</b></object> <noscript>d</noscript> e</p>") == ["a x=2 b c d e"]
+    assert blocks("<p>pick <select><option>A</option><option>B</select> now <svg><text>no</text><style>p</style></svg>or <template><p>no</p><div></template>then</p>") == ["pick now or then"]
+    assert blocks("<p>a<script>x") == ["a"] and blocks("<svg><foreignObject><div>no</div></foreignObject></svg>yes") == ["yes"]
+    assert blocks("<noscript><div>a<p>b</noscript>c") == ["a", "b", "c"]
