@@ -7,10 +7,16 @@ block of benchmark items, of bounded size, are the build side of a hash join wit
 texts; larger benchmarks take several blocks. Items shorter than a window count as one window;
 items of fewer than ``SHORTEST`` tokens say too little and never match.
 
-Matching windows are aligned: those of one text and one item at the same distance belong together.
-An alignment is a leak if its windows cover at least ``coverage`` of the item's tokens and its slots
-are consistent: one value of the item always stands for one value of the text. An item copied word
-for word is trivially consistent.
+Texts and items have two readings, and windows of both count. In the first a capital at the start of
+a sentence is an ordinary word. In the second it is a name, and names in a row are one placeholder,
+so that a name may begin a sentence and may have another number of words.
+
+Matching windows are aligned: those of one text and one item at the same distance belong together,
+and so do those at neighbouring distances (at most ``DRIFT`` apart), between which words were put in
+or left out. An item of less than two windows also matches where all of it but one changed, added
+or missing token is there; one of its halves finds the place. An alignment is a leak if it covers at
+least ``coverage`` of the item's tokens and its slots are consistent: one value of the item always
+stands for one value of the text. An item copied word for word is trivially consistent.
 
 Null and empty texts match nothing, and neither do null items. Repeated rows give repeated results.
 Rows with a null id are judged and keep their null id.
@@ -26,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packwright.llm.frames import batch, keyed, steps, task_map
-from packwright.llm.words import Words, _hashes, runs, text_bytes
+from packwright.llm.words import Words, _hashes, mixed, runs, text_bytes
 
 #: Items of one block of the benchmark.
 ITEMS = 20_000
 #: Tokens an item needs.
 SHORTEST = 4
+#: Tokens by which neighbouring distances of one alignment differ, at most.
+DRIFT = 8
 
 # Units of measure that may follow a number.
 UNITS = (
@@ -55,12 +63,19 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 @dataclass
 class Template:
-    """Template codes of all tokens, the values behind them, and which are slots."""
+    """Template codes of all tokens, the values behind them, and which are slots.
+
+    ``begins`` are capitals at the start of a sentence, ``joins`` names that go on a row of names;
+    ``words`` is the first word of each token, and the number of words at the end.
+    """
 
     first: np.ndarray
     codes: np.ndarray
     values: np.ndarray
     slots: np.ndarray
+    begins: np.ndarray
+    joins: np.ndarray
+    words: np.ndarray
 
 
 def _word_codes(words: list[str]) -> np.ndarray:
@@ -77,7 +92,7 @@ def canonical(column: pa.Array) -> Template:
     data, places = text_bytes(column)
     if not data.size:
         none = np.zeros(0, np.uint64)
-        return Template(np.zeros(len(places), np.int64), none, none, np.zeros(0, bool))
+        return Template(np.zeros(len(places), np.int64), none, none, *[np.zeros(0, bool)] * 3, np.zeros(1, np.int64))
     word = ~_SPACE[data]
     edge = np.zeros(data.size + 1, bool)
     edge[places] = True
@@ -116,37 +131,84 @@ def canonical(column: pa.Array) -> Template:
     unit[first[:-1][first[:-1] < first[1:]]] = False
     name = capital[low] & ~opens & ~number & ~unit
     codes = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, values)))
-    return Template(first, codes, values, number | unit | name)
+    begins = capital[low] & opens & ~number & ~unit
+    joins = np.zeros(name.size, bool)
+    joins[1:] = name[1:] & (name | begins)[:-1] & (high == ends)[:-1] & (low == starts)[1:]
+    return Template(first, codes, values, number | unit | name, begins, joins, np.arange(name.size + 1))
+
+
+def folded(plain: Template) -> Template:
+    """The second reading: capitals at the start of a sentence are names, names in a row are one token."""
+    at = np.flatnonzero(~plain.joins)
+    words = np.r_[at, plain.joins.size]
+    sizes, values = np.diff(words), plain.values[at].copy()
+    longer, done = np.flatnonzero(sizes > 1), 1
+    while longer.size:
+        values[longer] = mixed(values[longer]) + plain.values[at[longer] + done]
+        done += 1
+        longer = longer[sizes[longer] > done]
+    slots = plain.slots[at] | (sizes > 1)
+    codes = np.where(plain.begins[at] | (sizes > 1), _NAME, plain.codes[at])
+    return Template(np.searchsorted(at, plain.first), codes, values, slots, plain.begins[at], np.zeros(at.size, bool), words)
+
+
+def readings(column: pa.Array) -> list[Template]:
+    """Both readings of a column of texts."""
+    plain = canonical(column)
+    return [plain, folded(plain)]
+
+
+Windows = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 @dataclass
 class Block:
-    """Windows of some benchmark items, sorted by hash within each length."""
+    """Windows of some benchmark items, sorted by hash within each length, and halves of short items; of both readings."""
 
     items: np.ndarray
-    template: Template
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    templates: list[Template]
+    windows: list[Windows]
+    halves: list[Windows]
 
 
 def index(items: list[tuple], window: int) -> Block:
     """The windows of ``(item_id, text)`` pairs."""
-    template = canonical(pa.array([t for _, t in items], pa.string()))
+    templates = readings(pa.array([t for _, t in items], pa.string()))
+    return Block(np.array([i for i, _ in items], np.int64), templates, [_windows(t, window) for t in templates], [_halves(t, window) for t in templates])
+
+
+def _sorted(codes: np.ndarray, owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(codes, kind="stable")
+    return codes[order], owner[order], place[order]
+
+
+def _windows(template: Template, window: int) -> Windows:
     sizes, found = np.diff(template.first), {}
     for length in sorted({window} | {int(s) for s in sizes if SHORTEST <= s < window}):
         starts, codes, _ = runs(Words(template.first, template.codes), length)
-        owner = np.repeat(np.arange(len(items)), sizes)[starts]
+        owner = np.repeat(np.arange(sizes.size), sizes)[starts]
         use = sizes[owner] >= window if length == window else sizes[owner] == length
-        starts, codes, owner = starts[use], codes[use], owner[use]
-        order = np.argsort(codes, kind="stable")
-        if order.size:
-            found[length] = codes[order], owner[order], (starts - template.first[owner])[order]
-    return Block(np.array([i for i, _ in items], np.int64), template, found)
+        if use.any():
+            found[length] = _sorted(codes[use], owner[use], (starts - template.first[owner])[use])
+    return found
+
+
+def _halves(template: Template, window: int) -> Windows:
+    """First and last halves of items of one to two windows."""
+    sizes, found = np.diff(template.first), {}
+    for length in sorted({int(s) // 2 for s in sizes if window <= s < 2 * window and s >= 2 * SHORTEST}):
+        starts, codes, _ = runs(Words(template.first, template.codes), length)
+        owner = np.repeat(np.arange(sizes.size), sizes)[starts]
+        place = starts - template.first[owner]
+        use = (sizes[owner] // 2 == length) & (sizes[owner] >= window) & (sizes[owner] < 2 * window) & ((place == 0) | (place == sizes[owner] - length))
+        found[length] = _sorted(codes[use], owner[use], place[use])
+    return found
 
 
-def _matches(template: Template, block: Block) -> np.ndarray:
+def _matches(template: Template, windows: Windows) -> np.ndarray:
     """Matching windows as rows of text, item, place in the text, place in the item, length."""
     rows = []
-    for length, (codes, owner, place) in block.windows.items():
+    for length, (codes, owner, place) in windows.items():
         starts, own, _ = runs(Words(template.first, template.codes), length)
         low = np.searchsorted(codes, own, "left")
         hit = np.flatnonzero((low < codes.size) & (codes[np.minimum(low, codes.size - 1)] == own))
@@ -172,29 +234,101 @@ def _consistent(ours: np.ndarray, theirs: np.ndarray) -> float:
     return float(best.sum() / ours.size)
 
 
-def leaks_of(template: Template, block: Block, coverage: float, consistency: float):
-    """``(text, item, covered tokens, coverage, slots, consistency, verbatim)`` of each leak."""
-    found = _matches(template, block)
+#: Tokens of an item and of a text that stand for each other, in one reading.
+Claim = tuple[int, np.ndarray, np.ndarray]
+
+
+def _one_edit(ours: Template, theirs: Template, found: np.ndarray, reading: int):
+    """``(text, item, claims)`` where all of a short item but one changed, added or missing token is there."""
     if not found.size:
         return
-    found = found[np.lexsort((found[:, 3], found[:, 2] - found[:, 3], found[:, 1], found[:, 0]))]
-    key = np.stack([found[:, 0], found[:, 1], found[:, 2] - found[:, 3]], 1)
-    cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+    text, item, at, place = np.unique(found[:, :4], axis=0).T
+    size, begin, low, high = theirs.first[item + 1] - theirs.first[item], theirs.first[item], ours.first[text], ours.first[text + 1]
+    steps = np.arange(int(size.max()))
+
+    def equal(shift):
+        """Whether each token of the item equals that of the text ``shift`` places on."""
+        there = (low + shift)[:, None] + steps
+        inside = (steps < size[:, None]) & (there >= low[:, None]) & (there < high[:, None])
+        mine = theirs.codes[np.minimum(begin[:, None] + steps, theirs.codes.size - 1)]
+        return inside & (ours.codes[np.clip(there, 0, ours.codes.size - 1)] == mine)
+
+    for change in (0, 1, -1):
+        front = np.where(place == 0, at, at - place - change)
+        back = np.where(place == 0, at + change, at - place)
+        head = np.cumprod(equal(front), 1).sum(1)
+        tail = np.cumprod((equal(back) | (steps >= size[:, None]))[:, ::-1], 1).sum(1) - (steps.size - size)
+        for k in np.flatnonzero(head + tail >= size - (change < 1)):
+            p = int(head[k])
+            i = np.r_[np.arange(p), np.arange(max(p, size[k] - tail[k]), size[k])]
+            yield int(text[k]), int(item[k]), [(reading, begin[k] + i, low[k] + i + np.where(np.arange(i.size) < p, front[k], back[k]))]
+
+
+def _judge(texts: list[Template], block: Block, item: int, claims: list[Claim], coverage: float, consistency: float) -> tuple | None:
+    """Covered tokens, coverage, slots, consistency and verbatim of an alignment if it is a leak; earlier claims go first."""
+    start, stop = (int(x) for x in block.templates[0].first[item : item + 2])
+    covered, mine, yours, slots, opened = np.zeros(stop - start, bool), [], [], [], []
+    for reading, theirs, ours in claims:
+        text, bench = texts[reading], block.templates[reading]
+        low, high = bench.words[theirs] - start, bench.words[theirs + 1] - start
+        taken = np.r_[0, np.cumsum(covered)]
+        new = taken[high] - taken[low] < high - low
+        theirs, ours, low, high = theirs[new], ours[new], low[new], high[new]
+        for a, b in zip(low.tolist(), high.tolist(), strict=True):
+            covered[a:b] = True
+        mine.append(text.values[ours])
+        yours.append(bench.values[theirs])
+        slots.append(text.slots[ours])
+        opened.append(text.begins[ours] & bench.begins[theirs])
+    count, size = int(covered.sum()), stop - start
+    if count < coverage * size:
+        return None
+    mine, yours, slots, opened = (np.concatenate(x) for x in (mine, yours, slots, opened))
+    slots |= mine != yours
+    slots |= opened & np.isin(yours, yours[slots])  # the names that begin sentences
+    even, same = _consistent(mine[slots], yours[slots]), bool((mine == yours).all())
+    return (count, count / size, int(slots.sum()), even, same) if same or even >= consistency else None
+
+
+def _joined(shifts: list[tuple[int, Claim]]):
+    """Claims of neighbouring distances together, the largest first."""
+    shifts = sorted(shifts, key=lambda x: x[0])
+    at = 0
+    for k in range(1, len(shifts) + 1):
+        if k == len(shifts) or shifts[k][0] - shifts[k - 1][0] > DRIFT:
+            if k - at > 1:
+                yield [c for _, c in sorted(shifts[at:k], key=lambda x: (-x[1][1].size, x[1][0], x[0]))]
+            at = k
+
+
+def leaks_of(texts: list[Template], block: Block, coverage: float, consistency: float):
+    """``(text, item, covered tokens, coverage, slots, consistency, verbatim)`` of each leak."""
     best: dict[tuple[int, int], tuple] = {}
-    for a, b in zip(cuts, [*cuts[1:], len(found)], strict=True):
-        text, item, shift = (int(x) for x in key[a])
-        tokens = np.unique((found[a:b, 3, None] + np.arange(found[a, 4])).ravel())
-        size = int(block.template.first[item + 1] - block.template.first[item])
-        if tokens.size < coverage * size:
-            continue
-        theirs = block.template.first[item] + tokens
-        ours = template.first[text] + tokens + shift
-        slot = template.slots[ours]
-        even = _consistent(template.values[ours][slot], block.template.values[theirs][slot])
-        same = bool((template.values[ours] == block.template.values[theirs]).all())
-        if same or even >= consistency:
-            row = (tokens.size, tokens.size / size, int(slot.sum()), even, same)
+    shifts: dict[tuple[int, int], list[tuple[int, Claim]]] = {}
+
+    def judge(text, item, claims):
+        row = _judge(texts, block, item, claims, coverage, consistency)
+        if row is not None:
             best[text, item] = max(row, best.get((text, item), row))
+
+    for reading, (ours, theirs) in enumerate(zip(texts, block.templates, strict=True)):
+        found = _matches(ours, block.windows[reading])
+        found = found[np.lexsort((found[:, 3], found[:, 2] - found[:, 3], found[:, 1], found[:, 0]))]
+        key = np.stack([found[:, 0], found[:, 1], found[:, 2] - found[:, 3]], 1)
+        cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)]) if found.size else np.zeros(0, int)
+        for a, b in zip(cuts, np.r_[cuts[1:], len(found)] if cuts.size else cuts, strict=True):
+            text, item, shift = (int(x) for x in key[a])
+            tokens = np.unique((found[a:b, 3, None] + np.arange(found[a, 4])).ravel())
+            claim = reading, theirs.first[item] + tokens, ours.first[text] + tokens + shift
+            judge(text, item, [claim])
+            # Both readings are compared by words.
+            far = int(ours.words[claim[2][0]] - texts[0].first[text] - theirs.words[claim[1][0]] + block.templates[0].first[item])
+            shifts.setdefault((text, item), []).append((far, claim))
+        for text, item, claims in _one_edit(ours, theirs, _matches(ours, block.halves[reading]), reading):
+            judge(text, item, claims)
+    for (text, item), found in shifts.items():
+        for claims in _joined(found):
+            judge(text, item, claims)
     for (text, item), row in sorted(best.items()):
         yield text, item, *row
 
@@ -225,8 +359,7 @@ def leaks(
     def over(block):
         def run(batches):
             for part in steps(batches):
-                template = canonical(part.column("text"))
-                rows = list(leaks_of(template, block.value, coverage, consistency))
+                rows = list(leaks_of(readings(part.column("text")), block.value, coverage, consistency))
                 if not rows:
                     continue
                 schema = pa.schema([part.schema.field("id"), *fields])

@@ -45,3 +45,17 @@ def test_placeholders():
     t = decontamination.canonical(pa.array(["Run 5 km with Éva. The end, 3.5% of it", None]))
     assert t.slots.tolist() == [False, True, True, False, True, False, False, True, False, False]
     assert t.first.tolist() == [0, 10, 10]
+
+
+def test_names_that_begin_sentences_or_have_more_words_and_short_items(spark):
+    tom = "Tom has 5 red apples. Sara has 3 apples more. Tom gives Sara 2 apples today."
+    ben = tom.replace("Tom", "Ben").replace("Sara", "Mia")
+    york = ITEM.replace("Boston", "New York")
+    short = "a farmer sells nine brown hens to his old neighbour"
+    items = [(1, tom), (2, ITEM), (3, short)]
+    texts = [ben, york, short.replace("brown", "white"), short.replace("brown", "very brown"), short.replace(" brown", ""), short.replace("brown hens", "white cows"),
+             ben.replace("Ben gives", "Joe gives"), ITEM.replace("3 hours", "3 long hours").replace("Boston has", "Boston already has")]
+    got = found(spark, texts, items)
+    assert set(got) == {(0, 1), (1, 2), (2, 3), (3, 3), (4, 3), (7, 2)}
+    assert got[0, 1]["coverage"] == got[1, 2]["coverage"] == 1.0 and got[0, 1]["slot_consistency"] == 1.0 and not got[0, 1]["verbatim"]
+    assert got[2, 3]["matched_tokens"] == 9 and got[7, 2]["matched_tokens"] == 26
