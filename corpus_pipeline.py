@@ -39,9 +39,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_tokens, token_ids)`` of every document."""
+    """``(doc_id, n_tokens, token_ids, decoded_sha256)`` of every document; the digest is that of the decoded ids."""
     ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
 
 
 STAGES = [

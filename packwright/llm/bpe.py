@@ -69,18 +69,23 @@ def encode_text(encoder: tiktoken.Encoding, text: str) -> list[int]:
     return [i for piece in pieces(text) for i in encoder.encode_ordinary(piece)]
 
 
-def encode(df: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, n_tokens, token_ids)`` of every row; no rows give no rows."""
+def encode(df: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``(id_col, n_tokens, token_ids)`` of every row; no rows give no rows.
+
+    ``decoded`` adds ``decoded_sha256``, the SHA-256 of the bytes that the ids decode to, in lower-case hex.
+    """
     kind = dict(df.dtypes)[id_col]
 
     def run(batches):
         encoder, schema = encoding(ranks.value, pattern), None
         for part in steps(batches):
             ids = [encode_text(encoder, t) for t in strings(part.column("text"))]
-            schema = schema or pa.schema([part.schema.field("id"), ("n_tokens", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
-            yield batch(schema, id=part.column("id"), n_tokens=[len(x) for x in ids], token_ids=ids)
+            digests = {"decoded_sha256": [hashlib.sha256(encoder.decode_bytes(x)).hexdigest() for x in ids]} if decoded else {}
+            schema = schema or pa.schema([part.schema.field("id"), ("n_tokens", pa.int64()), ("token_ids", pa.list_(pa.int32())), *((n, pa.string()) for n in digests)])
+            yield batch(schema, id=part.column("id"), n_tokens=[len(x) for x in ids], token_ids=ids, **digests)
 
-    found = task_map(keyed(df, id_col, text_col), run, f"id {kind}, n_tokens bigint, token_ids array<int>")
+    columns = f"id {kind}, n_tokens bigint, token_ids array<int>" + (", decoded_sha256 string" if decoded else "")
+    found = task_map(keyed(df, id_col, text_col), run, columns)
     return found.withColumnRenamed("id", id_col)
 
 

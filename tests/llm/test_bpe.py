@@ -1,11 +1,16 @@
 import hashlib
 import random
+import sys
 from array import array
+from pathlib import Path
 
 import public_tokenizers
 import pytest
 
-from packwright.llm import bpe
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+import corpus_pipeline  # noqa: E402
+from packwright.llm import bpe  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXTS = [None, "", " ", "Hello  world\n\n it's  me", "é" * 50, "  \n\t x" * 40, "a" * 3000, "日本語 テキスト 🎉🎉", "they'll've 123 45,6", " " * 500 + "end "]
@@ -47,3 +52,10 @@ def test_empty_table(spark):
     ranks = bpe.load_ranks(spark, PATH)
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert bpe.round_trip(df, ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_last_stage_decodes_its_ids(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in corpus_pipeline.token_ids(spark, df, "").collect()}
+    assert {i: r["decoded_sha256"] for i, r in found.items()} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(TEXTS)}
+    assert all(r["n_tokens"] == len(r["token_ids"]) for r in found.values())
