@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packwright.llm import bpe, decontamination, html_text, licenses, neighbours, ngram_join, quotations, suffix_dedup, token_counts, toxicity
+from packwright.llm import bpe, decontamination, html_text, licenses, manifest, neighbours, ngram_join, quotations, suffix_dedup, token_counts, toxicity
 from packwright.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and license notices of every document."""
     return licenses.scan(read(spark, sf_dir, "documents"))
 
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
+    polynomial = 0xEDB88320
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, {polynomial} * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST({0xFFFFFFFF} AS BIGINT), {codes}), lambda c, b: {byte}), CAST({0xFFFFFFFF} AS BIGINT))"
+
+
+@query(manifest.sql(crc32_sql("CAST(doc_id AS VARCHAR)")))
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; every other one is tampered with and checked."""
+    tamper = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return manifest.manifest(read(spark, sf_dir, "documents"), tamper=tamper)
