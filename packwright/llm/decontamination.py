@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packwright.llm.frames import batch, keyed, steps, task_map
-from packwright.llm.words import Words, _hashes, mixed, runs, text_bytes
+from packwright.llm.words import Words, hashes, mixed, runs, text_bytes
 
 #: Items of one block of the benchmark.
 ITEMS = 20_000
@@ -81,7 +81,7 @@ class Template:
 def _word_codes(words: list[str]) -> np.ndarray:
     data = np.frombuffer("".join(words).encode(), np.uint8)
     lengths = np.array([len(w.encode()) for w in words])
-    return _hashes(data, np.cumsum(lengths) - lengths, lengths)
+    return hashes(data, np.cumsum(lengths) - lengths, lengths)
 
 
 _UNIT_CODES = np.sort(_word_codes(UNITS))
@@ -122,7 +122,7 @@ def canonical(column: pa.Array) -> Template:
     capital = ((data >= 65) & (data <= 90)) | np.r_[second[1:], False]
     lowered = _LOWER[data]
     lowered[second] += 0x20
-    values = _hashes(lowered, low, high - low)
+    values = hashes(lowered, low, high - low)
     digits = np.r_[0, np.cumsum(_DIGIT[data])]
     number = digits[high] > digits[low]
     unit = np.zeros(number.size, bool)

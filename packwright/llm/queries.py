@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packwright.llm import bpe, decontamination, html_text, licenses, manifest, neighbours, ngram_join, quotations, suffix_dedup, token_counts, toxicity
+from packwright.llm import bpe, conversation_repair, decontamination, html_text, licenses, manifest, neighbours, ngram_join, quality, quotations, suffix_dedup, token_counts, toxicity
 from packwright.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+@query()
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a network trained on the labels that are not held out."""
+    documents = read(spark, sf_dir, "documents")
+    model = quality.train(documents, read(spark, sf_dir, "labels"), "quality", trained_on=~held_out())
+    scored = quality.score(documents, model)
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def crc32_sql(text: str) -> str:
     """DuckDB SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
     polynomial = 0xEDB88320
@@ -124,3 +133,9 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document; every other one is tampered with and checked."""
     tamper = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     return manifest.manifest(read(spark, sf_dir, "documents"), tamper=tamper)
+
+
+@query(conversation_repair.sql(crc32_sql("key")))
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after damage."""
+    return conversation_repair.repair(conversation_repair.damaged(read(spark, sf_dir, "conversations")))

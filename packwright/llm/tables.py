@@ -15,9 +15,21 @@ CHUNK, FAN = 1 << 13, 256
 
 
 def cell_counts(df: DataFrame, cells: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], size: int) -> np.ndarray:
-    """How often each of ``size`` cells occurs among what ``cells`` yields from the rows.
+    """How often each of ``size`` cells occurs among what ``cells`` yields from the rows."""
 
-    Every task counts on its own and sends its table in chunks; those of more than ``FAN`` tasks
+    def count(batches):
+        total = np.zeros(size, np.int64)
+        for found in cells(batches):
+            total += np.bincount(found, minlength=size)
+        return total
+
+    return cell_sums(df, count, size)
+
+
+def cell_sums(df: DataFrame, table: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
+    """Sum of the tables of ``size`` whole numbers that ``table`` makes from the rows of each task.
+
+    Every task works on its own and sends its table in chunks; those of more than ``FAN`` tasks
     are summed in two steps, so that no group gathers too many. ``size`` numbers reach the
     driver.
     """
@@ -25,9 +37,7 @@ def cell_counts(df: DataFrame, cells: Callable[[Iterator[pa.RecordBatch]], Itera
     def count(batches):
         from pyspark import TaskContext
 
-        total = np.zeros(size, np.int64)
-        for found in cells(batches):
-            total += np.bincount(found, minlength=size)
+        total = table(batches)
         group = TaskContext.get().partitionId() // FAN
         rows = [(i, total[i : i + CHUNK]) for i in range(0, size, CHUNK)]
         yield pa.RecordBatch.from_arrays(

@@ -49,7 +49,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, places - places[0]
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Hash of each word, eight bytes a step."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray((data.size + 1,), "<u8", padded, strides=(1,))
@@ -79,7 +79,7 @@ def cut(column: pa.Array, lower: bool = False) -> Words:
     starts[1:] &= ~word[:-1] | edge[1:-1]
     ends[:-1] &= ~word[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    return Words(np.searchsorted(starts, places), _hashes(data, starts, ends - starts))
+    return Words(np.searchsorted(starts, places), hashes(data, starts, ends - starts))
 
 
 def runs(words: Words, length: int, marks: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
