@@ -205,6 +205,17 @@ def delimited_roundtrip(spark, sf_dir):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_pieces(spark, sf_dir):
+    # A session of its own with small blocks, so that one file is read by many tasks at any scale.
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(256 << 10))
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    folder, documents = scratch_folder(spark), table(session, sf_dir, "documents")
+    writers.write_delimited(documents.coalesce(1), folder)
+    return readers.read_delimited(session, folder, schema=documents.schema)
+
+
 @query("""SELECT c_custkey AS col_0, c_acctbal AS col_1, c_mktsegment AS col_2, CASE WHEN c_custkey % 4 <> 0 THEN c_nationkey::DOUBLE END AS col_3 FROM customer""")
 def ws_table(spark, sf_dir):
     folder = scratch_folder(spark)

@@ -16,6 +16,7 @@ from packwright.functions.text import WHITESPACE, extension, strip
 from packwright.operators.joins import join_unique
 from packwright.operators.package import TASK_SCHEMA
 from packwright.sources.checkpoints import checkpointed
+from packwright.sources.pieces import read_pieces
 from packwright.sources.shipping import ship
 
 # Texts that are a number; a plain cast would also take suffixes such as 3D.
@@ -59,11 +60,13 @@ def read_delimited(
 ) -> DataFrame:
     """CSV or TSV with a header. Without a schema the types are inferred by a second read.
 
-    Line breaks inside quotes are taken, for which one task reads a whole file. Files that are
-    known to hold a record per line are read in parallel pieces with ``multi_line=False``.
+    Line breaks inside quotes are taken, and many tasks may read one file (see
+    :mod:`packwright.sources.pieces`). Files that are known to hold a record per line need one
+    pass less with ``multi_line=False``.
     """
+    if multi_line:
+        return read_pieces(spark, path, sep, schema)
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
