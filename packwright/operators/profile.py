@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packwright.functions.text import extension
-from packwright.operators.quantiles import exact_quantiles
+from packwright.operators.quantiles import GRID, exact_quantiles, moments_and_sketches
 
 # Extensions that count as data, in order of preference on a tie.
 DATA_EXTENSIONS = (
@@ -30,7 +30,6 @@ PRIMARY_EXTENSIONS = (*DATA_EXTENSIONS, ".jpg", ".jpeg", ".png", ".bmp")
 UNKNOWN_FORMAT = "unknown"
 
 QUARTILES = (0.25, 0.5, 0.75)
-SKETCH_ACCURACY = 10_000
 
 
 # --- tables ----------------------------------------------------------------------------
@@ -64,48 +63,25 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def present_value(column: str) -> Column:
-    """The column as a double, NaN counting as missing."""
-    value = F.col(f"`{column}`").cast("double")
-    return F.when(~F.isnan(value), value)
-
-
 def numeric_summary(
     df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
 
     The moments of all columns take one pass. Exact quartiles come from
-    :func:`exact_quantiles`; ``exact=False`` takes them from a sketch in the same pass as the
-    moments.
+    :func:`exact_quantiles`, whose sketches are made in that pass; ``exact=False`` takes the
+    quartiles from a sketch alone.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    sketch = [F.percentile_approx(present_value(n), list(QUARTILES), SKETCH_ACCURACY) for n in names]
-    none = F.array().cast("array<double>")
-
-    def moments(name: str, quartiles: Column) -> Column:
-        value = present_value(name)
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            quartiles.alias("quantiles"),
-        )
-
-    per_column = zip(names, [none] * len(names) if exact else sketch)
-    one_row = df.agg(*[moments(n, q).alias(f"s{i}") for i, (n, q) in enumerate(per_column)])
-    rows = one_row.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(names))])))
+    found = moments_and_sketches(df, names) if names else []
     if exact:
-        known = exact_quantiles(df, names, QUARTILES)
-        quantiles = df.sparkSession.createDataFrame(
-            [(n, known[n]) for n in names], "column string, quantiles array<double>"
-        )
-        rows = rows.drop("quantiles").join(quantiles, "column", "left")
-    at = [F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
-    return rows.select("column", "count", "mean", "std", "min", *at, "max")
+        known = exact_quantiles(df, names, QUARTILES, sketched=found)
+        quartiles = [known[n] for n in names]
+    else:
+        quartiles = [[k["grid"] and k["grid"][int(q * GRID)] for q in QUARTILES] for k in found]
+    rows = [(n, *[k[c] for c in ("count", "mean", "std", "min")], *q, k["max"]) for n, k, q in zip(names, found, quartiles)]
+    numbers = ", ".join(f"{c} double" for c in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count bigint, {numbers}")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

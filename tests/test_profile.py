@@ -21,7 +21,8 @@ def test_numeric_summary_matches_describe(spark):
 
 
 def test_exact_quantiles_after_many_rounds(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "ACCURACY", 20)
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", 20)
+    monkeypatch.setattr(quantiles, "GRID", 16)
     rng = random.Random(3)
     rows = [
         (rng.gauss(0, 1), 5.0 if i % 3 else float(i), float(i % 4), 1e300 * (-1) ** i if i % 7 else None)
