@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packwright.functions.text import extension
+from packwright.sources.checkpoints import checkpointed
 from packwright.operators.quantiles import GRID, exact_quantiles, moments_and_sketches
 
 # Extensions that count as data, in order of preference on a tie.
@@ -131,6 +132,47 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) ->
     )
 
 
+#: Cells that values are hashed into, and fullest cells whose values are counted first.
+CELLS, FULLEST = 1 << 16, 16
+
+
+def most_frequent(df: DataFrame, columns: Sequence[str], cells: int = CELLS) -> DataFrame:
+    """``(column, count, top, freq)``: the most frequent value of each column, however many there are.
+
+    A first scan counts values per hashed cell, which is all it shuffles. A value is no more
+    frequent than its cell, so the second scan counts the values of the fullest cells alone, and
+    the best of them rules out every cell that holds fewer rows. What is left, none where one
+    value stands out, is counted by a third scan. The smallest of equally frequent values is
+    reported; nulls do not count.
+    """
+    names = list(columns)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, count bigint, top string, freq bigint")
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(names)])
+    laid = df.select(F.inline(pairs)).where("value is not null")
+    laid = laid.withColumn("cell", F.pmod(F.xxhash64("value"), F.lit(cells)))
+    sizes = checkpointed(laid.groupBy("i", "cell").agg(F.count(F.lit(1)).alias("size")))
+
+    def best_of(chosen: DataFrame) -> DataFrame:
+        # At most a row per cell and column: a bounded table.
+        counted = laid.join(F.broadcast(chosen), ["i", "cell"], "left_semi").groupBy("i", "value").agg(F.count(F.lit(1)).alias("freq"))
+        return counted.groupBy("i").agg(F.min_by(F.struct("value", "freq"), F.struct(-F.col("freq"), F.col("value"))).alias("best"))
+
+    order = F.sort_array(F.collect_list(F.struct("size", "cell")), asc=False)
+    fullest = checkpointed(sizes.groupBy("i").agg(F.slice(order, 1, FULLEST).alias("cells")).select("i", F.inline("cells")))
+    found = checkpointed(best_of(fullest.select("i", "cell")))
+    possible = sizes.join(F.broadcast(found), "i").where(F.col("size") >= F.col("best.freq"))
+    left = checkpointed(possible.join(fullest, ["i", "cell"], "left_anti").select("i", "cell"))
+    if not left.isEmpty():
+        found = found.unionByName(best_of(left))
+    order_of = F.struct(-F.col("best.freq"), F.col("best.value"))
+    best = found.groupBy("i").agg(F.min_by("best", order_of).alias("best"))
+    totals = sizes.groupBy("i").agg(F.sum("size").alias("count"))
+    listed = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, column string")
+    joined = listed.join(F.broadcast(totals.join(best, "i")), "i", "left")
+    return joined.select("column", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"), F.col("best.value").alias("top"), F.col("best.freq").alias("freq"))
+
+
 def status_counts(df: DataFrame, by: Sequence[str] = ("status",)) -> DataFrame:
     """Number of rows per outcome."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))

@@ -89,6 +89,20 @@ def categorical_summary_events(spark, sf_dir):
     return summary.withColumnsRenamed({"column": "column_name", "count": "n", "unique": "n_unique"})
 
 
+HIGH_CARDINALITY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+
+
+def _most_frequent_sql(column: str, source: str = "lineitem") -> str:
+    return f"""(SELECT '{column}' AS column_name, sum(n)::BIGINT AS n, min(value) FILTER (rank = 1) AS top, max(n) AS freq FROM (
+  SELECT value, n, rank() OVER (ORDER BY n DESC) AS rank FROM (
+    SELECT {column}::VARCHAR AS value, count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY 1)))"""
+
+
+@query(" UNION ALL ".join(_most_frequent_sql(c) for c in HIGH_CARDINALITY))
+def categorical_high_cardinality(spark, sf_dir):
+    return profile.most_frequent(table(spark, sf_dir, "lineitem"), HIGH_CARDINALITY).withColumnsRenamed({"column": "column_name", "count": "n"})
+
+
 # --- order and ids ---------------------------------------------------------------------
 
 

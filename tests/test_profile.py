@@ -58,6 +58,24 @@ def test_categorical_summary(spark):
     assert found == {"x": (5, 3, "a", 2), "y": (3, 2, "true", 2), "z": (0, 0, None, None)}
 
 
+@pytest.mark.parametrize("cells", [1, 40, 1 << 16])
+def test_most_frequent_values(spark, cells):
+    rng = random.Random(5)
+    rows = [(rng.randrange(3000), "hot" if i % 3 == 0 else f"v{i}", None, i % 7, f"u{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows + [(None,) * 5], "many int, hot string, `no.ne` string, tied int, unique string").repartition(3)
+    found = {r["column"]: tuple(r)[1:] for r in profile.most_frequent(df, df.columns, cells).collect()}
+    assert list(found) and set(found) == set(df.columns)
+    for i, name in enumerate(df.columns):
+        counts = {}
+        for row in rows:
+            if row[i] is not None:
+                counts[str(row[i])] = counts.get(str(row[i]), 0) + 1
+        top = min(counts, key=lambda v: (-counts[v], v)) if counts else None
+        assert found[name] == (sum(counts.values()), top, counts.get(top))
+    assert profile.most_frequent(df, []).count() == 0
+    assert profile.most_frequent(df.limit(0), ["hot"]).collect()[0][1:] == (0, None, None)
+
+
 def test_shape_and_column_info(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, `b c` string")
     assert tuple(profile.shape(df).first()) == (2, 2, ["a", "b c"])
