@@ -9,6 +9,7 @@ counts, which are combined before any shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,35 +127,41 @@ def label_quotas(counts: DataFrame, label: str) -> DataFrame:
     return served.select(label, "rows", (F.col("base") + extra).alias("quota"))
 
 
-def _label_cuts(
-    parts: DataFrame, hashed: DataFrame, quotas: DataFrame, label: str
-) -> DataFrame:
-    """Largest test hash per label (labels without a quota are absent).
+def _prefix_counts(hashed: DataFrame, groups: Sequence[str], start: int = 0) -> DataFrame:
+    """Rows per group and block of hash digits from ``start`` on."""
+    digits = F.substring("h", start + 1, PREFIX).alias("digits")
+    return hashed.groupBy(*groups, digits).agg(F.count(F.lit(1)).alias("in_part"))
+
+
+def _group_cuts(hashed: DataFrame, parts: DataFrame, quotas: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``(groups, __cut)``: largest test hash per group; groups without a quota are absent.
 
-    ``parts`` counts rows per label and hash prefix. Only the rows of the one prefix that
-    holds the cut are ordered, so even a label with most of the rows has a short list.
+    All groups descend in step through blocks of hash digits: each round counts rows per group
+    and block, at most 65,536 counts a group, and goes on with the rows of the one block that
+    holds the group's cut, until the block ends with the quota. ``parts`` are the counts of the
+    first round. No task orders the rows of a group, however many it has.
     """
-    upto = (
-        Window.partitionBy(label)
-        .orderBy("digits")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    before = F.col("upto") - F.col("in_part")
-    cut_part = (
-        parts.withColumn("upto", F.sum("in_part").over(upto))
-        .join(quotas, label)
-        .filter((F.col("quota") > before) & (F.col("quota") <= F.col("upto")))
-        .select(label, "digits", (F.col("quota") - before).alias("needed"))
-    )
-    in_cut_part = hashed.withColumn("digits", F.substring("h", 1, PREFIX)).join(
-        cut_part, [label, "digits"]
-    )
-    place = F.row_number().over(Window.partitionBy(label).orderBy("h"))
-    return (
-        in_cut_part.withColumn("place", place)
-        .filter(F.col("place") == F.col("needed"))
-        .select(label, F.col("h").alias("__cut"))
-    )
+    groups = list(groups)
+    wanted = quotas.select(*groups, "quota", F.lit("").alias("prefix"))
+    order = Window.partitionBy(*groups).orderBy("digits")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found, start = [], 0
+    while True:
+        before = F.col("upto") - F.col("in_part")
+        holds = (F.col("quota") > before) & (F.col("quota") <= F.col("upto"))
+        cut_part = parts.withColumn("upto", F.sum("in_part").over(upto)).join(wanted, groups).filter(holds)
+        prefix = F.concat("prefix", "digits").alias("prefix")
+        cut_part = checkpointed(cut_part.select(*groups, "digits", prefix, "in_part", (F.col("quota") - before).alias("quota")))
+        start += PREFIX
+        settled = (F.col("in_part") == F.col("quota")) | F.lit(start >= HASH_DIGITS)
+        found.append(cut_part.filter(settled).select(*groups, F.rpad("prefix", HASH_DIGITS, "f").alias("__cut")))
+        unsettled = cut_part.filter(~settled)
+        if unsettled.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        digits = F.substring("h", start - PREFIX + 1, PREFIX)
+        inside = hashed.withColumn("digits", digits).join(unsettled.select(*groups, "digits"), [*groups, "digits"], "left_semi")
+        hashed, wanted = checkpointed(inside.drop("digits")), unsettled.select(*groups, "quota", "prefix")
+        parts = _prefix_counts(hashed, groups, start)
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> DataFrame:
@@ -167,11 +174,7 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
     at the cuts, for the most frequent labels, and for the result.
     """
     hashed = df.select(label, split_hash(key, seed).alias("h"))
-    parts = checkpointed(
-        hashed.groupBy(label, F.substring("h", 1, PREFIX).alias("digits")).agg(
-            F.count(F.lit(1)).alias("in_part")
-        )
-    )
+    parts = checkpointed(_prefix_counts(hashed, [label]))
     counts = parts.groupBy(label).agg(F.sum("in_part").alias("rows"))
     labels, rows, smallest, nulls = counts.agg(
         F.count(F.lit(1)), F.sum("rows"), F.min("rows"), F.count_if(F.col(label).isNull())
@@ -184,7 +187,7 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED) -> D
         raise ValueError("cannot stratify: a label has only one member")
     if labels > test_size(rows):
         raise ValueError("cannot stratify: more labels than test rows")
-    cuts = checkpointed(_label_cuts(parts, hashed, label_quotas(counts, label), label))
+    cuts = checkpointed(_group_cuts(hashed, parts, label_quotas(counts, label), [label]))
     marked = join_unique(df, cuts, [label], "left")
     is_test = F.coalesce(split_hash(key, seed) <= F.col("__cut"), F.lit(False))
     return marked.withColumn("split", _side(is_test)).select(*df.columns, "split")
@@ -302,7 +305,9 @@ def _stratified_images(files: DataFrame, seed: int = SEED) -> DataFrame:
     """
     label = F.substring_index(F.substring_index("path", "/", -2), "/", 1)
     images = files.withColumns({"label": label, "h": split_hash("path", seed)})
-    cells = images.groupBy("dataset", "label").agg(F.count(F.lit(1)).alias("rows"))
+    hashed, groups = images.select("dataset", "label", "h"), ["dataset", "label"]
+    parts = checkpointed(_prefix_counts(hashed, groups))
+    cells = parts.groupBy(*groups).agg(F.sum("in_part").alias("rows"))
     every = Window.partitionBy("dataset")
     cells = cells.withColumn("total", F.sum("rows").over(every))
     cells = cells.withColumn("wanted", F.expr("(total + 4) div 5")).withColumns(
@@ -316,13 +321,11 @@ def _stratified_images(files: DataFrame, seed: int = SEED) -> DataFrame:
     place = F.row_number().over(every.orderBy(F.desc("remainder"), "label"))
     left_over = F.col("wanted") - F.sum("base").over(every)
     quotas = cells.withColumn("quota", F.col("base") + (place <= left_over).cast("int"))
-    ranked = group_rank(images, ["dataset", "label"], ["h", "path"], "place")
-    chosen = join_unique(
-        ranked,
-        quotas.select("dataset", "label", "quota", "possible"),
-        ["dataset", "label"],
-    )
-    side = F.when(F.col("possible"), _side(F.col("place") < F.col("quota")))
+    quotas = checkpointed(quotas.select(*groups, "quota", "possible"))
+    cuts = _group_cuts(hashed, parts, quotas.filter("possible"), groups)
+    chosen = join_unique(images, quotas.join(cuts, groups, "left"), groups)
+    is_test = F.coalesce(F.col("h") <= F.col("__cut"), F.lit(False))
+    side = F.when(F.col("possible"), _side(is_test))
     return chosen.withColumn("part", F.coalesce(side, F.lit(NOT_STRATIFIED)))
 
 

@@ -54,6 +54,21 @@ def split_stratified_repeated_keys(spark, sf_dir):
     )
 
 
+@query("""WITH r AS (SELECT l_orderkey * 8 + l_linenumber AS line, CASE WHEN l_orderkey % 10 < 9 THEN 'hot' ELSE l_shipmode END AS label FROM (SELECT *, 'mode' || (l_orderkey % 50) AS l_shipmode FROM lineitem)),
+h AS (SELECT *, md5('42:' || line) AS h FROM r),
+c AS (SELECT label, count(*) AS n FROM h GROUP BY 1), t AS (SELECT sum(n)::BIGINT AS total, (sum(n)::BIGINT + 4) // 5 AS wanted FROM c),
+q AS (SELECT label, n * wanted // total AS base, n * wanted % total AS remainder, wanted FROM c, t),
+z AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY remainder DESC, label) <= wanted - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM q),
+k AS (SELECT label, h, row_number() OVER (PARTITION BY label ORDER BY h) AS place FROM h),
+x AS (SELECT label, h AS last FROM k JOIN z USING (label) WHERE place = quota)
+SELECT h.line, h.label, CASE WHEN h.h <= x.last THEN 'test' ELSE 'train' END AS split FROM h LEFT JOIN x USING (label)""")
+def split_stratified_hot_label(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    label = F.when(F.col("l_orderkey") % 10 < 9, "hot").otherwise(F.concat(F.lit("mode"), F.col("l_orderkey") % 50))
+    lines = lines.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), label.alias("label"))
+    return split.stratified_split(lines, "line", "label")
+
+
 _SIDES_BY_NATION = """SELECT c_nationkey, CASE WHEN row_number() OVER (ORDER BY md5('42:' || c_nationkey)) <= (count(*) OVER () + 4) // 5 THEN 'test' ELSE 'train' END AS side
   FROM (SELECT DISTINCT c_nationkey FROM customer) n"""
 

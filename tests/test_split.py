@@ -216,3 +216,17 @@ def test_image_files_are_stratified_by_directory(spark):
     assert all((r.part == split.NOT_STRATIFIED) == (r.dataset == "b") for r in found)
     tests = [r.path.split("/")[1] for r in found if r.part == "test"]
     assert {x: tests.count(x) for x in set(labels)} == quota_model({x: labels.count(x) for x in set(labels)})
+
+
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_labels_descend_in_step(spark, monkeypatch, digits):
+    monkeypatch.setattr(split, "PREFIX", digits)
+    rows = [(i, "hot" if i % 10 else f"few{i % 3}") for i in range(3000)] + [(7, "same")] * 400
+    df = spark.createDataFrame(rows, "k int, label string").repartition(3)
+    found = {(r["k"], r["label"]): r["split"] for r in split.stratified_split(df, "k", "label").collect()}
+    quotas = {r["label"]: r["quota"] for r in split.label_quotas(df.groupBy("label").count().withColumnRenamed("count", "rows"), "label").collect()}
+    for label in {r[1] for r in rows}:
+        hashes = sorted(hashlib.md5(f"42:{k}".encode()).hexdigest() for k, l in rows if l == label)
+        cut = hashes[quotas[label] - 1]
+        for k in {k for k, l in rows if l == label}:
+            assert (found[k, label] == "test") == (hashlib.md5(f"42:{k}".encode()).hexdigest() <= cut)
