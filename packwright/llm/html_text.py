@@ -25,6 +25,7 @@ import functools
 import html
 import math
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +66,8 @@ AGAINST = re.compile(
 )
 FOR = re.compile(r"(?:^|[^a-z])(?:article|content|post|entry|story|main|body|text)(?![a-z])")
 
-_TAG = re.compile(r"""<(?:!--(?P<note>)|(?P<odd>[!?])|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>|(?P<bad>/?[a-zA-Z][^>]*>))""")
+_NAME = re.compile(r"(/)?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|style|hidden|data-main|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 
 FEATURES = (
@@ -88,12 +90,70 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
 
 
+class Tags:
+    """Tags of a page, found in time in proportion to its length, whatever is broken in it."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.last = source, source.rfind(">")
+        self.final = {quote: source.rfind(quote) for quote in "\"'"}
+        self.dead: set[int] = set()
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """``(start, end, kind, name, rest)`` of the next tag; the kind is ``!``, ``/``, ``bad`` or empty."""
+        while True:
+            start = self.source.find("<", at)
+            if start < 0:
+                return None
+            if self.source[start + 1 : start + 2] in ("!", "?"):
+                return start, start + 2, "!", "", ""
+            found = _NAME.match(self.source, start + 1) if start < self.last else None
+            if found is None:
+                at = start + 1
+                continue
+            end = self._close(found.end())
+            if end is None:
+                # Quotes that never close: the tag ends at the first bracket.
+                return start, self.source.find(">", start) + 1, "bad", "", ""
+            return start, end, found[1] or "", found[2].lower(), self.source[found.end() : end - 1]
+
+    def _close(self, at: int) -> int | None:
+        """End of the tag that goes on at ``at``, outside quotes.
+
+        Places from which no end is in reach are remembered, so that no stretch is searched twice.
+        """
+        passed = []
+        while at not in self.dead:
+            passed.append(at)
+            found = _STOP.search(self.source, at)
+            if found is None:
+                break
+            if found[0] == ">":
+                return found.end()
+            if found.start() == self.final[found[0]]:
+                break
+            at = self.source.find(found[0], found.end()) + 1
+        self.dead.update(passed)
+        return None
+
+
 def parse(source: str) -> Page:
     """The tree of a page and its blocks."""
-    page, open_, run = Page(), [("#page", 0)], []
+    page, open_, run, tags = Page(), [("#page", 0)], [], Tags(source)
     at, size, links = 0, len(source), 0
     mute = 0  # where the outermost element without text is among the open ones; 0 if none is open
-    holding = dict.fromkeys(HOLDS, 0)
+    where: dict[str, list[int]] = {}  # places of each name among the open elements
+    blocks = [0]  # places of the block elements among them
+    endless: set[str] = set()  # names without an end tag in the rest of the page
+
+    def last(name: str) -> int:
+        places = where.get(name)
+        return places[-1] if places else 0
+
+    def push(name: str, node: int) -> None:
+        where.setdefault(name, []).append(len(open_))
+        if name in BLOCK:
+            blocks.append(len(open_))
+        open_.append((name, node))
 
     def flush() -> None:
         if run:
@@ -110,15 +170,13 @@ def parse(source: str) -> Page:
             flush()
         for name, _ in open_[depth:]:
             links -= name == "a"
-            if name in HOLDS:
-                holding[name] -= 1
+            where[name].pop()
         del open_[depth:]
+        while blocks[-1] >= depth:
+            blocks.pop()
         if mute >= depth:
             mute = 0
 
-    def close(name: str) -> None:
-        close_to(max(depth for depth, (n, _) in enumerate(open_) if n == name))
-
     def text(upto: int) -> None:
         if upto > at and not mute:
             run.append(source[at:upto])
@@ -126,42 +184,39 @@ def parse(source: str) -> Page:
                 page.linked[open_[-1][1]] += upto - at
 
     while at < size:
-        found = _TAG.search(source, at)
+        found = tags.after(at)
         if found is None:
             text(size)
             break
-        text(found.start())
-        at = found.end()
-        if found["note"] is not None:
-            stop = source.find("-->", at)
-            at = size if stop < 0 else stop + 3
-            continue
-        if found["odd"]:
-            stop = source.find(">", at)
-            at = size if stop < 0 else stop + 1
+        start, end, kind, name, rest = found
+        text(start)
+        at = end
+        if kind == "!":
+            note = source.startswith("--", at)
+            stop = source.find("-->" if note else ">", at + 2 * note)
+            at = size if stop < 0 else stop + (3 if note else 1)
             continue
-        if found["bad"]:
+        if kind == "bad":
             continue
-        name = found["name"].lower()
-        if found["end"]:
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth][0] == name:
-                    close_to(depth)
-                    break
-                if name not in BLOCK and (name not in HOLDS or not holding[name]) and open_[depth][0] in BLOCK:
-                    break  # an inline end does not close blocks
+        if kind == "/":
+            # An inline end does not close blocks.
+            if last(name) and (name in BLOCK or name in HOLDS or blocks[-1] < last(name)):
+                close_to(last(name))
             continue
-        foreign = holding["svg"] or holding["math"]
-        if found["rest"].endswith("/") and (foreign or name in ("svg", "math")):
+        foreign = last("svg") or last("math")
+        if rest.endswith("/") and (foreign or name in ("svg", "math")):
             continue
-        if holding["select"] and name not in IN_SELECT and (name in BLOCK or name in ("select", "textarea", "input")):
-            close("select")
-        if foreign and name in BLOCK and not any(n == "foreignobject" for n, _ in open_):
-            close("svg" if holding["svg"] else "math")
+        if last("select") and name not in IN_SELECT and (name in BLOCK or name in ("select", "textarea", "input")):
+            close_to(last("select"))
+        foreign = last("svg") or last("math")  # closing a control may have ended it
+        if foreign and name in BLOCK and not last("foreignobject"):
+            close_to(foreign)
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
+            stop = None if name in endless else re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
+            if stop is None:
+                endless.add(name)
             if stop is None and foreign:
-                open_.append((name, open_[-1][1]))  # an ordinary element there
+                push(name, open_[-1][1])  # an ordinary element there
                 continue
             stop = size if stop is None else source.find(">", stop.end())
             at = size if stop < 0 or stop == size else stop + 1
@@ -176,34 +231,25 @@ def parse(source: str) -> Page:
             continue
         if name not in BLOCK or mute:
             links += name == "a"
-            if name in HOLDS:
-                holding[name] += 1
-                mute = mute or (len(open_) if name in MUTE else 0)
-            open_.append((name, open_[-1][1]))
+            if name in MUTE:
+                mute = mute or len(open_)
+            push(name, open_[-1][1])
             continue
         flush()
-        if name != "p" or any(n == "p" for n, _ in open_):
-            for depth in range(len(open_) - 1, 0, -1):  # a block ends an open paragraph
-                if open_[depth][0] == "p":
-                    close_to(depth)
-                    break
-                if open_[depth][0] in BLOCK:
-                    break
+        if last("p") and last("p") == blocks[-1]:
+            close_to(last("p"))  # a block ends an open paragraph
         if name in ENDS:
-            (ended, bounds), outermost = ENDS[name], None
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth][0] in bounds:
-                    break
-                if open_[depth][0] in ended:
-                    outermost = depth
-            if outermost is not None:
-                close_to(outermost)
+            ended, bounds = ENDS[name]
+            bound = max(last(b) for b in bounds)
+            inside = [where[e][i] for e in ended if e in where and (i := bisect_right(where[e], bound)) < len(where[e])]
+            if inside:
+                close_to(min(inside))
         page.tags.append(name)
         page.parents.append(open_[-1][1])
-        page.marks.append(found["rest"])
+        page.marks.append(rest)
         page.chars.append(0)
         page.linked.append(0)
-        open_.append((name, len(page.tags) - 1))
+        push(name, len(page.tags) - 1)
     flush()
     return page
 

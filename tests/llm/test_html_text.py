@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 
@@ -81,3 +82,43 @@ def test_empty_unclosed_and_fallback_elements():
     assert blocks("<p>pick <select><option>A</option><option>B</select> now <svg><text>no</text><style>p</style></svg>or <template><p>no</p><div></template>then</p>") == ["pick now or then"]
     assert blocks("<p>a<script>x") == ["a"] and blocks("<svg><foreignObject><div>no</div></foreignObject></svg>yes") == ["yes"]
     assert blocks("<noscript><div>a<p>b</noscript>c") == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 200_000,
+        "<a '" * 200_000,
+        "<x '\">" * 200_000,
+        "<a" * 200_000 + ">",
+        "<div>" * 100_000 + "</section>" * 100_000,
+        "<span>" * 100_000 + "<p>" * 100_000,
+        "<span>" * 100_000 + "<div></div>" * 100_000,
+        "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000,
+        "<svg>" + "<script>" * 200_000,
+        "<ul>" + "<span>" * 100_000 + "<li></li>" * 100_000,
+    ],
+    ids=lambda page: page[:24],
+)
+def test_long_broken_pages_take_time_in_proportion(page):
+    begun = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - begun < 30
+
+
+def test_tags_of_broken_markup():
+    def tags(source):
+        reader, at, found = html_text.Tags(source), 0, []
+        while (tag := reader.after(at)) is not None:
+            found.append(tag[2:4])
+            at = tag[1]
+        return found
+
+    assert tags("a<b c='>'>d</B>e") == [("", "b"), ("/", "b")]
+    assert tags("<b c='>d</b>") == [("bad", ""), ("/", "b")]
+    assert tags("1 < 2 > 0 <p") == []
+    assert tags("<p '\"'><q \">\" '>") == [("", "p"), ("bad", "")]
+
+
+def test_drawing_inside_a_control():
+    assert html_text.parse("<select><svg><div>text</div></select>").blocks[-1][1] == "text"
