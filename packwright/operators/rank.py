@@ -1,8 +1,10 @@
 """Exact global order without sorting the table in one task.
 
-The order is cut into ranges at literal boundaries. A sample only proposes the boundaries;
-any boundaries give the exact answer, so re-evaluating the plan cannot change the result.
-What reaches the driver is one boundary and one count per range.
+The order is cut into ranges. A sample only proposes the boundaries; any boundaries give the exact
+answer, so re-evaluating the plan cannot change the result. The ranges grow in number with the
+rows and form an index of two levels: at most ``MAX_RANGES`` coarse ones, whose boundaries are in
+the plan and reach the driver with one count each, and within each of them fine ones, whose
+boundaries are rows of a table that is joined.
 """
 
 from __future__ import annotations
@@ -17,9 +19,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from packwright.operators.joins import join_unique
+from packwright.sources.checkpoints import checkpointed
 
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 16_384
+#: Coarse ranges, at most.
+MAX_RANGES = 1024
+#: Boundaries of fine ranges up to which their table is sent to all tasks.
+SENT_BOUNDARIES = 100_000
 SAMPLE_PER_RANGE = 32
 #: Rows at which a search stops narrowing and takes a top-k; the result is the same at any value.
 SMALL_ROWS = 100_000
@@ -51,15 +57,7 @@ class Ranges:
         count = len(self.boundaries)
         if not count:
             return F.lit(0)
-        bounds, key = self._literal(self.boundaries), key_struct(self.columns)
-        steps = [1 << p for p in reversed(range(count.bit_length()))]
-
-        def descend(position: Column, step: Column) -> Column:
-            probe = position + step
-            fits = (probe <= count) & (F.get(bounds, probe - 1) <= key)
-            return F.when(fits, probe).otherwise(position)
-
-        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), descend)
+        return _not_above(self._literal(self.boundaries), key_struct(self.columns), count)
 
     def inside(self, index: int) -> Column:
         """Predicate of the rows of one range."""
@@ -72,17 +70,30 @@ class Ranges:
         return predicate
 
 
-def range_count(df: DataFrame, rows: int) -> int:
+def _not_above(bounds: Column, key: Column, most: int) -> Column:
+    """How many of an array of sorted keys, of ``most`` at most, are not above the key."""
+
+    def descend(position: Column, step: Column) -> Column:
+        probe = position + step
+        fits = (probe <= F.size(bounds)) & (F.get(bounds, probe - 1) <= key)
+        return F.when(fits, probe).otherwise(position)
+
+    steps = [F.lit(1 << p) for p in reversed(range(most.bit_length()))]
+    return F.aggregate(F.array(*steps), F.lit(0), descend)
+
+
+def range_count(df: DataFrame, rows: int, rows_per_range: int | None = None) -> int:
     """Ranges for a table of ``rows`` rows: one per few million, at least four per core.
 
     Ranges are spread over tasks by hash, so a task should get several of them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(MAX_RANGES, max(4 * cores, -(-rows // ROWS_PER_RANGE))))
+    return max(1, 4 * cores, -(-rows // (rows_per_range or ROWS_PER_RANGE)))
 
 
 def find_ranges(df: DataFrame, columns: Sequence[str], rows: int, ranges: int) -> Ranges:
-    """Boundaries that cut ``df`` into about ``ranges`` parts, from a sample of the keys."""
+    """Boundaries that cut ``df`` into about ``ranges`` coarse parts, from a sample of the keys."""
+    ranges = min(ranges, MAX_RANGES)
     keys = df.select(*columns)
     if ranges < 2 or rows == 0:
         return Ranges(tuple(columns), keys.schema, ())
@@ -105,48 +116,92 @@ def _range_totals(df: DataFrame, index: Column, weight: Column) -> dict[int, int
     return {row["range"]: row["rows"] for row in totals}
 
 
+def _fine_bounds(df: DataFrame, found: Ranges, rows: int, each: int) -> DataFrame:
+    """``(__coarse, __bounds)``: keys that cut each coarse range into about ``each`` fine ones.
+
+    The sample of one coarse range, a few dozen keys per fine one, is sorted by one task.
+    """
+    wanted = (len(found.boundaries) + 1) * each * SAMPLE_PER_RANGE
+    keys = df.select(*found.columns)
+    sample = keys if wanted >= rows else keys.sample(fraction=wanted / rows, seed=11)
+    sorted_keys = F.array_distinct(F.sort_array(F.collect_list(key_struct(found.columns))))
+    per_range = sample.groupBy(found.index().alias("__coarse")).agg(sorted_keys.alias("keys"))
+    step = F.greatest(F.lit(1), F.floor(F.size("keys") / each).cast("int"))
+    bounds = F.filter("keys", lambda key, i: (i > 0) & (i % step == 0))
+    return checkpointed(per_range.select("__coarse", bounds.alias("__bounds")))
+
+
+def _in_ranges(df: DataFrame, found: Ranges, rows: int, each: int) -> DataFrame:
+    """Rows with their coarse and fine range."""
+    placed = df.withColumn("__coarse", found.index())
+    if each < 2:
+        return placed.withColumn("__fine", F.lit(0))
+    fine = _fine_bounds(df, found, rows, each)
+    if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES:
+        fine = F.broadcast(fine)
+    place = F.coalesce(_not_above(F.col("__bounds"), key_struct(found.columns), 4 * each), F.lit(0))
+    return placed.join(fine, "__coarse", "left").withColumn("__fine", place).drop("__bounds")
+
+
 def _ranked(
-    df: DataFrame, columns: Sequence[str], name: str, weight: str | None, ties: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    name: str,
+    weight: str | None,
+    ties: Sequence[str] = (),
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Positions by ``columns``, which alone make up the ranges, and then by ``ties``."""
     rows = df.count()
-    found = find_ranges(df, columns, rows, range_count(df, rows))
+    ranges = range_count(df, rows, rows_per_range)
+    found = find_ranges(df, columns, rows, ranges)
+    each = -(-ranges // MAX_RANGES)
+    placed = _in_ranges(df, found, rows, each)
     one = F.lit(1) if weight is None else F.col(weight)
-    totals = _range_totals(df, found.index(), one)
-    sizes = [totals.get(i, 0) for i in range(len(found.boundaries) + 1)]
-    starts = [0, *accumulate(sizes)][:-1]
-    start_of = F.from_json(F.lit(str(starts)), "array<bigint>")
+    totals = placed.groupBy("__coarse", "__fine").agg(F.sum(one).alias("__rows"))
+    totals = checkpointed(totals) if each > 1 else totals
+    sums = {r[0]: r[1] for r in totals.groupBy("__coarse").agg(F.sum("__rows")).collect()}
+    sizes = [sums.get(i, 0) for i in range(len(found.boundaries) + 1)]
+    start_of = F.from_json(F.lit(str([0, *accumulate(sizes)][:-1])), "array<bigint>")
 
-    in_range = Window.partitionBy("__range").orderBy(*columns, *ties)
+    in_range = Window.partitionBy("__coarse", "__fine").orderBy(*columns, *ties)
     if weight is None:
         position = F.row_number().over(in_range).cast("bigint") - 1
     else:
         running = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         position = F.sum(weight).over(running) - F.col(weight)
-    return (
-        df.withColumn("__range", found.index())
-        .withColumn(name, position + F.get(start_of, F.col("__range")))
-        .drop("__range")
-    )
+    ordered = placed.withColumn(name, position + F.get(start_of, F.col("__coarse")))
+    if each > 1:
+        # Rows before each fine range within its coarse one.
+        before = Window.partitionBy("__coarse").orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select("__coarse", "__fine", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+        if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES:
+            starts = F.broadcast(starts)
+        ordered = ordered.join(starts, ["__coarse", "__fine"]).withColumn(name, F.col(name) + F.col("__start"))
+    return ordered.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def global_rank(
-    df: DataFrame, order_cols: Sequence[str], name: str = "rank", unique: bool = True
+    df: DataFrame,
+    order_cols: Sequence[str],
+    name: str = "rank",
+    unique: bool = True,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Add the dense 0-based position of each row in the order of ``order_cols``.
 
     The work is one shuffle by range. The order columns should identify a row. Where they do
     not, pass ``unique=False``: rows that tie are ordered by their other columns, and equal
     rows are counted before the shuffle and expanded after it, so that neither a frequent key
-    nor a frequent row ends up in one task.
+    nor a frequent row ends up in one task. ``rows_per_range`` is what a task sorts at a time.
     """
     if unique:
-        return _ranked(df, list(order_cols), name, None)
+        return _ranked(df, list(order_cols), name, None, rows_per_range=rows_per_range)
     others = [c for c in df.columns if c not in order_cols]
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
     tie = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
     keyed = copies.withColumn("__tie", tie)
-    ranked = _ranked(keyed, [*order_cols, "__tie"], name, "__copies", others)
+    ranked = _ranked(keyed, [*order_cols, "__tie"], name, "__copies", others, rows_per_range)
     return _expand_copies(ranked, name).select(*df.columns, name)
 
 

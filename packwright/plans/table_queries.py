@@ -120,6 +120,14 @@ def rank_of_repeated_rows(spark, sf_dir):
     return global_rank(rows, columns, unique=False)
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice,
+  row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber) - 1 AS place FROM lineitem""")
+def rank_two_levels(spark, sf_dir):
+    # Ranges of a few rows, so that both levels of the index are used at any scale.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return global_rank(lines, ["l_extendedprice", "l_orderkey", "l_linenumber"], "place", rows_per_range=25)
+
+
 @query("SELECT url, row_number() OVER (ORDER BY url) - 1 AS place FROM pages")
 def sorted_pages(spark, sf_dir):
     return global_rank(table(spark, sf_dir, "pages").select("url"), ["url"], "place")

@@ -119,3 +119,21 @@ def test_null_is_a_group(spark, monkeypatch):
 def test_keys_of_rows_that_differ_in_microseconds(spark):
     df = spark.sql("select timestamp_micros(1000000 + id) as t from range(20)")
     assert rank.row_keys(df).select("row_key").distinct().count() == 20
+
+
+@pytest.mark.parametrize("sent", [0, 10_000])
+def test_two_levels_of_ranges(spark, monkeypatch, sent):
+    monkeypatch.setattr(rank, "MAX_RANGES", 5)
+    monkeypatch.setattr(rank, "SENT_BOUNDARIES", sent)
+    rows = [(i * 7919 % 2003, None if i % 11 == 0 else f"k{i % 90}") for i in range(2003)]
+    df = spark.createDataFrame(rows, "i int, s string").repartition(3)
+    found = {r["i"]: r["place"] for r in rank.global_rank(df, ["s", "i"], "place", rows_per_range=15).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[0]))
+    assert found == {r[0]: place for place, r in enumerate(order)}
+    repeated = df.selectExpr("s", "i % 4 as j")
+    places = rank.global_rank(repeated, ["s"], "place", unique=False, rows_per_range=15).collect()
+    assert sorted(r["place"] for r in places) == list(range(2003))
+    by_place = [r["s"] for r in sorted(places, key=lambda r: r["place"])]
+    assert by_place == [r[1] for r in order]
+    empty = rank.global_rank(df.limit(0), ["s", "i"], "place", rows_per_range=15)
+    assert empty.count() == 0
