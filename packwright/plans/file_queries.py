@@ -229,6 +229,20 @@ def ws_table(spark, sf_dir):
     return readers.read_ws_table(spark, folder).drop("file")
 
 
+@query("""SELECT c_custkey AS id, c_custkey % 3 AS part, CASE c_custkey % 3 WHEN 2 THEN 'STRING' WHEN 1 THEN 'DOUBLE' ELSE 'BIGINT' END AS kind,
+  CASE c_custkey % 3 WHEN 2 THEN '"n' || c_nationkey || '"' WHEN 1 THEN (c_nationkey + 0.5)::VARCHAR ELSE c_nationkey::VARCHAR END AS cell FROM customer""")
+def ws_table_types_per_file(spark, sf_dir):
+    folder, part = scratch_folder(spark), F.col("c_custkey") % 3
+    nation = F.col("c_nationkey")
+    cell = F.when(part == 2, F.concat(F.lit("n"), nation)).when(part == 1, F.concat(nation, F.lit(".5"))).otherwise(nation.cast("string"))
+    customers = table(spark, sf_dir, "customer").select(part.alias("part"), F.concat_ws(" ", "c_custkey", cell).alias("value"))
+    customers.repartition("part").write.partitionBy("part").text(folder)
+    found = readers.read_ws_table(spark, folder, per_file=True)
+    part = F.regexp_extract("file", "part=([0-9])", 1).cast("bigint")
+    kind = F.schema_of_variant("col_1")
+    return found.select(F.col("col_0").cast("bigint").alias("id"), part.alias("part"), kind.alias("kind"), F.to_json("col_1").alias("cell"))
+
+
 @query("""WITH d AS (SELECT s_nationkey, count(*) AS n, string_agg(s_name, ',' ORDER BY s_name) AS libraries FROM supplier GROUP BY 1)
 SELECT CASE WHEN s_nationkey % 4 <> 0 THEN 'nation ' || s_nationkey END AS title, CASE WHEN s_nationkey % 4 <> 0 THEN libraries END AS libraries,
   CASE WHEN s_nationkey % 4 <> 0 THEN 'ok' ELSE 'quarantined' END AS status FROM d""")

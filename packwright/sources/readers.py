@@ -181,56 +181,79 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter("line <> ''").select("file", "at", _fields(F.col("line")).alias("fields"))
 
 
+#: Kinds of cells and columns, each of which can hold those before it.
+KINDS = ("bigint", "double", "string")
+
+
+def _cell(field: Column) -> Column:
+    """A field's text, null where it stands for a missing value."""
+    return F.when(~field.isin(*MISSING_TEXTS), field)
+
+
+def _kind(cell: Column) -> Column:
+    """Place of a cell in ``KINDS``; a missing value needs a column of doubles."""
+    # Integer text only: a cast to bigint would also take '1.5' and drop the fraction.
+    whole = F.rlike(cell, F.lit(r"^[+-]?[0-9]+$")) & cell.try_cast("bigint").isNotNull()
+    return F.when(cell.isNull(), 1).when(whole, 0).when(F.rlike(cell, F.lit(NUMBER)), 1).otherwise(2)
+
+
+def _with_kinds(lines: DataFrame) -> DataFrame:
+    """Per file: ``width`` (fields of its first data line), ``widest``, ``accepted`` and ``kinds``.
+
+    One read: an aggregate per file and column, combined before the shuffle, whose rows are then
+    few. ``kinds`` has the kind of each column; one that short lines lack has missing values.
+    """
+    cells = lines.select("file", "at", F.size("fields").alias("n"), F.posexplode("fields").alias("pos", "field"))
+    columns = cells.groupBy("file", "pos").agg(
+        F.max(_kind(_cell(F.col("field")))).alias("kind"),
+        F.count(F.lit(1)).alias("present"),
+        F.min_by("n", "at").alias("first"),
+        F.max("n").alias("widest"),
+    )
+    # Every line has a first field, which therefore stands for the lines.
+    files = columns.groupBy("file").agg(
+        F.max(F.when(F.col("pos") == 0, F.col("present"))).alias("lines"),
+        F.max(F.when(F.col("pos") == 0, F.col("first"))).alias("width"),
+        F.max("widest").alias("widest"),
+        F.sort_array(F.collect_list(F.struct("pos", "kind", "present"))).alias("columns"),
+    )
+    kinds = F.transform("columns", lambda c: F.when(c["present"] < F.col("lines"), F.greatest(c["kind"], F.lit(1))).otherwise(c["kind"]))
+    return files.select("file", "width", "widest", (F.col("widest") <= F.col("width")).alias("accepted"), kinds.alias("kinds"))
+
+
 def ws_files(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: ``width`` (fields of its first data line), ``widest`` and ``accepted``.
+    """Per file: ``width`` (fields of its first data line), ``widest``, ``accepted`` and ``kinds``.
 
     A file with a line wider than its first one is rejected. The first line is the smallest
     (block start, line) pair, so large files may be read in blocks.
     """
-    sized = _numbered_lines(spark, path).select("file", "at", F.size("fields").alias("n"))
-    return (
-        sized.groupBy("file")
-        .agg(F.min_by("n", "at").alias("width"), F.max("n").alias("widest"))
-        .withColumn("accepted", F.col("widest") <= F.col("width"))
-    )
+    return _with_kinds(_numbered_lines(spark, path))
 
 
-def read_ws_table(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
+def read_ws_table(spark: SparkSession, path: str, typed: bool = True, per_file: bool = False) -> DataFrame:
     """Headerless text with whitespace between fields, as columns ``file, col_0, col_1, ...``.
 
     Blank lines are skipped, short lines padded with null, and rejected files left out (see
     :func:`ws_files`). With ``typed`` a column whose every value is a number becomes
-    ``bigint`` or ``double``; this takes one pass over the data.
+    ``bigint`` or ``double``; with ``per_file`` every file has types of its own, and cells are
+    variants. The text is read once for the types and once for the table.
     """
     files = checkpointed(ws_files(spark, path)).filter("accepted")
     width = files.agg(F.max("width")).first()[0] or 0
-    kept = join_unique(_numbered_lines(spark, path), files.select("file"), ["file"], "left_semi")
     names = [f"col_{i}" for i in range(width)]
-    raw = [F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)]
-    table = kept.select("file", *raw)
-    missing = {n: F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)) for n in names}
-    table = table.withColumns(missing) if names else table
+    facts = files.select("file", "kinds") if per_file else files.select("file")
+    kept = join_unique(_numbered_lines(spark, path), facts, ["file"], "inner" if per_file else "left_semi")
+    cells = {n: _cell(F.get("fields", F.lit(i))) for i, n in enumerate(names)}
+    if per_file:
+        def variant(i: int, cell: Column) -> Column:
+            kind = F.get("kinds", F.lit(i))
+            casts = [cell.cast(k).cast("variant") for k in KINDS]
+            return F.when(kind == 0, casts[0]).when(kind == 1, casts[1]).otherwise(casts[2])
+
+        return kept.select("file", *[variant(i, cell).alias(n) for i, (n, cell) in enumerate(cells.items())])
+    table = kept.select("file", *[cell.alias(n) for n, cell in cells.items()])
     if not typed or not names:
         return table
-    fits = [
-        F.bool_and(F.col(n).isNull() | F.col(n).try_cast("bigint").isNotNull()).alias(f"{n}_bigint")
-        for n in names
-    ]
-    fits += [
-        F.bool_and(F.col(n).isNull() | F.rlike(n, F.lit(NUMBER))).alias(f"{n}_double")
-        for n in names
-    ]
-    # Integer text only: a cast to bigint would also take '1.5' and drop the fraction.
-    whole = [
-        F.bool_and(F.col(n).isNull() | F.rlike(n, F.lit(r"^[+-]?[0-9]+$"))).alias(f"{n}_whole")
-        for n in names
-    ]
-    holes = [F.count_if(F.col(n).isNull()).alias(f"{n}_holes") for n in names]
-    found = table.agg(*fits, *whole, *holes).first()
-
-    def final_type(name: str) -> str:
-        if found[f"{name}_bigint"] and found[f"{name}_whole"] and not found[f"{name}_holes"]:
-            return "bigint"
-        return "double" if found[f"{name}_double"] else "string"
-
-    return table.select("file", *[F.col(n).cast(final_type(n)).alias(n) for n in names])
+    highest = [F.max(F.coalesce(F.get("kinds", F.lit(i)), F.lit(1))) for i in range(len(names))]
+    kinds = files.agg(*[h.alias(n) for h, n in zip(highest, names)]).first()
+    return table.select("file", *[F.col(n).cast(KINDS[kinds[n]]).alias(n) for n in names])

@@ -44,6 +44,24 @@ def test_ws_table_rejects_files_with_wider_lines(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(7, 8.0), (9, None)]
 
 
+def test_ws_table_with_types_of_each_file(spark, tmp_path):
+    texts = {"a": "1 2 x\n3 4 NA\n", "b": "1.5 2\n7\n", "c": "n 99999999999999999999 3\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.txt").write_text(text)
+    found = readers.read_ws_table(spark, str(tmp_path), per_file=True)
+    kinds = [F.schema_of_variant(f"col_{i}") for i in range(3)]
+    rows = found.select(F.substring_index("file", "/", -1), *kinds, *[F.to_json(f"col_{i}") for i in range(3)]).collect()
+    assert sorted(map(tuple, rows), key=repr) == [
+        ("a.txt", "BIGINT", "BIGINT", "STRING", "1", "2", '"x"'),
+        ("a.txt", "BIGINT", "BIGINT", None, "3", "4", None),
+        ("b.txt", "DOUBLE", "DOUBLE", None, "1.5", "2.0", None),
+        ("b.txt", "DOUBLE", None, None, "7.0", None, None),
+        ("c.txt", "STRING", "DOUBLE", "BIGINT", '"n"', "1.0E20", "3"),
+    ]
+    whole = readers.read_ws_table(spark, str(tmp_path)).drop("file")
+    assert dict(whole.dtypes) == {"col_0": "string", "col_1": "double", "col_2": "string"}
+
+
 def test_ws_table_in_blocks(spark, tmp_path):
     (tmp_path / "long.txt").write_text("a b c\n" + "x y\n" * 5000)
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
