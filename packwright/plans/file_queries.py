@@ -15,8 +15,8 @@ from packwright.operators.papers import final_records, paper_tasks
 from packwright.plans.registry import query
 from packwright.plans.table_queries import _RANDOM_ORDERS
 from packwright.plans.templates import table, template, with_template
-from packwright.sources import readers, writers
-from packwright.sources.checkpoints import scratch_folder
+from packwright.sources import publish, readers, writers
+from packwright.sources.checkpoints import checkpointed, scratch_folder
 
 # --- file collections ------------------------------------------------------------------
 
@@ -409,3 +409,29 @@ def offline_provider(prompt: str, context: str) -> str:
 def infer_batch(spark, sf_dir):
     answers = infer(table(spark, sf_dir, "conversations"), "role", "text", offline_provider)
     return answers.select("conv_id", "turn", "answer", "status", "reason")
+
+
+@query(f"""WITH s AS ({_RANDOM_ORDERS}), n AS (SELECT count(*) AS total, count(*) FILTER (split = 'test') AS test FROM s)
+SELECT 'whole' AS package, 'public/train' AS output, 'ok' AS status, total - test AS records FROM n UNION ALL SELECT 'whole', 'public/test', 'ok', test FROM n
+UNION ALL SELECT 'whole', 'public/sample_submission', 'ok', test FROM n UNION ALL SELECT 'whole', 'private/test_answer', 'ok', test FROM n
+UNION ALL SELECT 'changed', 'public/train', 'ok', total - test FROM n UNION ALL SELECT 'changed', 'public/test', 'changed', test FROM n
+UNION ALL SELECT 'changed', 'public/sample_submission', 'ok', test FROM n UNION ALL SELECT 'changed', 'private/test_answer', 'missing', NULL FROM n""")
+def package_commit(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    parts = checkpointed(split.random_split(orders, "o_orderkey"))
+    checks = []
+    for name in ("whole", "changed"):
+        folder = scratch_folder(spark)
+        publish.publish_package(parts, folder, "o_orderkey", "o_totalprice")
+        if name == "changed":
+            # One output is rewritten with the same number of records, one is lost.
+            test = parts.filter("split = 'test'").select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"))
+            writers.write_delimited(test, f"{folder}/{writers.TEST_PATH}", mode="overwrite")
+            publish.discard(spark, f"{folder}/{writers.ANSWER_PATH}")
+        files = [f"{folder}/{o}" for o in publish.PACKAGE_OUTPUTS if publish.exists(spark, f"{folder}/{o}")]
+        heads = spark.read.text(files).select(F.col("_metadata.file_path").alias("file")).distinct()
+        output = F.regexp_extract("file", "/((public|private)/[a-z_]+)/[^/]*$", 1)
+        heads = heads.groupBy(output.alias("output")).agg(F.count(F.lit(1)).alias("heads"))
+        found = publish.check_package(spark, folder).join(heads, "output", "left")
+        checks.append(found.select(F.lit(name).alias("package"), "output", "status", (F.col("lines") - F.col("heads")).alias("records")))
+    return checks[0].unionByName(checks[1])
