@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ast
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from packwright.functions.jsontext import is_strict_json, key_differences
 from packwright.functions.text import verdict
 from packwright.operators.joins import join_unique
+from packwright.operators.rank import weighted_rank
+from packwright.sources.checkpoints import checkpointed
 from packwright.sources.shipping import ship
 
 # Layout of a package, its interface, proposal keys and task types.
@@ -309,6 +312,96 @@ def leakage_findings(
     )
 
 
+def _known(df: DataFrame, column: str) -> Column:
+    """Whether a value is neither null nor NaN."""
+    known = F.col(f"`{column}`").isNotNull()
+    return known & ~F.isnan(F.col(f"`{column}`")) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else known
+
+
+def _centred_ranks(pairs: DataFrame, column: str, rows: int) -> DataFrame:
+    """Values of a column with their rank, ties averaged, less the mean rank."""
+    counts = checkpointed(pairs.groupBy(column).agg(F.sum("w").alias("w")))
+    placed = weighted_rank(counts, [column], "before", "w")
+    # Whole halves, exact in doubles: the mean of all ranks is (rows + 1) / 2.
+    return placed.select(column, (F.col("before") + F.col("w") / 2 - F.lit(rows / 2)).alias(f"{column}_rank"))
+
+
+def rank_correlation(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """``(feature, n, rank_correlation)``: how monotone each feature and the target are in each other.
+
+    Rank correlation with ties averaged, over rows where both are known; null where one of them
+    is constant. Rows are reduced to counts of pairs of values first; the order of the values is
+    found without a task that holds them all.
+    """
+    found = []
+    for name in features:
+        known = df.where(_known(df, name) & _known(df, target))
+        pairs = checkpointed(known.groupBy(F.col(f"`{name}`").alias("f"), F.col(f"`{target}`").alias("t")).agg(F.count(F.lit(1)).alias("w")))
+        rows = pairs.agg(F.sum("w")).first()[0] or 0
+        ranked = join_unique(pairs, _centred_ranks(pairs, "f", rows), ["f"])
+        ranked = join_unique(ranked, _centred_ranks(pairs, "t", rows), ["t"])
+        a, b, w = F.col("f_rank"), F.col("t_rank"), F.col("w")
+        spread = F.sqrt(F.sum(w * a * a)) * F.sqrt(F.sum(w * b * b))
+        correlation = F.try_divide(F.sum(w * a * b), spread)
+        found.append(ranked.agg(correlation.alias("rank_correlation")).select(F.lit(name).alias("feature"), F.lit(rows).cast("bigint").alias("n"), "rank_correlation"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def target_dependence(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """``(feature, n, n_values, n_determined, determined_share)``: does a feature's value fix the target?
+
+    Over rows where both are known: the values of the feature, those that come with one target
+    only, and the share of rows that have such a value. One job for all features; values combine
+    before the shuffle, so a frequent one is no burden.
+    """
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("feature"),
+                F.when(_known(df, name) & _known(df, target), F.col(f"`{name}`").cast("string")).alias("value"),
+                F.col(f"`{target}`").alias("target"),
+            )
+            for name in features
+        ]
+    )
+    laid = df.select(F.inline(cells)).where("value is not null")
+    values = laid.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"), (F.min("target") == F.max("target")).alias("fixed"))
+    share = F.sum(F.when(F.col("fixed"), F.col("rows")).otherwise(0)) / F.sum("rows")
+    return values.groupBy("feature").agg(
+        F.sum("rows").alias("n"), F.count(F.lit(1)).alias("n_values"), F.count_if("fixed").alias("n_determined"), share.alias("determined_share")
+    )
+
+
+def nonlinear_leakage_findings(
+    df: DataFrame,
+    target: str,
+    features: Sequence[str],
+    threshold: float = 0.95,
+    repeats: float = 2.0,
+    package: str = "",
+) -> DataFrame:
+    """Warnings about features that follow the target's order or determine it.
+
+    A rank correlation beyond the threshold, or a value that fixes the target in more than that
+    share of rows. A feature whose values come fewer than ``repeats`` times on average, a key for
+    instance, determines everything and says nothing, and so does one with a constant target.
+    """
+    numeric = [f for f in features if isinstance(df.schema[f].dataType, T.NumericType)]
+    warnings = []
+    if numeric and isinstance(df.schema[target].dataType, T.NumericType):
+        monotone = rank_correlation(df, target, numeric)
+        warnings.append(monotone.where(F.abs("rank_correlation") > threshold).select("feature", F.lit("leakage_monotone").alias("check")))
+    ends = df.where(_known(df, target)).agg(F.min(F.col(f"`{target}`")).alias("a"), F.max(F.col(f"`{target}`")).alias("b")).first()
+    if features and ends["a"] != ends["b"]:
+        fixed = target_dependence(df, target, features)
+        fixed = fixed.where((F.col("determined_share") > threshold) & (F.col("n") >= repeats * F.col("n_values")))
+        warnings.append(fixed.select("feature", F.lit("leakage_determined").alias("check")))
+    if not warnings:
+        return df.sparkSession.createDataFrame([], "package string, stage int, check string, severity string, message string")
+    found = reduce(DataFrame.unionByName, warnings)
+    return found.select(F.lit(package).alias("package"), *_finding(2, F.col("check"), F.lit(WARNING), F.col("feature")))
+
+
 def label_share(labels: DataFrame, label: str, by: str = "package") -> DataFrame:
     """Share of the most frequent label per package."""
     counts = labels.groupBy(by, label).agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from packwright.operators import package, profile, score, split
 from packwright.operators.baseline import fit_predict
 from packwright.operators.rank import global_rank, with_id
-from packwright.operators.verify import feature_relation, leakage_findings, score_findings
+from packwright.operators.verify import feature_relation, leakage_findings, nonlinear_leakage_findings, rank_correlation, score_findings, target_dependence
 from packwright.plans.registry import query
 from packwright.plans.templates import table, template, with_template
 
@@ -537,3 +537,43 @@ def leakage_audit(spark, sf_dir):
     return leakage_findings(
         _lines(spark, sf_dir), "l_extendedprice", _LINE_FEATURES, package="lines"
     )
+
+
+_MONOTONE = ("l_quantity", "l_discount", "inverse", "l_linenumber")
+
+
+@query("WITH l AS (SELECT *, 1000 / l_extendedprice AS inverse FROM lineitem) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, count(*) AS n, round(corr(a, b), 6) AS rank_correlation FROM (
+  SELECT rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS a,
+    rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS b FROM l)"""
+    for c in _MONOTONE
+))
+def leakage_monotone(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("inverse", 1000 / F.col("l_extendedprice"))
+    found = rank_correlation(lines, "l_extendedprice", _MONOTONE)
+    return found.withColumn("rank_correlation", F.round("rank_correlation", 6))
+
+
+_NATIONS = "SELECT c.*, n_regionkey, c_custkey % 4 AS quarter FROM customer c JOIN nation ON c_nationkey = n_nationkey"
+_DETERMINING = ("c_nationkey", "c_mktsegment", "c_custkey", "quarter")
+
+
+def _customers_by_region(spark, sf_dir):
+    nations = F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
+    return table(spark, sf_dir, "customer").join(nations, "c_nationkey").withColumn("quarter", F.col("c_custkey") % 4)
+
+
+@query(f"WITH l AS ({_NATIONS}) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, sum(n)::BIGINT AS n, count(*) AS n_values, count(*) FILTER (fixed) AS n_determined,
+  round(coalesce(sum(n) FILTER (fixed), 0) / sum(n), 6) AS determined_share
+FROM (SELECT {c}, count(*) AS n, count(DISTINCT n_regionkey) = 1 AS fixed FROM l GROUP BY 1)"""
+    for c in _DETERMINING
+))
+def leakage_determined(spark, sf_dir):
+    found = target_dependence(_customers_by_region(spark, sf_dir), "n_regionkey", _DETERMINING)
+    return found.withColumn("determined_share", F.round("determined_share", 6))
+
+
+@query("""SELECT 'regions' AS package, 2 AS stage, 'leakage_determined' AS "check", 'warning' AS severity, 'c_nationkey' AS message WHERE EXISTS (SELECT 1 FROM customer)""")
+def leakage_nonlinear_audit(spark, sf_dir):
+    return nonlinear_leakage_findings(_customers_by_region(spark, sf_dir), "n_regionkey", _DETERMINING, package="regions")

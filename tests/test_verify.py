@@ -1,3 +1,5 @@
+import random
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,29 @@ def test_review_findings(spark):
     rows = [("p", "description", " fail: leak"), ("p", "metric", "WARN"), ("q", "metric", "OK")]
     found = verify.review_findings(spark.createDataFrame(rows, "package string, `check` string, reply string"))
     assert {(r.package, r.check, r.severity) for r in found.collect()} == {("p", "description", "error"), ("p", "metric", "warning")}
+
+
+def test_rank_correlation_and_dependence(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(900):
+        y = rng.choice([None, float("nan"), *[float(rng.randrange(60))] * 8])
+        cube = None if y is None or i % 17 == 0 else y**3
+        rows.append((y, cube, -1.0 * i % 7, 1.0, f"g{int(y) // 20}" if y is not None and y == y else None, i))
+    df = spark.createDataFrame(rows, "y double, cube double, noise double, flat double, `g.roup` string, id int").repartition(3)
+    found = {r["feature"]: r for r in verify.rank_correlation(df, "y", ["cube", "noise", "flat"]).collect()}
+    frame = pd.DataFrame([r[:4] for r in rows], columns=["y", "cube", "noise", "flat"])
+    for name in ("cube", "noise"):
+        known = frame[[name, "y"]].dropna()
+        ranks = known.rank()
+        assert found[name]["n"] == len(known)
+        assert found[name]["rank_correlation"] == pytest.approx(ranks[name].corr(ranks["y"]), abs=1e-12)
+    assert found["flat"]["rank_correlation"] is None
+
+    shares = {r["feature"]: tuple(r)[1:] for r in verify.target_dependence(df, "g.roup", ["y", "noise", "id"]).collect()}
+    known = [r for r in rows if r[4] is not None]
+    assert shares["y"] == (len(known), len({r[0] for r in known}), len({r[0] for r in known}), 1.0)
+    assert shares["id"][3] == 1.0 and shares["noise"][3] == 0.0
+    found = {(r["check"], r["message"]) for r in verify.nonlinear_leakage_findings(df, "y", ["cube", "noise", "flat", "id"]).collect()}
+    assert found == {("leakage_monotone", "cube"), ("leakage_determined", "cube")}
+    assert verify.nonlinear_leakage_findings(df, "flat", ["cube", "id"]).collect() == []
