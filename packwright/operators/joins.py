@@ -15,16 +15,14 @@ HOT_KEYS = 100_000
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All keys with more than ``hot_rows`` rows and more than 1 / ``HOT_KEYS`` of all rows.
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
+    """All keys with more than ``hot_rows`` rows and more than 1 / ``most`` of all rows.
 
-    By the second bound there are fewer than ``HOT_KEYS`` of them, and a key below it is no
-    more than a task's share of a table that large.
+    By the second bound there are fewer than ``most`` of them, and a key below it is no more than
+    a task's share of a table that large.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    frequent = counts.filter(F.col("__rows") > hot_rows)
-    rows = df.count() if hot_rows >= HOT_ROWS else 0
-    return frequent.filter(F.col("__rows") > rows // HOT_KEYS).select(*on)
+    return counts.filter(F.col("__rows") > max(hot_rows, df.count() // most)).select(*on)
 
 
 def join_unique(
@@ -32,19 +30,24 @@ def join_unique(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` side that is unique on ``on``.
 
-    ``how`` is one of ``JOIN_TYPES``; for the last two, ``right`` need not be unique.
+    ``how`` is one of ``JOIN_TYPES``; for the last two, ``right`` need not be unique. The join is
+    an ordinary one: adaptive execution sends a small right side to all tasks and cuts the left
+    rows of a frequent key into several tasks, for which its skew handling has to be on.
 
-    Rows of a hot key stay where they are: the matching right rows, one per hot key (see
-    :func:`hot_keys` for their bound), are broadcast to them. All other rows take the ordinary
-    join. Raises ``ValueError`` if a hot key has several right rows.
+    With ``hot_rows`` the keys with more rows than that are looked for first (see
+    :func:`hot_keys`, also for the bound of their number), in two runs of the left side. Their
+    rows then stay where they are and the matching right rows, one per hot key, are broadcast to
+    them, whatever adaptive execution does. Raises ``ValueError`` if a hot key has several.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
+    if hot_rows is None:
+        return left.join(right, on, how)
     keys = hot_keys(left, on, hot_rows).collect()
     if not keys:
         return left.join(right, on, how)

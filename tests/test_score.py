@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from packwright.operators import score
 from packwright.operators.baseline import fit_predict
-from packwright.operators.inference import infer_batch
+from packwright.operators.inference import infer_batch, infer_resumed, stored_answers
 
 
 def frame(spark, rows, kind="double"):
@@ -124,3 +124,40 @@ def test_equal_requests_are_asked_once(spark, tmp_path):
     by_id = {r.i: (r.answer, r.status, r.reason) for r in found}
     assert by_id[0] == ("SAME", "ok", None) and by_id[30] == (None, "error", "ValueError: no")
     assert by_id[31] == ("", "ok", None)
+
+
+def test_a_run_that_fails_half_way_asks_nothing_twice(spark, tmp_path):
+    calls, store, flag = tmp_path / "calls", f"{tmp_path}/store", tmp_path / "down"
+    calls.mkdir()
+    flag.write_text("")
+    folder, down = str(calls), str(flag)
+
+    def provider(prompt, context):
+        import os
+        import pathlib
+        import uuid
+
+        if context == "c7" and os.path.exists(down):
+            raise SystemExit("the machine stops")
+        (pathlib.Path(folder) / uuid.uuid4().hex).write_text(context)
+        if context in ("c3", "c4"):
+            raise ValueError("no")
+        return context.upper()
+
+    df = spark.createDataFrame([(i, "p", f"c{i % 20}") for i in range(60)] + [(60, "p", None)], "i int, p string, c string")
+    with pytest.raises(Exception):  # noqa: B017
+        infer_resumed(df, "p", "c", provider, store, batches=20, partitions=1)
+    reached = {f.read_text() for f in calls.iterdir()}
+    answered = stored_answers(spark, store).count()
+    flag.unlink()
+    for run in (1, 2, 3):
+        found = {r["i"]: (r["answer"], r["status"], r["attempts"]) for r in infer_resumed(df, "p", "c", provider, store, batches=20, attempts=2, partitions=1).collect()}
+        assert len(found) == 61 and found[60] == ("", "ok", 1)
+        assert all(found[i][:2] == (f"C{i % 20}", "ok") for i in range(60) if i % 20 not in (3, 4))
+        assert found[3][:2] == (None, "error") and found[3][2] <= 2
+    asked = [f.read_text() for f in calls.iterdir()]
+    assert answered <= len(reached) < 21
+    assert found[3][2] == found[4][2] == 2
+    # Only errors, and what was under way when the run stopped, were asked again.
+    again = {c for c in asked if asked.count(c) > 1}
+    assert {"c3", "c4"} <= again and len(again - {"c3", "c4"}) <= len(reached) - answered
