@@ -5,7 +5,9 @@ with a capital inside a sentence) turn into typed placeholders, other words lose
 punctuation around them. Windows of ``window`` template tokens are hashed and the windows of a
 block of benchmark items, of bounded size, are the build side of a hash join with those of all
 texts; larger benchmarks take several blocks. Items shorter than a window count as one window;
-items of fewer than ``SHORTEST`` tokens say too little and never match.
+items of fewer than ``SHORTEST`` tokens say too little and never match. A window with too few
+words that are no placeholders (``LITERAL``) says nothing as a template and counts by its very
+numbers, units and names instead, so that tables of numbers match only where the numbers do.
 
 Texts and items have two readings, and windows of both count. In the first a capital at the start of
 a sentence is an ordinary word. In the second it is a name, and names in a row are one placeholder,
@@ -38,6 +40,8 @@ from packwright.llm.words import Words, hashes, mixed, runs, text_bytes
 ITEMS = 20_000
 #: Tokens an item needs.
 SHORTEST = 4
+#: One in so many tokens of a window is an ordinary word, or its placeholders do not count.
+LITERAL = 4
 #: Tokens by which neighbouring distances of one alignment differ, at most.
 DRIFT = 8
 
@@ -48,6 +52,16 @@ UNITS = (
     "celsius fahrenheit dollar dollars cent cents euro euros usd eur gbp mph kmh watt watts volt volts joule joules hz khz mhz ghz kb mb gb tb"
 ).split()
 
+# Number words; those that are other words too in one of the languages are left out.
+NUMBERS = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+    "thirty forty fifty sixty seventy eighty ninety hundred thousand million "
+    "null zwei drei vier sieben acht neun zehn zwanzig dreißig vierzig hundert tausend "
+    "deux trois quatre cinq sept huit dix onze douze vingt trente quarante cinquante cent mille "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez veinte treinta cuarenta cincuenta cien ciento mil "
+    "два две три четыре пять шесть семь восемь девять десять двадцать сто"
+).split()
+
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0x6E756D62, 0x756E6974, 0x6E616D65))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -85,6 +99,27 @@ def _word_codes(words: list[str]) -> np.ndarray:
 
 
 _UNIT_CODES = np.sort(_word_codes(UNITS))
+_NUMBER_CODES = np.sort(_word_codes(NUMBERS))
+
+
+def _is_one_of(values: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return codes[np.minimum(np.searchsorted(codes, values), codes.size - 1)] == values
+
+
+def _capitals(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where capitals begin, and the bytes in lower case: ASCII, Latin-1, Greek and Cyrillic."""
+    lowered, after = _LOWER[data], np.r_[data[1:], np.uint8(0)]
+    capital = (data >= 65) & (data <= 90)
+    latin = (data == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97)
+    # Greek and Cyrillic: the first half moves up within its lead byte, the second into the next one.
+    near = ((data == 0xCE) & (after >= 0x91) & (after <= 0x9F)) | ((data == 0xD0) & (after >= 0x90) & (after <= 0x9F))
+    far = ((data == 0xCE) & (after >= 0xA0) & (after <= 0xA9)) | ((data == 0xD0) & (after >= 0xA0) & (after <= 0xAF))
+    up = np.flatnonzero(latin | near)
+    lowered[up + 1] += 0x20
+    up = np.flatnonzero(far)
+    lowered[up] += 1
+    lowered[up + 1] -= 0x20
+    return capital | latin | near | far, lowered
 
 
 def canonical(column: pa.Array) -> Template:
@@ -116,18 +151,12 @@ def canonical(column: pa.Array) -> Template:
     while live.size:
         live = live[(high[live] > low[live] + 1) & _STRIP[data[high[live] - 1]]]
         high[live] -= 1
-    # Capitals of ASCII and of Latin-1, which are two bytes in UTF-8.
-    second = np.zeros(data.size, bool)
-    second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    capital = ((data >= 65) & (data <= 90)) | np.r_[second[1:], False]
-    lowered = _LOWER[data]
-    lowered[second] += 0x20
+    capital, lowered = _capitals(data)
     values = hashes(lowered, low, high - low)
     digits = np.r_[0, np.cumsum(_DIGIT[data])]
-    number = digits[high] > digits[low]
+    number = (digits[high] > digits[low]) | _is_one_of(values, _NUMBER_CODES)
     unit = np.zeros(number.size, bool)
-    at = np.minimum(np.searchsorted(_UNIT_CODES, values), _UNIT_CODES.size - 1)
-    unit[1:] = number[:-1] & (_UNIT_CODES[at] == values)[1:] & ~number[1:]
+    unit[1:] = number[:-1] & _is_one_of(values, _UNIT_CODES)[1:] & ~number[1:]
     unit[first[:-1][first[:-1] < first[1:]]] = False
     name = capital[low] & ~opens & ~number & ~unit
     codes = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, values)))
@@ -182,10 +211,21 @@ def _sorted(codes: np.ndarray, owner: np.ndarray, place: np.ndarray) -> tuple[np
     return codes[order], owner[order], place[order]
 
 
+def _codes(template: Template, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and codes of all windows of ``length`` tokens: templates, or the values of those that are mostly slots."""
+    starts, codes, _ = runs(Words(template.first, template.codes), length)
+    words = np.r_[0, np.cumsum((template.codes != _NUMBER) & (template.codes != _UNIT) & (template.codes != _NAME))]
+    empty = (words[starts + length] - words[starts]) * LITERAL < length
+    if empty.any():
+        _, values, _ = runs(Words(template.first, template.values), length)
+        codes = np.where(empty, mixed(values ^ _NAME), codes)
+    return starts, codes
+
+
 def _windows(template: Template, window: int) -> Windows:
     sizes, found = np.diff(template.first), {}
     for length in sorted({window} | {int(s) for s in sizes if SHORTEST <= s < window}):
-        starts, codes, _ = runs(Words(template.first, template.codes), length)
+        starts, codes = _codes(template, length)
         owner = np.repeat(np.arange(sizes.size), sizes)[starts]
         use = sizes[owner] >= window if length == window else sizes[owner] == length
         if use.any():
@@ -197,7 +237,7 @@ def _halves(template: Template, window: int) -> Windows:
     """First and last halves of items of one to two windows."""
     sizes, found = np.diff(template.first), {}
     for length in sorted({int(s) // 2 for s in sizes if window <= s < 2 * window and s >= 2 * SHORTEST}):
-        starts, codes, _ = runs(Words(template.first, template.codes), length)
+        starts, codes = _codes(template, length)
         owner = np.repeat(np.arange(sizes.size), sizes)[starts]
         place = starts - template.first[owner]
         use = (sizes[owner] // 2 == length) & (sizes[owner] >= window) & (sizes[owner] < 2 * window) & ((place == 0) | (place == sizes[owner] - length))
@@ -209,7 +249,7 @@ def _matches(template: Template, windows: Windows) -> np.ndarray:
     """Matching windows as rows of text, item, place in the text, place in the item, length."""
     rows = []
     for length, (codes, owner, place) in windows.items():
-        starts, own, _ = runs(Words(template.first, template.codes), length)
+        starts, own = _codes(template, length)
         low = np.searchsorted(codes, own, "left")
         hit = np.flatnonzero((low < codes.size) & (codes[np.minimum(low, codes.size - 1)] == own))
         if not hit.size:

@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pyarrow as pa
 
 from packwright.llm import decontamination
@@ -59,3 +62,48 @@ def test_names_that_begin_sentences_or_have_more_words_and_short_items(spark):
     assert set(got) == {(0, 1), (1, 2), (2, 3), (3, 3), (4, 3), (7, 2)}
     assert got[0, 1]["coverage"] == got[1, 2]["coverage"] == 1.0 and got[0, 1]["slot_consistency"] == 1.0 and not got[0, 1]["verbatim"]
     assert got[2, 3]["matched_tokens"] == 9 and got[7, 2]["matched_tokens"] == 26
+
+
+def test_placeholders_alone_are_no_leak(spark):
+    items = [(1, "Paris 1900 London 1950"), (2, "What is 12 34 56 78 90 11 22 33 44 55"), (3, "12 34 56 78 90 11 22 33 44 55 66")]
+    texts = ["Then Berlin 2001 Madrid 2004 came.", "table " + " ".join(map(str, range(1, 14))), "in Paris 1900 London 1950 again", "see 12 34 56 78 90 11 22 33 44 55 66"]
+    assert set(found(spark, texts, items)) == {(2, 1), (3, 2), (3, 3)}
+
+
+def test_number_words_and_capitals_of_other_scripts(spark):
+    items = [(1, "After five days the baker sells three loaves to each guest"), (2, "Утром Анна даёт коту три рыбы и потом Анна пьёт чай")]
+    texts = [items[0][1].replace("five", "seven").replace("three", "nine"), items[1][1].replace("Анна", "Ольга").replace("три", "пять"), items[1][1].replace("Анна", "Юля")]
+    got = found(spark, texts, items)
+    assert set(got) == {(0, 1), (1, 2), (2, 2)} and got[1, 2]["slot_consistency"] == 1.0
+    capital, lowered = decontamination._capitals(np.frombuffer("aZÉÑΑΩЖЯя".encode(), np.uint8))
+    assert bytes(lowered).decode() == "azéñαωжяя" and capital.sum() == 7
+
+
+def test_tables_of_numbers_take_little(spark):
+    draw = np.random.default_rng(1)
+    items = [(i, " ".join(map(str, draw.integers(0, 10_000, 30)))) for i in range(2000)]
+    table = " ".join(map(str, draw.integers(0, 10_000, 100_000)))
+    got = found(spark, [table, f"{table} {items[7][1]} {table}"], items)
+    assert set(got) == {(1, 7)} and got[1, 7]["verbatim"]
+
+
+def test_against_a_plain_search(spark):
+    """Items with other numbers and names, found where all windows of a plain template agree."""
+    pick = random.Random(4)
+    words = ["baker", "sells", "every", "loaf", "before", "noon", "and", "keeps", "coins", "inside", "wooden", "boxes", "near", "door"]
+    items, texts, expected = [], [], set()
+    for i in range(25):
+        parts = pick.choices(words, k=14)
+        parts[3], parts[9] = "{a}", "{n}"
+        template = " ".join(parts)
+        items.append((i, template.format(a="Anna", n=12)))
+        texts.append(" ".join(pick.choices(words, k=30)) + " " + template.format(a=pick.choice(["Omar", "Lena"]), n=pick.randrange(100)) + " so")
+    for d, text in enumerate(texts):
+        plain = ["#" if w.isdigit() else "@" if w[0].isupper() else w for w in text.split()]
+        for i, item in items:
+            want = ["#" if w.isdigit() else "@" if w[0].isupper() else w for w in item.split()]
+            shares = [sum(plain[s + k : s + k + 8] == want[k : k + 8] for k in range(len(want) - 7)) for s in range(len(plain) - len(want) + 1)]
+            if max(shares) == len(want) - 7:
+                expected.add((d, i))
+    assert expected == {(i, i) for i in range(25)}
+    assert set(found(spark, texts, items)) == expected
