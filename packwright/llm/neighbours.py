@@ -11,11 +11,13 @@
 
 Of equal vectors only the ``k + 1`` smallest ids can be among the nearest of any query, so the
 others leave before the shuffle; a vector that a third of all rows repeat is no hot group. Long
-lists are dealt to several tasks, each of which gets the list's queries.
+lists are dealt to several tasks, and so are the queries of a list that many probe: a group holds
+at most ``SHARD`` vectors and about ``QUERIES`` queries. Queries that find fewer than ``k`` others in
+their lists ask all lists in a second pass.
 
 Vectors that are null, zero, of another length than most, or hold a null, an infinity or NaN take
 no part, as queries or candidates. Repeated ids count as rows of their own; a query's own id is
-never among its neighbours. Fewer candidates than ``k`` are all returned if their lists are probed.
+never among its neighbours. Fewer candidates than ``k`` are all returned.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from packwright.llm.components import stored
 from packwright.llm.frames import task_map
 
 #: Vectors the centres are fitted on, at most.
@@ -36,6 +39,8 @@ SAMPLE = 1 << 14
 TRIALS, RECALL = 512, 0.98
 #: Vectors of a list that one task scans.
 SHARD = 1 << 15
+#: Queries of a list that one task answers.
+QUERIES = 1 << 14
 #: Columns of one block of the scan, and how sure the test is before it abandons.
 COLUMNS, CAUTION = 16, 2.1
 
@@ -184,19 +189,44 @@ def search(
     copies = Window.partitionBy("vec").orderBy("id")
     least = rows.withColumn("copy", F.dense_rank().over(copies)).where(F.col("copy") <= k + 1)
     distinct = least.drop("copy").dropDuplicates(["vec", "id"])
-    indexed = _assign(distinct, shared, 1)
-    shards = {r["list"]: -(-r["n"] // SHARD) for r in indexed.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > SHARD).collect()}
-    count = F.lit(1) if not shards else F.coalesce(F.create_map(*[F.lit(x) for p in shards.items() for x in p])[F.col("list")], F.lit(1))
-    stored = indexed.withColumn("shard", F.pmod(F.xxhash64("id"), count)).withColumn("asks", F.lit(False))
-    probing = _assign(asked, shared, probes).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1)))
-    tiles = stored.unionByName(probing.withColumn("asks", F.lit(True)))
+    indexed = stored(_assign(distinct, shared, 1))
+    wanted = indexed.limit(k + 1).count()
     form = _search_tiles(k, dimension)
-    found = tiles.groupBy("list", "shard").applyInArrow(lambda t: form(t), "query_id bigint, vec_id bigint, score double")
+
+    def searched(probing: DataFrame) -> DataFrame:
+        """Answers of all probed lists; lists with many vectors or queries are several groups."""
+        shards = _parts(indexed, SHARD)
+        blocks = _parts(probing, QUERIES)
+        each = [_part_count(parts) for parts in (shards, blocks)]
+        held = indexed.withColumn("shard", F.pmod(F.xxhash64("id"), each[0])).withColumn("block", F.explode(F.sequence(F.lit(0), each[1] - 1)))
+        asking = probing.withColumn("shard", F.explode(F.sequence(F.lit(0), each[0] - 1))).withColumn("block", F.pmod(F.xxhash64("id"), each[1]))
+        tiles = held.withColumn("asks", F.lit(False)).unionByName(asking.withColumn("asks", F.lit(True)))
+        return tiles.groupBy("list", "shard", "block").applyInArrow(lambda t: form(t), "query_id bigint, vec_id bigint, score double")
+
+    found = stored(searched(stored(_assign(asked, shared, probes))).distinct())
+    if probes < len(centres):
+        # Queries whose lists held too few others ask all lists.
+        answers = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, wanted - 1))
+        short = asked.join(answers.select(F.col("query_id").alias("id")), "id", "left_anti")
+        if not short.isEmpty():
+            found = found.unionByName(searched(stored(_assign(short, shared, len(centres))))).distinct()
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _parts(rows: DataFrame, most: int) -> dict[int, int]:
+    """Lists with more than ``most`` rows and how many parts they make; there are few lists."""
+    counts = rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    return {r["list"]: -(-r["n"] // most) for r in counts.collect()}
+
+
+def _part_count(parts: dict[int, int]) -> Column:
+    if not parts:
+        return F.lit(1)
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])[F.col("list")], F.lit(1))
+
+
 def brute_force(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 2048) -> DataFrame:
     """The exact answer, for measuring recall: queries in bounded blocks against all rows."""
     spark, rows = df.sparkSession, valid(df, id_col, vector_col)

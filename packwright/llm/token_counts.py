@@ -4,7 +4,8 @@ Two tiers answer how many tokens a pre-token has. The first is a compact table o
 pre-tokens, found in a pass over all texts (each task counts its own words and keeps the most
 frequent ones, so the pass shuffles short lists only) and broadcast; its size is ``TABLE``. The
 second is a cache in each worker for the rest; what is in neither is encoded by the tokenizers
-library and kept, up to ``CACHE`` entries. Neither tier changes a count, only the time it takes.
+library and kept, up to ``CACHE`` entries. Words of more than ``LONGEST`` characters, such as texts
+without spaces, enter neither tier, so that both have a bound in bytes. Neither tier changes a count, only the time it takes.
 
 Texts of Latin script are cut into pre-tokens by a pattern for Latin letters, other common scripts
 by one with Unicode classes, and a text with any other character is counted by the library as a
@@ -35,6 +36,8 @@ from packwright.llm.frames import batch, keyed, steps, strings, task_map
 TABLE = 1 << 14
 #: Entries of a worker's cache; it is emptied when full.
 CACHE = 1 << 20
+#: Characters of a word or pre-token, up to which it is counted or kept; texts without spaces are longer.
+LONGEST = 64
 #: Distinct words a task counts before it drops the rare ones.
 COUNTED = 1 << 18
 
@@ -68,7 +71,9 @@ class Lengths(dict):
         if len(self) >= CACHE + len(self.table):
             self.clear()
             self.update(self.table)
-        found = self[word] = len(self.tokenizer.encode(word, add_special_tokens=False))
+        found = len(self.tokenizer.encode(word, add_special_tokens=False))
+        if len(word) <= LONGEST:
+            self[word] = found
         return found
 
 
@@ -113,7 +118,8 @@ def frequent_words(df: DataFrame, id_col: str, text_col: str, size: int = TABLE)
         counts: Counter[str] = Counter()
         for part in steps(batches):
             for text in strings(part.column("text")):
-                counts.update(text.split(" "))
+                words = text.split(" ")
+                counts.update(words if max(map(len, words)) <= LONGEST else [w for w in words if len(w) <= LONGEST])
                 if len(counts) > COUNTED:
                     counts = Counter(dict(counts.most_common(size)))
         top = counts.most_common(size)

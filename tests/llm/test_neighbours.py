@@ -48,3 +48,26 @@ def test_invalid_vectors_and_few_candidates(spark):
 def test_repeated_rows_count_once(spark):
     df = table(spark, [[1, 0], [0, 1]]).unionByName(table(spark, [[1, 0], [0, 1]]))
     assert rows(neighbours.search(df, df.where("vec_id = 0"))) == {(0, 1): (1, math.sqrt(2))}
+
+
+def test_default_path_reaches_the_recall_it_measures(spark):
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(30, 32))
+    df = table(spark, (centres[r.integers(0, 30, 3000)] + 0.3 * r.normal(size=(3000, 32))).tolist())
+    asked = df.where("vec_id % 40 = 0")
+    found, exact = rows(neighbours.search(df, asked)), rows(neighbours.brute_force(df, asked))
+    best = {(q, v) for (q, _), (v, _) in exact.items()}
+    assert set(found) == set(exact)
+    assert len({(q, v) for (q, _), (v, _) in found.items()} & best) >= 0.9 * len(best)
+
+
+def test_queries_in_blocks_and_short_answers(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    df = table(spark, r.normal(size=(200, 4)).tolist() + [[50.0, 50, 50, 50], [51.0, 50, 50, 50]])
+    exact = rows(neighbours.brute_force(df, df))
+    monkeypatch.setattr(neighbours, "QUERIES", 7)
+    monkeypatch.setattr(neighbours, "SHARD", 30)
+    assert rows(neighbours.search(df, df, probes=10**6)) == exact
+    # The far pair has a list of its own: its answers come from the second pass.
+    found = rows(neighbours.search(df, df.where("vec_id >= 200"), lists=20, probes=1))
+    assert found == {key: value for key, value in exact.items() if key[0] >= 200}

@@ -34,3 +34,14 @@ def test_table_is_bounded_and_empty_input_works(spark):
     df = spark.createDataFrame([(1, "a a a b b c"), (2, None)], "doc_id bigint, text string")
     assert token_counts.frequent_words(df, "doc_id", "text", 2) == ["a", "b"]
     assert token_counts.count_tokens(df.limit(0), token_counts.load_model(spark, PATH)).count() == 0
+
+
+def test_long_words_enter_no_table(spark):
+    text = "short " + "long" * 5000
+    df = spark.createDataFrame([(i, text) for i in range(4)], "doc_id bigint, text string")
+    assert token_counts.frequent_words(df, "doc_id", "text", 5) == ["short"]
+    lengths = token_counts.Lengths(Tokenizer.from_file(PATH), {})
+    assert lengths["x" * 1000] == len(lengths.tokenizer.encode("x" * 1000, add_special_tokens=False)) and not lengths
+    library = Tokenizer.from_file(PATH)
+    found = token_counts.count_tokens(df, token_counts.load_model(spark, PATH)).first()
+    assert found["n_tokens"] == len(library.encode(text, add_special_tokens=False))

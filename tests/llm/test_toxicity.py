@@ -1,6 +1,9 @@
+import math
 import random
+import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from packwright.llm import toxicity
@@ -67,3 +70,44 @@ def test_a_text_that_does_not_fit_the_sample_is_passed_over(spark, monkeypatch):
         seen.clear()
         toxicity.train(df.drop("toxic"), df.drop("text"))
         assert sum(len(x) > 10_000 for x, _ in seen) == long and len(seen) == 300 + long
+
+
+def test_scores_equal_the_plain_product(spark):
+    """1 - prod(1 - p) over sentences, each less the prior, from random weights."""
+    draw = random.Random(8)
+    words = ["kind", "awful", "rotten", "people", "bread", "tea", "straße", "x"]
+    weights = {f: draw.uniform(-2, 9) for w in words for f in toxicity.word_features(w)}
+    bias = toxicity.START_BIAS
+    texts = [None, "", "...", "Unseen words only. Again."]
+    texts += ["".join(draw.choice(words).title() + draw.choice([" ", " ", ". ", "!", "\n"]) for _ in range(draw.randrange(1, 40))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    model = spark.sparkContext.broadcast((weights, bias))
+    found = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    prior = 1 / (1 + math.exp(-bias))
+    for i, text in enumerate(texts):
+        odds = []
+        for sentence in re.split(r"[.!?\n]+", (text or "").lower()):
+            if sentence:
+                odds.append(bias + sum(sum(weights.get(f, 0.0) for f in set(toxicity.word_features(w))) for w in set(re.findall(r"[^\W\d_]+", sentence))))
+        clean = 1 - prior
+        for z in odds:
+            if z > bias:
+                clean *= (1 - 1 / (1 + math.exp(-min(z, 30)))) / (1 - prior)
+        if not any(z > bias for z in odds):
+            clean = 1 - 1 / (1 + math.exp(-max(odds, default=bias)))
+        assert found[i]["score"] == pytest.approx(1 - clean, abs=1e-9), text
+        assert found[i]["predicted"] == int(1 - clean >= 0.5)
+
+
+def test_fitting_raises_the_likelihood_of_labels():
+    rows = [("good bread. " * 3 + ("awful rotten fool." if i % 3 == 0 else "warm tea."), int(i % 3 == 0)) for i in range(60)]
+    likelihood = []
+    for rounds in (0, 1, 5, 40):
+        weights, bias = toxicity.fit(rows, rounds=rounds)
+        scores = toxicity.WordScores({int(f): float(weights[f]) for f in weights.nonzero()[0]})
+        total = 0.0
+        for text, label in rows:
+            clean = sum(-math.log1p(math.exp(z)) for z in toxicity.sentence_odds(text, scores, bias))
+            total += math.log(-math.expm1(clean)) if label else clean
+        likelihood.append(total)
+    assert likelihood == sorted(likelihood) and likelihood[-1] > likelihood[0] / 10
