@@ -58,13 +58,15 @@ def fenced_object_text(text: Column) -> Column:
 
 def _recover(df: DataFrame, json_text: Column, schema: str) -> DataFrame:
     """Parse and judge; a value that does not fit its type in the schema is no valid value."""
-    is_valid = is_strict_json(F.col("json_text"))
+    # A column of its own, or every use of it would parse the text again.
+    judged = df.withColumn("json_text", json_text).withColumn("__valid", is_strict_json(F.col("json_text")))
+    is_valid = F.col("__valid")
     # The reader reports a field of a wrong type only through a column for corrupt records,
     # which needs a struct around the value.
     wrapped = F.concat(F.lit('{"value":'), F.col("json_text"), F.lit("}"))
     columns = f"value {schema}, {_CORRUPT} string"
     parsed = F.when(is_valid, F.from_json(wrapped, columns, _STRICT))
-    judged = df.withColumn("json_text", json_text).withColumn("__parsed", parsed)
+    judged = judged.withColumn("__parsed", parsed)
     fits = F.col(f"__parsed.{_CORRUPT}").isNull()
     status = F.when(is_valid & fits, OK).otherwise(QUARANTINED)
     reason = (
@@ -75,7 +77,7 @@ def _recover(df: DataFrame, json_text: Column, schema: str) -> DataFrame:
     return (
         judged.withColumns({"status": status, "reason": reason})
         .withColumn("value", F.when(F.col("status") == OK, F.col("__parsed.value")))
-        .drop("__parsed")
+        .drop("__parsed", "__valid")
     )
 
 

@@ -214,7 +214,10 @@ def first_item(rows: DataFrame, key: str, position: str) -> DataFrame:
 
 
 def record_files(records: DataFrame, keys: Sequence[str], json: str) -> DataFrame:
-    """One row per file of each repository record; rows without valid JSON give none."""
+    """One row per file of each repository record.
+
+    Records that give none are kept aside by :func:`unreadable_records`.
+    """
     text = F.col(json)
     parsed = F.when(is_strict_json(text), F.from_json(text, RECORD_SCHEMA))
     files = F.posexplode(parsed["files"]).alias("position", "f")
@@ -228,6 +231,27 @@ def record_files(records: DataFrame, keys: Sequence[str], json: str) -> DataFram
     )
 
 
+def unreadable_records(records: DataFrame, keys: Sequence[str], json: str) -> DataFrame:
+    """Repository records without files that can be read: ``keys, reason, json_text``.
+
+    The reason is ``missing`` for null or blank text, ``not json``, ``not an object``, ``wrong
+    type`` where the list or its entries are something else, or ``no files``.
+    """
+    text = F.col(json)
+    valid = is_strict_json(text)
+    variant = F.when(valid, F.try_parse_json(text))
+    files = F.schema_of_variant(F.variant_get(variant, "$.files", "variant"))
+    parsed = F.when(valid, F.from_json(text, RECORD_SCHEMA))["files"]
+    reason = (
+        F.when(text.isNull() | (F.trim(text) == ""), "missing")
+        .when(~F.coalesce(valid, F.lit(False)), "not json")
+        .when(~F.startswith(F.ltrim(text), F.lit("{")), "not an object")
+        .when(files.isNull() | files.isin("VOID", "ARRAY<VOID>"), "no files")
+        .when(parsed.isNull() | ~F.startswith(files, F.lit("ARRAY<OBJECT")), "wrong type")
+    )
+    return records.select(*keys, reason.alias("reason"), text.alias("json_text")).where("reason is not null")
+
+
 def first_zip(files: DataFrame, record: str) -> DataFrame:
     """First file of each record whose name ends in ``.zip``."""
     zips = files.filter(F.endswith("key", F.lit(".zip")))

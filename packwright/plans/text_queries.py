@@ -391,6 +391,16 @@ def record_files(spark, sf_dir):
     return files.drop("link")
 
 
+@query(with_template("record", """, r AS (SELECT doc_id, CASE doc_id % 11 WHEN 3 THEN '{"files": []}' WHEN 5 THEN '[1]' WHEN 7 THEN '{"title": "t"}' WHEN 9 THEN '{"files": "none"}' ELSE record END AS record FROM t)
+SELECT doc_id, CASE doc_id % 11 WHEN 3 THEN 'no files' WHEN 5 THEN 'not an object' WHEN 7 THEN 'no files' WHEN 9 THEN 'wrong type' ELSE 'not json' END AS reason, record AS json_text
+FROM r WHERE doc_id % 11 IN (3, 5, 7, 9) OR NOT json_valid(record)"""))
+def record_quarantine(spark, sf_dir):
+    other = F.when(F.col("doc_id") % 11 == 3, '{"files": []}').when(F.col("doc_id") % 11 == 5, "[1]")
+    other = other.when(F.col("doc_id") % 11 == 7, '{"title": "t"}').when(F.col("doc_id") % 11 == 9, '{"files": "none"}')
+    records = template(spark, sf_dir, "record").withColumn("record", F.coalesce(other, "record"))
+    return assets.unreadable_records(records, ["doc_id"], "record")
+
+
 @query(with_template("record", """
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'a' || doc_id || '.zip' ELSE 'b.zip' END AS key, CASE WHEN doc_id % 3 = 0 THEN 7 ELSE 8 END AS size
 FROM t WHERE json_valid(record)"""))

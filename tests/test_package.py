@@ -138,3 +138,15 @@ def test_names(spark, table, proposal):
     df = spark.createDataFrame([(table, proposal, "SalePrice")], "t int, p int, target string")
     names = df.select(X.proposal_package(F.col("t"), F.col("p")), X.competition_package(F.col("t"), F.col("p"), F.col("target"))).first()
     assert tuple(names) == ("table_1_proposal_2", "comp_t1_p2_saleprice")
+
+
+def test_unreadable_records_are_kept_with_a_reason(spark):
+    good = '{"files": [{"key": "a", "size": 1, "links": {"self": "u"}}]}'
+    texts = [good, None, " ", "{'a': 1}", good[:-1], "[1]", "3", "{}", '{"files": []}', '{"files": null}', '{"files": "x"}', '{"files": [1]}', '{"files": {"key": "a"}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "r int, j string")
+    found = {r["r"]: r["reason"] for r in assets.unreadable_records(df, ["r"], "j").collect()}
+    wrong, none = "wrong type", "no files"
+    reasons = [None, "missing", "missing", "not json", "not json", "not an object", "not an object", none, none, none, wrong, wrong, wrong]
+    assert [found.get(i) for i in range(len(texts))] == reasons
+    readable = {r["r"] for r in assets.record_files(df, ["r"], "j").collect()}
+    assert readable == {0} and readable.isdisjoint(found)
