@@ -124,8 +124,11 @@ def _fine_bounds(df: DataFrame, found: Ranges, rows: int, each: int) -> DataFram
     wanted = (len(found.boundaries) + 1) * each * SAMPLE_PER_RANGE
     keys = df.select(*found.columns)
     sample = keys if wanted >= rows else keys.sample(fraction=wanted / rows, seed=11)
-    sorted_keys = F.array_distinct(F.sort_array(F.collect_list(key_struct(found.columns))))
+    sorted_keys = F.sort_array(F.collect_list(key_struct(found.columns)))
     per_range = sample.groupBy(found.index().alias("__coarse")).agg(sorted_keys.alias("keys"))
+    # Distinct by neighbours in one pass: array_distinct compares structs with all kept ones.
+    distinct = F.filter("keys", lambda key, i: (i == 0) | (key != F.get(F.col("keys"), i - 1)))
+    per_range = per_range.select("__coarse", distinct.alias("keys"))
     step = F.greatest(F.lit(1), F.floor(F.size("keys") / each).cast("int"))
     bounds = F.filter("keys", lambda key, i: (i > 0) & (i % step == 0))
     return checkpointed(per_range.select("__coarse", bounds.alias("__bounds")))

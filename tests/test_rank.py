@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,15 @@ def test_two_levels_of_ranges(spark, monkeypatch, sent):
     assert by_place == [r[1] for r in order]
     empty = rank.global_rank(df.limit(0), ["s", "i"], "place", rows_per_range=15)
     assert empty.count() == 0
+
+
+def test_fine_bounds_of_a_large_coarse_range_in_linear_time(spark, monkeypatch):
+    # One coarse range of 60,000 keys; distinct struct keys by array_distinct took minutes.
+    monkeypatch.setattr(rank, "MAX_RANGES", 1)
+    df = spark.range(60_000).selectExpr("id % 997 as a", "id as b").repartition(4)
+    start = time.monotonic()
+    places = rank.global_rank(df, ["a", "b"], "place", rows_per_range=2).collect()
+    elapsed = time.monotonic() - start
+    order = sorted(range(60_000), key=lambda b: (b % 997, b))
+    assert {r["b"]: r["place"] for r in places} == {b: place for place, b in enumerate(order)}
+    assert elapsed < 30
