@@ -208,12 +208,13 @@ def delimited_roundtrip(spark, sf_dir):
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_pieces(spark, sf_dir):
-    # A session of its own with small blocks, so that one file is read by many tasks at any scale.
+    # A session of its own with small blocks, so that each file is read by many tasks at any scale.
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(256 << 10))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
-    folder, documents = scratch_folder(spark), table(session, sf_dir, "documents")
-    writers.write_delimited(documents.coalesce(1), folder)
+    # One file per task of the scan: the table passes through no single task.
+    folder, documents = scratch_folder(spark), table(spark, sf_dir, "documents")
+    writers.write_delimited(documents, folder)
     return readers.read_delimited(session, folder, schema=documents.schema)
 
 
