@@ -331,15 +331,26 @@ def rank_correlation(df: DataFrame, target: str, features: Sequence[str]) -> Dat
 
     Rank correlation with ties averaged, over rows where both are known; null where one of them
     is constant. Rows are reduced to counts of pairs of values first; the order of the values is
-    found without a task that holds them all.
+    found without a task that holds them all. The target is ranked once for all features that
+    leave out none of its known rows.
     """
+    targets = checkpointed(df.where(_known(df, target)).groupBy(F.col(f"`{target}`").alias("t")).agg(F.count(F.lit(1)).alias("w")))
+    target_rows = targets.agg(F.sum("w")).first()[0] or 0
+    target_ranks = None
     found = []
     for name in features:
         known = df.where(_known(df, name) & _known(df, target))
         pairs = checkpointed(known.groupBy(F.col(f"`{name}`").alias("f"), F.col(f"`{target}`").alias("t")).agg(F.count(F.lit(1)).alias("w")))
         rows = pairs.agg(F.sum("w")).first()[0] or 0
+        if rows == target_rows:
+            # The same rows: the pairs hold every known target value as often as the table does.
+            if target_ranks is None:
+                target_ranks = checkpointed(_centred_ranks(targets, "t", rows))
+            t_ranks = target_ranks
+        else:
+            t_ranks = _centred_ranks(pairs, "t", rows)
         ranked = join_unique(pairs, _centred_ranks(pairs, "f", rows), ["f"])
-        ranked = join_unique(ranked, _centred_ranks(pairs, "t", rows), ["t"])
+        ranked = join_unique(ranked, t_ranks, ["t"])
         a, b, w = F.col("f_rank"), F.col("t_rank"), F.col("w")
         spread = F.sqrt(F.sum(w * a * a)) * F.sqrt(F.sum(w * b * b))
         correlation = F.try_divide(F.sum(w * a * b), spread)
