@@ -52,12 +52,12 @@ class Ranges:
     def _literal(self, items: Sequence[str]) -> Column:
         return F.from_json(F.lit("[" + ",".join(items) + "]"), T.ArrayType(self.schema))
 
-    def index(self) -> Column:
-        """Number of boundaries not above the key, by binary search inside the row."""
-        count = len(self.boundaries)
-        if not count:
-            return F.lit(0)
-        return _not_above(self._literal(self.boundaries), key_struct(self.columns), count)
+    def place(self, df: DataFrame, name: str) -> DataFrame:
+        """Add the number of boundaries not above the key, the range of a row."""
+        if not self.boundaries:
+            return df.withColumn(name, F.lit(0))
+        bounds = self._literal(self.boundaries)
+        return _place(df, bounds, self.columns, len(self.boundaries), name)
 
     def inside(self, index: int) -> Column:
         """Predicate of the rows of one range."""
@@ -70,16 +70,20 @@ class Ranges:
         return predicate
 
 
-def _not_above(bounds: Column, key: Column, most: int) -> Column:
-    """How many of an array of sorted keys, of ``most`` at most, are not above the key."""
+def _place(df: DataFrame, bounds: Column, columns: Sequence[str], most: int, name: str) -> DataFrame:
+    """Add how many of an array of sorted keys, of ``most`` at most, are not above the key.
 
-    def descend(position: Column, step: Column) -> Column:
-        probe = position + step
-        fits = (probe <= F.size(bounds)) & (F.get(bounds, probe - 1) <= key)
-        return F.when(fits, probe).otherwise(position)
-
-    steps = [F.lit(1 << p) for p in reversed(range(most.bit_length()))]
-    return F.aggregate(F.array(*steps), F.lit(0), descend)
+    Every step of the binary search is a column over the one before. Spark compiles these along
+    with the scan or join below them and reads the array where it lies; a lambda function would
+    be interpreted, and the array copied for each row of a join.
+    """
+    placed = df.withColumn("__sought", key_struct(columns)).withColumn(name, F.lit(0))
+    for p in reversed(range(most.bit_length())):
+        probe = F.col(name) + (1 << p)
+        # Null beyond the end of the array, which does not fit.
+        fits = F.get(bounds, probe - 1) <= F.col("__sought")
+        placed = placed.withColumn(name, F.when(fits, probe).otherwise(F.col(name)))
+    return placed.drop("__sought")
 
 
 def range_count(df: DataFrame, rows: int, rows_per_range: int | None = None) -> int:
@@ -111,39 +115,58 @@ def find_ranges(df: DataFrame, columns: Sequence[str], rows: int, ranges: int) -
     return Ranges(tuple(columns), keys.schema, boundaries)
 
 
-def _range_totals(df: DataFrame, index: Column, weight: Column) -> dict[int, int]:
-    totals = df.groupBy(index.alias("range")).agg(F.sum(weight).alias("rows")).collect()
-    return {row["range"]: row["rows"] for row in totals}
+def _range_totals(df: DataFrame, found: Ranges) -> dict[int, int]:
+    placed = found.place(df, "__range")
+    totals = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")).collect()
+    return {row["__range"]: row["__rows"] for row in totals}
 
 
 def _fine_bounds(df: DataFrame, found: Ranges, rows: int, each: int) -> DataFrame:
     """``(__coarse, __bounds)``: keys that cut each coarse range into about ``each`` fine ones.
 
-    The sample of one coarse range, a few dozen keys per fine one, is sorted by one task.
+    The sample of one coarse range, a few dozen keys per fine one, is sorted by one task. Fewer
+    than twice ``each`` of its keys become boundaries; equal ones leave a fine range empty.
     """
     wanted = (len(found.boundaries) + 1) * each * SAMPLE_PER_RANGE
     keys = df.select(*found.columns)
     sample = keys if wanted >= rows else keys.sample(fraction=wanted / rows, seed=11)
-    sorted_keys = F.sort_array(F.collect_list(key_struct(found.columns)))
-    per_range = sample.groupBy(found.index().alias("__coarse")).agg(sorted_keys.alias("keys"))
-    # Distinct by neighbours in one pass: array_distinct compares structs with all kept ones.
-    distinct = F.filter("keys", lambda key, i: (i == 0) | (key != F.get(F.col("keys"), i - 1)))
-    per_range = per_range.select("__coarse", distinct.alias("keys"))
-    step = F.greatest(F.lit(1), F.floor(F.size("keys") / each).cast("int"))
-    bounds = F.filter("keys", lambda key, i: (i > 0) & (i % step == 0))
-    return checkpointed(per_range.select("__coarse", bounds.alias("__bounds")))
-
-
-def _in_ranges(df: DataFrame, found: Ranges, rows: int, each: int) -> DataFrame:
-    """Rows with their coarse and fine range."""
-    placed = df.withColumn("__coarse", found.index())
-    if each < 2:
+    in_range = Window.partitionBy("__coarse")
+    numbered = found.place(sample, "__coarse").select(
+        "__coarse",
+        key_struct(found.columns).alias("__key"),
+        (F.row_number().over(in_range.orderBy(*found.columns)) - 1).alias("__place"),
+        F.count(F.lit(1)).over(in_range).alias("__size"),
+    )
+    step = F.greatest(F.lit(1), F.floor(F.col("__size") / each))
+    cuts = numbered.filter((F.col("__place") > 0) & (F.col("__place") % step == 0))
+    bounds = F.sort_array(F.collect_list("__key")).alias("__bounds")
+    return checkpointed(cuts.groupBy("__coarse").agg(bounds))
+
+
+def _in_ranges(df: DataFrame, found: Ranges, index: DataFrame | None, each: int) -> DataFrame:
+    """Rows with their coarse and fine range, and other columns of the index of the latter."""
+    placed = found.place(df, "__coarse")
+    if index is None:
         return placed.withColumn("__fine", F.lit(0))
-    fine = _fine_bounds(df, found, rows, each)
-    if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES:
-        fine = F.broadcast(fine)
-    place = F.coalesce(_not_above(F.col("__bounds"), key_struct(found.columns), 4 * each), F.lit(0))
-    return placed.join(fine, "__coarse", "left").withColumn("__fine", place).drop("__bounds")
+    # The key of a single coarse range is a constant, for which Spark might send the rows instead.
+    if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES or not found.boundaries:
+        index = F.broadcast(index)
+    joined = placed.join(index, "__coarse", "left")
+    return _place(joined, F.col("__bounds"), found.columns, 2 * each, "__fine").drop("__bounds")
+
+
+def _with_starts(fine: DataFrame, totals: DataFrame) -> DataFrame:
+    """``fine`` with ``__starts``: for each fine range the rows before it in its coarse one."""
+    # Every fine range has its place in the array, also those without rows.
+    number = F.explode(F.sequence(F.lit(0), F.size("__bounds"))).alias("__fine")
+    none = F.lit(0).cast(totals.schema["__rows"].dataType).alias("__rows")
+    ranges = totals.unionByName(fine.select("__coarse", number, none))
+    ranges = ranges.groupBy("__coarse", "__fine").agg(F.sum("__rows").alias("__rows"))
+    before = Window.partitionBy("__coarse").orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start")
+    listed = F.sort_array(F.collect_list(F.struct("__fine", "__start"))).getField("__start")
+    starts = ranges.select("__coarse", "__fine", start).groupBy("__coarse").agg(listed.alias("__starts"))
+    return checkpointed(starts.join(fine, "__coarse", "left"))
 
 
 def _ranked(
@@ -159,13 +182,19 @@ def _ranked(
     ranges = range_count(df, rows, rows_per_range)
     found = find_ranges(df, columns, rows, ranges)
     each = -(-ranges // MAX_RANGES)
-    placed = _in_ranges(df, found, rows, each)
+    fine = _fine_bounds(df, found, rows, each) if each > 1 else None
+    placed = _in_ranges(df, found, fine, each)
     one = F.lit(1) if weight is None else F.col(weight)
     totals = placed.groupBy("__coarse", "__fine").agg(F.sum(one).alias("__rows"))
-    totals = checkpointed(totals) if each > 1 else totals
+    totals = totals if fine is None else checkpointed(totals)
     sums = {r[0]: r[1] for r in totals.groupBy("__coarse").agg(F.sum("__rows")).collect()}
     sizes = [sums.get(i, 0) for i in range(len(found.boundaries) + 1)]
     start_of = F.from_json(F.lit(str([0, *accumulate(sizes)][:-1])), "array<bigint>")
+    start = F.get(start_of, F.col("__coarse"))
+    if fine is not None:
+        placed = _in_ranges(df, found, _with_starts(fine, totals), each)
+        placed = placed.withColumn("__start", F.get("__starts", F.col("__fine"))).drop("__starts")
+        start += F.col("__start")
 
     in_range = Window.partitionBy("__coarse", "__fine").orderBy(*columns, *ties)
     if weight is None:
@@ -173,14 +202,7 @@ def _ranked(
     else:
         running = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         position = F.sum(weight).over(running) - F.col(weight)
-    ordered = placed.withColumn(name, position + F.get(start_of, F.col("__coarse")))
-    if each > 1:
-        # Rows before each fine range within its coarse one.
-        before = Window.partitionBy("__coarse").orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
-        starts = totals.select("__coarse", "__fine", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-        if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES:
-            starts = F.broadcast(starts)
-        ordered = ordered.join(starts, ["__coarse", "__fine"]).withColumn(name, F.col(name) + F.col("__start"))
+    ordered = placed.withColumn(name, position + start)
     return ordered.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
@@ -269,7 +291,7 @@ def value_at(df: DataFrame, order_cols: Sequence[str], position: int, rows: int)
     as_text = [F.col(c).cast("string").alias(c) for c in columns]
     while rows > SMALL_ROWS:
         found = find_ranges(part, columns, rows, range_count(part, rows))
-        totals = _range_totals(part, found.index(), F.lit(1))
+        totals = _range_totals(part, found)
         for index in range(len(found.boundaries) + 1):
             size = totals.get(index, 0)
             if position < size:
