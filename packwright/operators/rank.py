@@ -9,7 +9,7 @@ boundaries are rows of a table that is joined.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -56,8 +56,13 @@ class Ranges:
         """Add the number of boundaries not above the key, the range of a row."""
         if not self.boundaries:
             return df.withColumn(name, F.lit(0))
-        bounds = self._literal(self.boundaries)
-        return _place(df, bounds, self.columns, len(self.boundaries), name)
+
+        def boundary(position: Column, step: int) -> Column:
+            # Only those that this step can meet, so that the plan holds each boundary once.
+            met = self._literal(self.boundaries[step - 1 :: 2 * step])
+            return F.get(met, F.shiftright(position, step.bit_length()))
+
+        return _place(df, boundary, self.columns, len(self.boundaries), name)
 
     def inside(self, index: int) -> Column:
         """Predicate of the rows of one range."""
@@ -70,19 +75,25 @@ class Ranges:
         return predicate
 
 
-def _place(df: DataFrame, bounds: Column, columns: Sequence[str], most: int, name: str) -> DataFrame:
-    """Add how many of an array of sorted keys, of ``most`` at most, are not above the key.
+def _place(
+    df: DataFrame,
+    boundary: Callable[[Column, int], Column],
+    columns: Sequence[str],
+    most: int,
+    name: str,
+) -> DataFrame:
+    """Add how many of a sorted list of keys, of ``most`` at most, are not above the key.
 
+    ``boundary(position, step)`` is the one at ``position + step - 1``, or null beyond the last.
     Every step of the binary search is a column over the one before. Spark compiles these along
-    with the scan or join below them and reads the array where it lies; a lambda function would
-    be interpreted, and the array copied for each row of a join.
+    with the scan or join below them and reads an array of keys where it lies; a lambda function
+    would be interpreted, and the array copied for each row of a join.
     """
     placed = df.withColumn("__sought", key_struct(columns)).withColumn(name, F.lit(0))
     for p in reversed(range(most.bit_length())):
-        probe = F.col(name) + (1 << p)
-        # Null beyond the end of the array, which does not fit.
-        fits = F.get(bounds, probe - 1) <= F.col("__sought")
-        placed = placed.withColumn(name, F.when(fits, probe).otherwise(F.col(name)))
+        step, position = 1 << p, F.col(name)
+        fits = boundary(position, step) <= F.col("__sought")
+        placed = placed.withColumn(name, F.when(fits, position + step).otherwise(position))
     return placed.drop("__sought")
 
 
@@ -152,7 +163,11 @@ def _in_ranges(df: DataFrame, found: Ranges, index: DataFrame | None, each: int)
     if (len(found.boundaries) + 1) * each <= SENT_BOUNDARIES or not found.boundaries:
         index = F.broadcast(index)
     joined = placed.join(index, "__coarse", "left")
-    return _place(joined, F.col("__bounds"), found.columns, 2 * each, "__fine").drop("__bounds")
+
+    def boundary(position: Column, step: int) -> Column:
+        return F.get("__bounds", position + (step - 1))
+
+    return _place(joined, boundary, found.columns, 2 * each, "__fine").drop("__bounds")
 
 
 def _with_starts(fine: DataFrame, totals: DataFrame) -> DataFrame:
